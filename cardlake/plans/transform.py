@@ -122,6 +122,7 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str) -> DataFrame:
     # age from cleaned birth year / month at the as-of date, then bounded
     age = (F.lit(as_of.year) - F.col("birth_year")
            - F.when(F.lit(as_of.month) < F.col("birth_month"), 1).otherwise(0))
+    age = F.when(F.col("birth_year").isNotNull() & F.col("birth_month").isNotNull(), age)
     df = df.withColumn("current_age", in_range(age, *V.RANGES["current_age"]).cast("int"))
 
     df = _label_columns(df, "employment_status", V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL)

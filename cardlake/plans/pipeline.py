@@ -149,14 +149,19 @@ def _code_fingerprint() -> str:
     return _CODE_HASH
 
 
-def layers_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
-    """Layers for the test tables in `sf_dir`, materialised once under the
-    session's checkpoint folder (keyed by input, as-of date and code)."""
+def store_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> LayerStore:
+    """Layer store for the test tables in `sf_dir` under the session's
+    checkpoint folder (keyed by input, as-of date and code)."""
     ensure_conf(spark)
     key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{as_of}|{_code_fingerprint()}".encode()).hexdigest()[:16]
-    cache_key = (id(spark), key)
+    return LayerStore(spark, f"{checkpoint_root(spark)}/cardlake-layers/{key}")
+
+
+def layers_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
+    """Layers for the test tables in `sf_dir`, materialised once per session."""
+    store = store_for(spark, sf_dir, as_of)
+    cache_key = (id(spark), store.root)
     if cache_key not in _CACHE:
-        store = LayerStore(spark, f"{checkpoint_root(spark)}/cardlake-layers/{key}")
         _CACHE[cache_key] = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
     return _CACHE[cache_key]
 

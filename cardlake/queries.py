@@ -20,6 +20,11 @@ from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans.pipeline import layers_for, marts_for
+from cardlake.session import checkpoint_root
+from cardlake.sources import csv_io
+from cardlake.sources.fixtures import raw_table
+from cardlake.streaming import incremental as INC
+from cardlake.operators.dedup import dedup_report
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -79,6 +84,107 @@ def _spend_stats(layers, marts):
                     F.round("stddev_spend", 4).alias("stddev_spend"), "txn_count")
 
 
+def _scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    import uuid
+    return f"{checkpoint_root(spark)}/cardlake-io/{what}-{uuid.uuid4().hex[:12]}"
+
+
+def _csv_roundtrip(table: str) -> Query:
+    """Raw table -> CSV files -> ingest reader (A1, A2): must give the same rows,
+    NULL and '' kept apart."""
+    def run(spark, sf):
+        raw = raw_table(spark, sf, table)
+        path = _scratch(spark, f"{table}.csv")
+        csv_io.write_raw_csv(raw, path)
+        return comparable(csv_io.read_raw_csv(spark, path, csv_io.with_seq(csv_io.RAW_SCHEMAS[table])))
+    return run
+
+
+def _bulk_roundtrip(spark, sf):
+    """Fact table through a bulk-load CSV with the \\N NULL marker."""
+    fact = layers_for(spark, sf).fact
+    path = _scratch(spark, "fact_bulk")
+    csv_io.write_bulk_csv(fact, path)
+    return comparable(csv_io.read_bulk_csv(spark, path, fact.schema))
+
+
+def _stream_load(spark, sf):
+    """Raw transactions landed as files, loaded by the streaming job twice
+    (the second run must add nothing)."""
+    base = _scratch(spark, "stream")
+    INC.land_raw_transactions(raw_table(spark, sf, "transactions_data"), f"{base}/landing")
+    for _ in range(2):
+        q = INC.stream_tx_load(spark, f"{base}/landing", f"{base}/target", f"{base}/checkpoint")
+        q.awaitTermination()
+    return comparable(spark.read.parquet(f"{base}/target"))
+
+
+def _dedup_report(spark, sf):
+    parts = [dedup_report(raw_table(spark, sf, t), "id", t) for t in ("users_data", "cards_data", "transactions_data")]
+    return comparable(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def _primary_keys(spark, sf):
+    l = layers_for(spark, sf)
+    checks = [Q.check_primary_key(l.dim_customers, ["customer_key"], "dim_customers"),
+              Q.check_primary_key(l.dim_cards, ["card_key"], "dim_cards"),
+              Q.check_primary_key(l.dim_mcc, ["mcc_key"], "dim_mcc"),
+              Q.check_primary_key(l.dim_merchants, ["merchant_key"], "dim_merchants"),
+              Q.check_primary_key(l.dim_date, ["date_key"], "dim_date"),
+              Q.check_primary_key(l.fact, ["transaction_id"], "fact_transactions"),
+              Q.check_primary_key(l.tx, ["id"], "transactions_data"),
+              Q.check_primary_key(l.users, ["id"], "users_data")]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return comparable(out)
+
+
+def _foreign_keys(spark, sf):
+    l, m = marts_for(spark, sf)
+    fct = m.fact_customer
+    checks = [Q.check_foreign_key(fct, "customer_key", m.dim_customer, "customer_key", "fk_fact_customer"),
+              Q.check_foreign_key(fct, "card_key", m.dim_card, "card_key", "fk_fact_card"),
+              Q.check_foreign_key(fct, "channel_key", m.dim_channel, "channel_key", "fk_fact_channel"),
+              Q.check_foreign_key(l.fact, "date_key", l.dim_date, "date_key", "fk_fact_date")]
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return comparable(out)
+
+
+def _stage_counts(spark, sf):
+    l, m = marts_for(spark, sf)
+    stages = {"transformation.users_data": l.users, "transformation.cards_data": l.cards,
+              "transformation.mcc_data": l.mcc, "transformation.transactions_data": l.tx,
+              "curated.dim_customers": l.dim_customers, "curated.dim_cards": l.dim_cards,
+              "curated.dim_mcc": l.dim_mcc, "curated.dim_merchants": l.dim_merchants,
+              "curated.dim_date": l.dim_date, "curated.fact_transactions": l.fact,
+              "marts.dim_channel": m.dim_channel, "marts.fact_finance_transactions": m.fact_finance,
+              "marts.fact_customer_transactions": m.fact_customer}
+    return comparable(Q.stage_row_counts(stages))
+
+
+CARD_LIMITS = {"card_brand": 50, "card_type": 50, "card_number": 20, "expires": 7, "has_chip": 10,
+               "acct_open_date": 7, "card_on_dark_web": 10, "issuer_bank_name": 100, "issuer_bank_state": 2,
+               "issuer_bank_type": 50, "issuer_risk_rating": 20}
+TX_LIMITS = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip": 20, "errors": 255,
+             "day_of_week": 10}
+
+
+def _schema_limits(spark, sf):
+    l = layers_for(spark, sf)
+    cards = Q.check_schema_limits(l.cards, CARD_LIMITS)
+    tx = Q.check_schema_limits(l.tx, TX_LIMITS, {"amount": (10, 2), "refund_amount": (10, 2)})
+    return comparable(_side_by_side(cards, tx))
+
+
+def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two one-row results as one row (join on a constant key)."""
+    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
 QUERIES: dict[str, Query] = {
     # transformation layer
     "clean_users": _layer("users"),
@@ -117,6 +223,17 @@ QUERIES: dict[str, Query] = {
     "industry_growth_yoy": _view(lambda l, m: ME.industry_growth_yoy(l.fact, l.dim_date, l.dim_mcc)),
     "merchant_error_rates": _view(lambda l, m: ME.merchant_error_rates(l.fact, l.dim_merchants)),
     "merchant_geo_revenue": _view(lambda l, m: ME.merchant_geo_revenue(l.fact, l.dim_merchants)),
+    # sources / sinks (A1-A2, A11), incremental load
+    "ingest_csv_roundtrip_users": _csv_roundtrip("users_data"),
+    "ingest_csv_roundtrip_transactions": _csv_roundtrip("transactions_data"),
+    "csv_null_marker_roundtrip": _bulk_roundtrip,
+    "stream_tx_load": _stream_load,
+    # de-duplication report and data-quality checks
+    "dedup_report": _dedup_report,
+    "check_primary_key": _primary_keys,
+    "check_foreign_key": _foreign_keys,
+    "check_schema_limits": _schema_limits,
+    "stage_row_counts": _stage_counts,
 }
 
 FLAGSHIP = "finance_monthly_revenue"

@@ -62,6 +62,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, with_arri
     df = (spark.read.schema(schema)
           .option("header", True).option("sep", ",").option("encoding", "UTF-8")
           .option("quote", '"').option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("nullValue", _NO_NULL_TEXT)
           .option("mode", "FAILFAST")
           .csv(path))
@@ -74,6 +75,7 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     """Write a table as raw CSV: NULL as an unquoted empty field, '' as `""`."""
     (df.write.mode("overwrite").option("header", True)
        .option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
 
 
@@ -109,6 +111,7 @@ def write_bulk_csv(df: DataFrame, path: str, null_marker: str = NULL_MARKER) ->
     """Bulk-load file: NULL written as `null_marker` ('\\N' keeps '' distinct)."""
     (df.write.mode("overwrite").option("header", False)
        .option("nullValue", null_marker).option("quote", '"').option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))
 
 
@@ -116,6 +119,7 @@ def read_bulk_csv(spark: SparkSession, path: str, schema: T.StructType,
                   null_marker: str = NULL_MARKER) -> DataFrame:
     df = (spark.read.schema(schema).option("header", False)
           .option("nullValue", null_marker).option("quote", '"').option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
           .option("mode", "FAILFAST").csv(path))
     if null_marker == "":
         # empty = NULL loading: every empty text becomes NULL

@@ -670,4 +670,79 @@ FROM fact f JOIN dim_merchants dm ON f.merchant_key = dm.merchant_key
 WHERE f.is_refund = 'No' AND f.amount > 0
 GROUP BY coalesce(dm.merchant_state, 'Unknown')""", "fact", "dim_merchants")
 
+    # ---------------------------------------------------------- sources / sinks / stream
+    out["ingest_csv_roundtrip_users"] = with_ctes("""
+SELECT CAST(_seq AS BIGINT) AS _seq, CAST(id AS BIGINT) AS id, CAST(current_age AS BIGINT) AS current_age,
+  CAST(retirement_age AS BIGINT) AS retirement_age, CAST(birth_year AS BIGINT) AS birth_year,
+  CAST(birth_month AS BIGINT) AS birth_month, gender, address, CAST(latitude AS DOUBLE) AS latitude,
+  CAST(longitude AS DOUBLE) AS longitude, per_capita_income, yearly_income, total_debt,
+  CAST(credit_score AS BIGINT) AS credit_score, CAST(num_credit_cards AS BIGINT) AS num_credit_cards,
+  employment_status, education_level
+FROM raw_users""", "raw_users")
+    out["ingest_csv_roundtrip_transactions"] = with_ctes("""
+SELECT CAST(_seq AS BIGINT) AS _seq, id, date, CAST(client_id AS BIGINT) AS client_id,
+  CAST(card_id AS BIGINT) AS card_id, amount, use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors
+FROM raw_tx""", "raw_tx")
+    out["csv_null_marker_roundtrip"] = out["fact_transactions"]
+    out["stream_tx_load"] = out["clean_transactions"]
+
+    # ---------------------------------------------------------- quality
+    out["dedup_report"] = with_ctes(" UNION ALL ".join(f"""
+SELECT '{name}' AS stage, CAST(COUNT(*) AS BIGINT) AS rows_before,
+  CAST(COUNT(DISTINCT id) + MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS rows_after,
+  CAST(COUNT(*) - COUNT(DISTINCT id) - MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS duplicates_removed
+FROM {cte_name}""" for name, cte_name in (("users_data", "raw_users"), ("cards_data", "raw_cards"),
+                                            ("transactions_data", "raw_tx"))),
+        "raw_users", "raw_cards", "raw_tx")
+
+    def pk(table: str, src: str, key: str) -> str:
+        return f"""
+SELECT '{table}' AS table_name, '{key}' AS key_columns, CAST(COUNT(*) AS BIGINT) AS total_rows,
+  CAST(COUNT(*) FILTER (WHERE {key} IS NULL) AS BIGINT) AS null_key_rows,
+  CAST((SELECT COUNT(*) FROM (SELECT {key} FROM {src} WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1)) AS BIGINT) AS duplicate_keys,
+  CAST(COUNT({key}) - COUNT(DISTINCT {key}) AS BIGINT) AS duplicate_rows
+FROM {src}"""
+    pks = [("dim_customers", "dim_customers", "customer_key"), ("dim_cards", "dim_cards", "card_key"),
+           ("dim_mcc", "dim_mcc", "mcc_key"), ("dim_merchants", "dim_merchants", "merchant_key"),
+           ("dim_date", "dim_date", "date_key"), ("fact_transactions", "fact", "transaction_id"),
+           ("transactions_data", "t_tx", "id"), ("users_data", "t_users", "id")]
+    out["check_primary_key"] = with_ctes(" UNION ALL ".join(pk(*x) for x in pks), *[x[1] for x in pks])
+
+    def fk(name: str, child: str, col: str, parent: str, pcol: str) -> str:
+        return f"""
+SELECT '{name}' AS constraint_name, CAST(COUNT(*) AS BIGINT) AS violating_rows,
+  CAST(COUNT(DISTINCT c.{col}) AS BIGINT) AS violating_keys
+FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})"""
+    fks = [("fk_fact_customer", "fct", "customer_key", "dim_customers", "customer_key"),
+           ("fk_fact_card", "fct", "card_key", "dim_cards", "card_key"),
+           ("fk_fact_channel", "fct", "channel_key", "dim_channel", "channel_key"),
+           ("fk_fact_date", "fact", "date_key", "dim_date", "date_key")]
+    out["check_foreign_key"] = with_ctes(" UNION ALL ".join(fk(*x) for x in fks),
+                                         "fct", "fact", "dim_customers", "dim_cards", "dim_channel", "dim_date")
+
+    card_limits = {"card_brand": 50, "card_type": 50, "card_number": 20, "expires": 7, "has_chip": 10,
+                   "acct_open_date": 7, "card_on_dark_web": 10, "issuer_bank_name": 100, "issuer_bank_state": 2,
+                   "issuer_bank_type": 50, "issuer_risk_rating": 20}
+    tx_limits = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip": 20, "errors": 255,
+                 "day_of_week": 10}
+    cl = ", ".join(f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS {c}__over_length"
+                   for c, n in card_limits.items())
+    tl = ", ".join(f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS {c}__over_length"
+                   for c, n in tx_limits.items())
+    out["check_schema_limits"] = with_ctes(f"""
+SELECT * FROM (SELECT {cl} FROM t_cards),
+  (SELECT {tl}, CAST(COUNT(*) FILTER (WHERE abs(amount) >= 100000000) AS BIGINT) AS amount__overflow,
+          CAST(COUNT(*) FILTER (WHERE abs(refund_amount) >= 100000000) AS BIGINT) AS refund_amount__overflow
+   FROM t_tx)""", "t_cards", "t_tx")
+
+    stages = [("transformation.users_data", "t_users"), ("transformation.cards_data", "t_cards"),
+              ("transformation.mcc_data", "t_mcc"), ("transformation.transactions_data", "t_tx"),
+              ("curated.dim_customers", "dim_customers"), ("curated.dim_cards", "dim_cards"),
+              ("curated.dim_mcc", "dim_mcc"), ("curated.dim_merchants", "dim_merchants"),
+              ("curated.dim_date", "dim_date"), ("curated.fact_transactions", "fact"),
+              ("marts.dim_channel", "dim_channel"), ("marts.fact_finance_transactions", "ff"),
+              ("marts.fact_customer_transactions", "fct")]
+    out["stage_row_counts"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{n}' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM {c}" for n, c in stages),
+        *[c for _, c in stages])
     return out

@@ -44,11 +44,13 @@ def round_to_long(x: Column) -> Column:
 def div_round(num: Column, den: Column, digits: int) -> Column:
     """round(num / den, digits), half away from zero, NULL when den is 0/NULL.
 
-    The numerator is widened to decimal(38,18) so the quotient keeps 16+
-    fraction digits before the final rounding (no double rounding for any
-    realistic group size); an average is `div_round(sum, count, 2)`.
+    The numerator is widened to decimal(38,18) and the denominator (a count
+    or a money amount) is held as decimal(38,2), never rounded, so the
+    quotient keeps 16 fraction digits before the final rounding (no double
+    rounding for any realistic group size); an average is
+    `div_round(sum, count, 2)`.
     """
-    q = num.cast("decimal(38,18)") / F.when(den != 0, den).cast("decimal(38,0)")
+    q = num.cast("decimal(38,18)") / F.when(den != 0, den).cast("decimal(38,2)")
     return F.round(q, digits)
 
 

@@ -84,3 +84,10 @@ def stage_row_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def cleaning_map(df: DataFrame, raw_cols: Sequence[str], clean_cols: Sequence[str]) -> DataFrame:
+    """Each distinct (raw value(s), cleaned value(s)) pair and its row count:
+    what the cleaner did to every spelling, over the whole table (one
+    map-side-combined aggregation)."""
+    return df.groupBy(*raw_cols, *clean_cols).agg(F.count(F.lit(1)).cast("long").alias("rows"))

@@ -8,6 +8,7 @@ the fuzzy scoring of distinct unmatched spellings.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,6 +61,16 @@ def _null(t: str = "string") -> Column:
     return F.lit(None).cast(t)
 
 
+def _carried(carry) -> list[Column]:
+    """Raw input columns passed through unchanged as `raw_<name>` (for
+    raw -> cleaned value reports; empty in the pipeline)."""
+    return [F.col(c).alias(f"raw_{c}") for c in carry]
+
+
+def _carried_names(carry) -> list[str]:
+    return [f"raw_{c}" for c in carry]
+
+
 # ====================================================================== users
 def _direct_label(key: Column, aliases: dict, canonical: list) -> Column:
     return F.coalesce(lookup(key, aliases), lookup(key, {c.lower(): c for c in canonical}))
@@ -82,7 +93,26 @@ def _resolve_labels(df: DataFrame, name: str, canonical: list) -> DataFrame:
     return out.withColumn(name, label).drop(clean, direct, f"_{name}_fuzzy")
 
 
-def clean_users(raw: DataFrame, as_of: _dt.date | str) -> DataFrame:
+LABEL_FIELDS = (
+    ("employment_status", V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL),
+    ("education_level", V.EDUCATION_ALIASES, V.EDUCATION_CANONICAL),
+)
+
+
+def fuzzy_matches(raw_users: DataFrame) -> DataFrame:
+    """(field, value, fuzzy_label): each distinct employment / education
+    spelling that no alias or canonical label resolved, with the closest
+    canonical label (only spellings at or above the cut-off)."""
+    parts = []
+    for name, aliases, canonical in LABEL_FIELDS:
+        df = _label_columns(raw_users.select(name), name, aliases, canonical)
+        unmatched = df.where(F.col(f"_{name}_direct").isNull()).select(F.col(f"_{name}_clean").alias("value"))
+        table = fuzzy_table(unmatched, "value", canonical, V.FUZZY_CUTOFF, label_col="fuzzy_label")
+        parts.append(table.select(F.lit(name).alias("field"), "value", "fuzzy_label"))
+    return parts[0].unionByName(parts[1])
+
+
+def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()) -> DataFrame:
     """Cleaned users (one row per id, first arrival wins)."""
     as_of = _dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     df = _seq_or_default(raw)
@@ -118,6 +148,7 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str) -> DataFrame:
                trunc_to_long(F.col("num_credit_cards").cast("double"))).cast("int").alias("num_credit_cards"),
         F.col("employment_status"),
         F.col("education_level"),
+        *_carried(carry),
     )
     # age from cleaned birth year / month at the as-of date, then bounded
     age = (F.lit(as_of.year) - F.col("birth_year")
@@ -130,7 +161,7 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str) -> DataFrame:
     df = _resolve_labels(df, "employment_status", V.EMPLOYMENT_CANONICAL)
     df = _resolve_labels(df, "education_level", V.EDUCATION_CANONICAL)
     df = keep_first(df, ["id"], [SEQ])
-    return df.select(*USERS_COLUMNS)
+    return df.select(*USERS_COLUMNS, *_carried_names(carry))
 
 
 # ====================================================================== cards
@@ -159,7 +190,7 @@ def _bank_state(s: Column) -> Column:
                                   F.when(abbr.rlike(r"^\p{L}+$"), abbr))))
 
 
-def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT) -> DataFrame:
+def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT, carry: Sequence[str] = ()) -> DataFrame:
     """Cleaned cards; keep-first by id happens before cleaning."""
     df = keep_first(_seq_or_default(raw), ["id"], [SEQ])
     df = df.withColumns({
@@ -189,6 +220,7 @@ def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT) -> DataFrame:
         _bank_state(F.col("_state_s")).alias("issuer_bank_state"),
         _mapped("issuer_bank_type", V.BANK_TYPE_MAPPING, V.OTHER).alias("issuer_bank_type"),
         _mapped("issuer_risk_rating", V.RISK_RATING_MAPPING, V.RISK_DEFAULT).alias("issuer_risk_rating"),
+        *_carried(carry),
     )
 
 
@@ -206,6 +238,12 @@ def _mcc_code(s: Column, unquoted: Column) -> Column:
             .when(number >= 0, number.cast("int")))
 
 
+def mcc_code(c: Column) -> Column:
+    """Raw MCC code text -> code (INT) or NULL."""
+    s = strip_ws(c)
+    return _mcc_code(s, _mcc_code_text(s))
+
+
 def _mcc_text(c: str) -> Column:
     s = strip_ws(F.col(c))
     return F.when(~s.isin(V.MCC_BLANKS), s)
@@ -237,7 +275,7 @@ def _tx_state(c: Column) -> Column:
     return F.when(up.isin(V.VALID_US_STATES), up).otherwise(lookup(F.lower(s), V.STATE_NAME_MAP))
 
 
-def clean_transactions(raw: DataFrame, dedup: bool = True) -> DataFrame:
+def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Cleaned transactions.
 
     Keep-first by id over the whole input (one infinite chunk), then the amount
@@ -282,5 +320,6 @@ def clean_transactions(raw: DataFrame, dedup: bool = True) -> DataFrame:
         F.quarter(ts).alias("transaction_quarter"),
         F.hour(ts).alias("transaction_hour"),
         day_name(ts).alias("day_of_week"),
+        *_carried(carry),
     )
-    return df.select(*TRANSACTIONS_COLUMNS)
+    return df.select(*TRANSACTIONS_COLUMNS, *_carried_names(carry))

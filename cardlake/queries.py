@@ -24,7 +24,12 @@ from cardlake.session import checkpoint_root
 from cardlake.sources import csv_io
 from cardlake.sources.fixtures import raw_table
 from cardlake.streaming import incremental as INC
-from cardlake.operators.dedup import dedup_report
+from cardlake.operators.dedup import dedup_report, keep_first
+from cardlake.operators.keys import dense_key
+from cardlake.operators.sinks import insert_if_absent, sanitize_missing
+from cardlake.plans import curated as C
+from cardlake.plans import transform as TR
+from cardlake.plans.pipeline import DEFAULT_AS_OF
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -185,6 +190,108 @@ def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
+# ---------------------------------------------------------------- cleaning maps
+def _clean_map(table: str, raw_cols: tuple, clean_cols: tuple) -> Query:
+    """Raw spelling -> cleaned value(s) with row counts, for one cleaner, over
+    the whole raw table (the cleaning job runs once with the raw columns
+    carried through)."""
+    def run(spark, sf):
+        raw = raw_table(spark, sf, table)
+        if table == "users_data":
+            cleaned = TR.clean_users(raw, DEFAULT_AS_OF, carry=raw_cols)
+        elif table == "cards_data":
+            cleaned = TR.clean_cards(raw, carry=raw_cols)
+        else:
+            cleaned = TR.clean_transactions(raw, carry=raw_cols)
+        return comparable(Q.cleaning_map(cleaned, [f"raw_{c}" for c in raw_cols], clean_cols))
+    return run
+
+
+def _mcc_code_map(spark, sf):
+    """H25 over every raw MCC row (rows without a valid code included)."""
+    raw = raw_table(spark, sf, "mcc_data")
+    code = TR.mcc_code(F.col("code"))
+    return comparable(Q.cleaning_map(raw.select(F.col("code").alias("raw_code"), code.alias("code")),
+                                     ["raw_code"], ["code"]))
+
+
+def _mask_map(spark, sf):
+    """Cleaned card number -> masked number, on the card dimension's input."""
+    cards = layers_for(spark, sf).cards
+    masked = cards.select("card_number", C.mask_card_number(F.col("card_number")).alias("masked_card_number"))
+    return comparable(Q.cleaning_map(masked, ["card_number"], ["masked_card_number"]))
+
+
+def _fuzzy(spark, sf):
+    """Distinct spellings no alias resolved -> closest canonical label."""
+    return comparable(TR.fuzzy_matches(raw_table(spark, sf, "users_data")))
+
+
+# ---------------------------------------------------------------- operators on whole tables
+def _keep_first(table: str) -> Query:
+    """First arrival per id over the whole raw table."""
+    return lambda spark, sf: comparable(keep_first(raw_table(spark, sf, table), ["id"], ["_seq"]))
+
+
+def _surrogate_key(spark, sf):
+    """dense 1..n key over the largest cleaned table, no single-partition window."""
+    tx = layers_for(spark, sf).tx
+    return comparable(dense_key(tx.select("id"), "id", "tx_key"))
+
+
+# two overlapping deliveries of the raw feed (by the raw date text)
+CHUNK_A = "date < '1996-01-01'"
+CHUNK_B = "date >= '1995-07-01' OR date IS NULL"
+
+
+def _insert_if_absent(spark, sf):
+    """A10: two overlapping raw chunks, each cleaned on its own (keep-first
+    inside the chunk, then the amount filter); the first is loaded, the second
+    inserted where its id is absent.  Returns the target after both loads."""
+    raw = raw_table(spark, sf, "transactions_data")
+    path = _scratch(spark, "insert_if_absent")
+    TR.clean_transactions(raw.where(CHUNK_A)).write.mode("overwrite").parquet(path)
+    fresh = insert_if_absent(TR.clean_transactions(raw.where(CHUNK_B)), spark.read.parquet(path), "id", order=())
+    fresh.write.mode("append").parquet(path)
+    return comparable(spark.read.parquet(path))
+
+
+def _full_refresh(spark, sf):
+    """A table written over an older, different table at the same path
+    holds exactly the new rows."""
+    l = layers_for(spark, sf)
+    path = _scratch(spark, "full_refresh")
+    l.dim_mcc.write.mode("overwrite").parquet(path)
+    l.users.write.mode("overwrite").parquet(path)
+    return comparable(spark.read.parquet(path))
+
+
+def _sanitize(spark, sf):
+    """NaN -> NULL before the sink, on the customer dimension."""
+    return comparable(sanitize_missing(layers_for(spark, sf).dim_customers))
+
+
+MANIFEST_FILES = {"Users_Data.csv": "users_data", "Cards_Data.csv": "cards_data",
+                  "MCC_Data.csv": "mcc_data", "Transactions_Data.csv": "transactions_data"}
+
+
+def _file_manifest(spark, sf):
+    """A3/A4: four CSV files land in one folder; each is loaded into the
+    table its file name names.  Returns rows and distinct ids per table."""
+    folder = _scratch(spark, "landing")
+    for file_name, table in MANIFEST_FILES.items():
+        csv_io.write_raw_csv(raw_table(spark, sf, table), f"{folder}/{file_name}")
+    loaded = csv_io.ingest_files(spark, {f: f"{folder}/{f}" for f in MANIFEST_FILES},
+                                 {t: csv_io.with_seq(s) for t, s in csv_io.RAW_SCHEMAS.items()})
+    parts = [df.agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).cast("long").alias("rows"),
+                    F.count_distinct(df.columns[1]).cast("long").alias("distinct_keys"))
+             for t, df in sorted(loaded.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return comparable(out)
+
+
 QUERIES: dict[str, Query] = {
     # transformation layer
     "clean_users": _layer("users"),
@@ -234,6 +341,47 @@ QUERIES: dict[str, Query] = {
     "check_foreign_key": _foreign_keys,
     "check_schema_limits": _schema_limits,
     "stage_row_counts": _stage_counts,
+    # whole-table operators
+    "dedup_keep_first_users": _keep_first("users_data"),
+    "dedup_keep_first_cards": _keep_first("cards_data"),
+    "dedup_keep_first_transactions": _keep_first("transactions_data"),
+    "surrogate_key": _surrogate_key,
+    "ingest_file_manifest": _file_manifest,
+    "full_refresh_roundtrip": _full_refresh,
+    "insert_if_absent": _insert_if_absent,
+    "sanitize_missing": _sanitize,
+    # cleaning maps: raw spelling -> cleaned value, rows
+    "clean_users_money": _clean_map("users_data", ("per_capita_income", "yearly_income", "total_debt"),
+                                    ("per_capita_income", "yearly_income", "total_debt")),
+    "clean_users_gender": _clean_map("users_data", ("gender",), ("gender",)),
+    "clean_users_employment": _clean_map("users_data", ("employment_status",), ("employment_status",)),
+    "clean_users_education": _clean_map("users_data", ("education_level",), ("education_level",)),
+    "fuzzy_canonicalize": _fuzzy,
+    "title_case": _clean_map("users_data", ("address",), ("address",)),
+    "clean_users_ranges": _clean_map("users_data", ("birth_month", "birth_year", "retirement_age", "credit_score",
+                                                    "num_credit_cards", "latitude", "longitude"),
+                                     ("birth_month", "birth_year", "retirement_age", "credit_score",
+                                      "num_credit_cards", "latitude", "longitude")),
+    "customer_age": _clean_map("users_data", ("birth_year", "birth_month", "current_age"), ("current_age",)),
+    "clean_cards_money": _clean_map("cards_data", ("credit_limit",), ("credit_limit",)),
+    "clean_cards_dates": _clean_map("cards_data", ("expires", "acct_open_date"), ("expires", "acct_open_date")),
+    "clean_cards_flags": _clean_map("cards_data", ("has_chip", "card_on_dark_web"), ("has_chip", "card_on_dark_web")),
+    "clean_cards_categories": _clean_map("cards_data", ("card_brand", "card_type", "issuer_bank_type",
+                                                        "issuer_risk_rating"),
+                                         ("card_brand", "card_type", "issuer_bank_type", "issuer_risk_rating")),
+    "clean_cards_bank": _clean_map("cards_data", ("issuer_bank_name", "issuer_bank_state"),
+                                   ("issuer_bank_name", "issuer_bank_state")),
+    "clean_cards_number": _clean_map("cards_data", ("card_number", "cvv"), ("card_number", "cvv")),
+    "mask_card_number": _mask_map,
+    "clean_mcc_code": _mcc_code_map,
+    "tx_refund_split": _clean_map("transactions_data", ("amount",), ("amount", "refund_amount", "is_refund")),
+    "tx_date_parts": _clean_map("transactions_data", ("date",),
+                                ("date", "transaction_year", "transaction_month", "transaction_quarter",
+                                 "transaction_hour", "day_of_week")),
+    "tx_online_rules": _clean_map("transactions_data", ("use_chip", "merchant_city"),
+                                  ("use_chip", "merchant_city", "is_online")),
+    "tx_state_zip": _clean_map("transactions_data", ("merchant_state", "zip", "merchant_city"),
+                               ("merchant_state", "zip")),
 }
 
 FLAGSHIP = "finance_monthly_revenue"

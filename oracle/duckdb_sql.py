@@ -394,6 +394,14 @@ WHERE f.errors IS NOT NULL OR (cs.n >= 2 AND cs.sd IS NOT NULL AND f.amount > cs
 """)
 
 
+# two overlapping raw chunks, each cleaned on its own (insert-if-absent)
+cte("raw_tx_a", ("raw_tx",), "SELECT * FROM raw_tx WHERE date < '1996-01-01'")
+cte("raw_tx_b", ("raw_tx",), "SELECT * FROM raw_tx WHERE date >= '1995-07-01' OR date IS NULL")
+for _c in ("a", "b"):
+    assert CTES["t_tx"][1].count("FROM raw_tx)") == 1
+    cte(f"t_tx_{_c}", (f"raw_tx_{_c}",), CTES["t_tx"][1].replace("FROM raw_tx)", f"FROM raw_tx_{_c})"))
+
+
 def with_ctes(body: str, *needed: str) -> str:
     order: list[str] = []
 
@@ -452,6 +460,77 @@ GROUP BY dc.customer_key, dc.customer_id
 """, fct, channel, "dim_customers")
 
 
+TX_OUT = """
+SELECT CAST(id AS BIGINT) AS id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
+  CAST(client_id AS BIGINT) AS client_id, CAST(card_id AS BIGINT) AS card_id,
+  CAST(amount AS DOUBLE) AS amount, CAST(refund_amount AS DOUBLE) AS refund_amount, use_chip,
+  CAST(merchant_id AS BIGINT) AS merchant_id, merchant_city, merchant_state, zip, CAST(mcc AS BIGINT) AS mcc,
+  errors, is_refund, is_online,
+  CAST(transaction_year AS BIGINT) AS transaction_year, CAST(transaction_month AS BIGINT) AS transaction_month,
+  CAST(transaction_quarter AS BIGINT) AS transaction_quarter, CAST(transaction_hour AS BIGINT) AS transaction_hour,
+  day_of_week
+FROM {src}"""
+
+RAW_CTE = {"users_data": "raw_users", "cards_data": "raw_cards", "mcc_data": "raw_mcc",
+           "transactions_data": "raw_tx"}
+CLEAN_CTE = {"users_data": "t_users", "cards_data": "t_cards", "transactions_data": "t_tx"}
+
+# output types of cleaned columns (output convention); absent = text as is
+CLEAN_TYPES = {
+    "per_capita_income": "BIGINT", "yearly_income": "BIGINT", "total_debt": "BIGINT", "current_age": "BIGINT",
+    "birth_month": "BIGINT", "birth_year": "BIGINT", "retirement_age": "BIGINT", "credit_score": "BIGINT",
+    "num_credit_cards": "BIGINT", "latitude": "DOUBLE", "longitude": "DOUBLE",
+    "credit_limit": "DOUBLE", "cvv": "BIGINT",
+    "amount": "DOUBLE", "refund_amount": "DOUBLE", "transaction_year": "BIGINT", "transaction_month": "BIGINT",
+    "transaction_quarter": "BIGINT", "transaction_hour": "BIGINT",
+}
+
+
+def _typed(alias: str, col: str, sql_type: str | None, out: str) -> str:
+    if sql_type is None:
+        return f"{alias}.{col} AS {out}"
+    return f"CAST({alias}.{col} AS {sql_type}) AS {out}"
+
+
+def _raw_type(table: str, col: str) -> str | None:
+    from pyspark.sql import types as T
+
+    from cardlake.sources.csv_io import RAW_SCHEMAS
+    t = RAW_SCHEMAS[table][col].dataType
+    if isinstance(t, (T.IntegerType, T.LongType)):
+        return "BIGINT"
+    if isinstance(t, T.DoubleType):
+        return "DOUBLE"
+    return None
+
+
+def raw_columns(table: str, alias: str = "r") -> str:
+    from cardlake.sources.csv_io import RAW_SCHEMAS
+    cols = ["CAST(_seq AS BIGINT) AS _seq"]
+    cols += [_typed(alias, f.name, _raw_type(table, f.name), f.name) for f in RAW_SCHEMAS[table].fields]
+    return ", ".join(c.replace("CAST(_seq", f"CAST({alias}._seq") for c in cols)
+
+
+def keep_first_raw(table: str) -> str:
+    return f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY _seq) AS rn FROM {RAW_CTE[table]}) WHERE rn = 1)"
+
+
+def clean_map(table: str, raw_cols: tuple, clean_cols: tuple) -> str:
+    """Raw spelling -> cleaned value(s), rows: first raw arrival per id joined
+    to the cleaned row with that id."""
+    raw_id = "r.id" if table != "transactions_data" else int_text("r.id")
+    sel = [_typed("r", c, _raw_type(table, c), f"raw_{c}") for c in raw_cols]
+    for c in clean_cols:
+        if c == "date":
+            sel.append("strftime(t.date, '%Y-%m-%d %H:%M:%S') AS date")
+        else:
+            sel.append(_typed("t", c, CLEAN_TYPES.get(c), c))
+    return with_ctes(f"""
+SELECT {", ".join(sel)}, CAST(COUNT(*) AS BIGINT) AS rows
+FROM {keep_first_raw(table)} r JOIN {CLEAN_CTE[table]} t ON CAST({raw_id} AS BIGINT) = t.id
+GROUP BY ALL""", RAW_CTE[table], CLEAN_CTE[table])
+
+
 def queries() -> dict[str, str]:
     out: dict[str, str] = {}
 
@@ -475,16 +554,7 @@ FROM t_cards""", "t_cards")
     out["clean_mcc"] = with_ctes("""
 SELECT CAST(code AS BIGINT) AS code, description, notes, updated_by FROM t_mcc""", "t_mcc")
 
-    out["clean_transactions"] = with_ctes("""
-SELECT CAST(id AS BIGINT) AS id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date,
-  CAST(client_id AS BIGINT) AS client_id, CAST(card_id AS BIGINT) AS card_id,
-  CAST(amount AS DOUBLE) AS amount, CAST(refund_amount AS DOUBLE) AS refund_amount, use_chip,
-  CAST(merchant_id AS BIGINT) AS merchant_id, merchant_city, merchant_state, zip, CAST(mcc AS BIGINT) AS mcc,
-  errors, is_refund, is_online,
-  CAST(transaction_year AS BIGINT) AS transaction_year, CAST(transaction_month AS BIGINT) AS transaction_month,
-  CAST(transaction_quarter AS BIGINT) AS transaction_quarter, CAST(transaction_hour AS BIGINT) AS transaction_hour,
-  day_of_week
-FROM t_tx""", "t_tx")
+    out["clean_transactions"] = with_ctes(TX_OUT.format(src="t_tx"), "t_tx")
 
     out["dim_customers"] = with_ctes("""
 SELECT CAST(customer_key AS BIGINT) AS customer_key, CAST(customer_id AS BIGINT) AS customer_id, gender,
@@ -745,4 +815,66 @@ SELECT * FROM (SELECT {cl} FROM t_cards),
     out["stage_row_counts"] = with_ctes(" UNION ALL ".join(
         f"SELECT '{n}' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM {c}" for n, c in stages),
         *[c for _, c in stages])
+
+    # ---------------------------------------------------------- whole-table operators
+    for t, key in (("users_data", "users"), ("cards_data", "cards"), ("transactions_data", "transactions")):
+        out[f"dedup_keep_first_{key}"] = with_ctes(
+            f"SELECT {raw_columns(t)} FROM {keep_first_raw(t)} r", RAW_CTE[t])
+    out["surrogate_key"] = with_ctes("""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY id) AS BIGINT) AS tx_key, CAST(id AS BIGINT) AS id FROM t_tx""", "t_tx")
+    out["ingest_file_manifest"] = with_ctes(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS rows, "
+        f"CAST(COUNT(DISTINCT {'code' if t == 'mcc_data' else 'id'}) AS BIGINT) AS distinct_keys FROM {c}"
+        for t, c in RAW_CTE.items()), *RAW_CTE.values())
+    out["full_refresh_roundtrip"] = out["clean_users"]
+    out["sanitize_missing"] = out["dim_customers"]
+    out["insert_if_absent"] = with_ctes(TX_OUT.format(src="""(
+  SELECT * FROM t_tx_a
+  UNION ALL
+  SELECT * FROM t_tx_b b WHERE NOT EXISTS (SELECT 1 FROM t_tx_a a WHERE a.id = b.id))"""), "t_tx_a", "t_tx_b")
+
+    # ---------------------------------------------------------- cleaning maps
+    out["clean_users_money"] = clean_map("users_data", ("per_capita_income", "yearly_income", "total_debt"),
+                                         ("per_capita_income", "yearly_income", "total_debt"))
+    out["clean_users_gender"] = clean_map("users_data", ("gender",), ("gender",))
+    out["clean_users_employment"] = clean_map("users_data", ("employment_status",), ("employment_status",))
+    out["clean_users_education"] = clean_map("users_data", ("education_level",), ("education_level",))
+    out["title_case"] = clean_map("users_data", ("address",), ("address",))
+    rng = ("birth_month", "birth_year", "retirement_age", "credit_score", "num_credit_cards", "latitude", "longitude")
+    out["clean_users_ranges"] = clean_map("users_data", rng, rng)
+    out["customer_age"] = clean_map("users_data", ("birth_year", "birth_month", "current_age"), ("current_age",))
+    out["clean_cards_money"] = clean_map("cards_data", ("credit_limit",), ("credit_limit",))
+    out["clean_cards_dates"] = clean_map("cards_data", ("expires", "acct_open_date"), ("expires", "acct_open_date"))
+    out["clean_cards_flags"] = clean_map("cards_data", ("has_chip", "card_on_dark_web"),
+                                         ("has_chip", "card_on_dark_web"))
+    cat = ("card_brand", "card_type", "issuer_bank_type", "issuer_risk_rating")
+    out["clean_cards_categories"] = clean_map("cards_data", cat, cat)
+    out["clean_cards_bank"] = clean_map("cards_data", ("issuer_bank_name", "issuer_bank_state"),
+                                        ("issuer_bank_name", "issuer_bank_state"))
+    out["clean_cards_number"] = clean_map("cards_data", ("card_number", "cvv"), ("card_number", "cvv"))
+    out["tx_refund_split"] = clean_map("transactions_data", ("amount",), ("amount", "refund_amount", "is_refund"))
+    out["tx_date_parts"] = clean_map("transactions_data", ("date",),
+                                     ("date", "transaction_year", "transaction_month", "transaction_quarter",
+                                      "transaction_hour", "day_of_week"))
+    out["tx_online_rules"] = clean_map("transactions_data", ("use_chip", "merchant_city"),
+                                       ("use_chip", "merchant_city", "is_online"))
+    out["tx_state_zip"] = clean_map("transactions_data", ("merchant_state", "zip", "merchant_city"),
+                                    ("merchant_state", "zip"))
+    mask = strip("replace(card_number, ' ', '')")
+    out["mask_card_number"] = with_ctes(f"""
+SELECT card_number, CASE WHEN length({mask}) >= 4 THEN '{V.CARD_MASK_PREFIX}' || right({mask}, 4) END AS masked_card_number,
+  CAST(COUNT(*) AS BIGINT) AS rows
+FROM t_cards GROUP BY ALL""", "t_cards")
+    out["clean_mcc_code"] = with_ctes(f"""
+SELECT code AS raw_code, {_mcc_code()} AS code, CAST(COUNT(*) AS BIGINT) AS rows
+FROM raw_mcc GROUP BY ALL""", "raw_mcc")
+    fuzzy_rows = []
+    for field, aliases, canonical in (("employment_status", V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL),
+                                      ("education_level", V.EDUCATION_ALIASES, V.EDUCATION_CANONICAL)):
+        fuzzy = {k: v for k, v in FIXTURE_FUZZY.items() if v in canonical}
+        e = collapse(field)
+        fuzzy_rows.append(f"""
+SELECT DISTINCT '{field}' AS field, {e} AS value, {case_map(f"lower({e})", fuzzy)} AS fuzzy_label
+FROM raw_users WHERE lower({e}) IN {in_list(fuzzy)}""")
+    out["fuzzy_canonicalize"] = with_ctes(" UNION ALL ".join(fuzzy_rows), "raw_users")
     return out

@@ -102,6 +102,19 @@ def test_broadcast_only_when_bounded(spark):
     assert "broadcast" not in hint.lower()
 
 
+def test_broadcast_skipped_above_byte_estimate(spark, scratch):
+    from cardlake.operators.joins import broadcast_if_bounded, estimated_size_bytes
+    path = f"{scratch}/bytes-{__import__('uuid').uuid4().hex[:8]}"
+    spark.range(0, 5000).withColumnRenamed("id", "k").write.parquet(path)
+    side = spark.read.parquet(path)
+    est = estimated_size_bytes(side)
+    assert est is not None and est > 0
+    assert "broadcast" not in broadcast_if_bounded(side, max_bytes=est - 1)._jdf.queryExecution() \
+        .analyzed().toString().lower()
+    assert "broadcast" in broadcast_if_bounded(side, max_bytes=est + 1)._jdf.queryExecution() \
+        .analyzed().toString().lower()
+
+
 def test_div_round_half_away_from_zero(spark):
     from cardlake.functions.numbers import div_round
     df = spark.createDataFrame([(5, 2), (1, 8), (-5, 2), (1, 0)], "a long, b long")

@@ -20,7 +20,7 @@ from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans.pipeline import layers_for, marts_for
-from cardlake.session import checkpoint_root
+from cardlake.session import checkpoint_root, ensure_conf
 from cardlake.sources import csv_io
 from cardlake.sources.fixtures import raw_table
 from cardlake.streaming import incremental as INC
@@ -384,5 +384,19 @@ QUERIES: dict[str, Query] = {
                                ("merchant_state", "zip")),
 }
 
+
+
+def _with_session_conf(fn: Query) -> Query:
+    """Every query first applies the settings the plans rely on (UTC session
+    time zone, AQE with skew-join splitting) to whatever session it gets."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_conf(spark)
+        return fn(spark, sf_dir)
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {k: _with_session_conf(v) for k, v in QUERIES.items()}
+
 FLAGSHIP = "finance_monthly_revenue"
 _ = V  # fixed values are used by the plans

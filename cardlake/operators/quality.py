@@ -54,17 +54,22 @@ def fact_missing_keys(fact: DataFrame, keys: Sequence[str] = FACT_KEYS) -> DataF
     )
 
 
-def check_schema_limits(df: DataFrame, max_lengths: Mapping[str, int],
+def check_schema_limits(df: DataFrame, table: str, max_lengths: Mapping[str, int],
                         decimal_limits: Mapping[str, tuple[int, int]] | None = None) -> DataFrame:
-    """Per column: rows longer than the declared VARCHAR length, and rows that
-    overflow a declared DECIMAL(p, s).  One aggregate over the table."""
+    """(table_name, column_name, check_name, violating_rows): rows longer
+    than the declared VARCHAR length, and rows that overflow a declared
+    DECIMAL(p, s).  One aggregate over the table, unpivoted to long form."""
     aggs = []
     for c, n in max_lengths.items():
-        aggs.append(F.count_if(F.length(F.col(c)) > n).cast("long").alias(f"{c}__over_length"))
+        aggs.append(F.count_if(F.length(F.col(c)) > n).cast("long").alias(f"{c}|over_length"))
     for c, (p, s) in (decimal_limits or {}).items():
         bound = 10 ** (p - s)
-        aggs.append(F.count_if(F.abs(F.col(c)) >= bound).cast("long").alias(f"{c}__overflow"))
-    return df.agg(*aggs)
+        aggs.append(F.count_if(F.abs(F.col(c)) >= bound).cast("long").alias(f"{c}|overflow"))
+    wide = df.agg(*aggs)
+    long = wide.unpivot([], wide.columns, "check", "violating_rows")
+    parts = F.split(F.col("check"), r"\|")
+    return long.select(F.lit(table).alias("table_name"), parts[0].alias("column_name"),
+                       parts[1].alias("check_name"), "violating_rows")
 
 
 def schema_limit_rejects(df: DataFrame, max_lengths: Mapping[str, int]) -> DataFrame:

@@ -180,14 +180,10 @@ TX_LIMITS = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip":
 
 def _schema_limits(spark, sf):
     l = layers_for(spark, sf)
-    cards = Q.check_schema_limits(l.cards, CARD_LIMITS)
-    tx = Q.check_schema_limits(l.tx, TX_LIMITS, {"amount": (10, 2), "refund_amount": (10, 2)})
-    return comparable(_side_by_side(cards, tx))
-
-
-def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row results as one row (join on a constant key)."""
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    cards = Q.check_schema_limits(l.cards, "transformation.cards_data", CARD_LIMITS)
+    tx = Q.check_schema_limits(l.tx, "transformation.transactions_data", TX_LIMITS,
+                               {"amount": (10, 2), "refund_amount": (10, 2)})
+    return comparable(cards.unionByName(tx))
 
 
 # ---------------------------------------------------------------- cleaning maps

@@ -47,7 +47,8 @@ SELECT c_custkey * 2 + k AS _seq, c_custkey * 2 + k AS id, c_custkey AS client_i
   CASE c_custkey % 6 WHEN 0 THEN 'California' WHEN 1 THEN 'ny' WHEN 2 THEN 'Nevada' WHEN 3 THEN 'N.Y.' WHEN 4 THEN '' END AS issuer_bank_state,
   CASE c_custkey % 4 WHEN 0 THEN 'National Bank' WHEN 1 THEN 'online only' WHEN 2 THEN 'co-op' END AS issuer_bank_type,
   CASE c_custkey % 5 WHEN 0 THEN 'LOW risk' WHEN 1 THEN 'med' WHEN 2 THEN 'High' WHEN 3 THEN '??' END AS issuer_risk_rating
-FROM {customer} CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k UNION ALL SELECT 1 AS k) t
+FROM (SELECT *, 0 AS k FROM {customer} UNION ALL SELECT *, 1 AS k FROM {customer}
+      UNION ALL SELECT *, 1 AS k FROM {customer}) t
 """
 
 MCC_SQL = """

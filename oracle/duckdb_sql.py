@@ -795,15 +795,18 @@ FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent}
                    "issuer_bank_type": 50, "issuer_risk_rating": 20}
     tx_limits = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip": 20, "errors": 255,
                  "day_of_week": 10}
-    cl = ", ".join(f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS {c}__over_length"
-                   for c, n in card_limits.items())
-    tl = ", ".join(f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS {c}__over_length"
-                   for c, n in tx_limits.items())
-    out["check_schema_limits"] = with_ctes(f"""
-SELECT * FROM (SELECT {cl} FROM t_cards),
-  (SELECT {tl}, CAST(COUNT(*) FILTER (WHERE abs(amount) >= 100000000) AS BIGINT) AS amount__overflow,
-          CAST(COUNT(*) FILTER (WHERE abs(refund_amount) >= 100000000) AS BIGINT) AS refund_amount__overflow
-   FROM t_tx)""", "t_cards", "t_tx")
+    def limits(table: str, src: str, lengths: dict, decimals: dict) -> str:
+        rows = [f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'over_length' AS check_name, "
+                f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violating_rows FROM {src}"
+                for c, n in lengths.items()]
+        rows += [f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'overflow' AS check_name, "
+                 f"CAST(COUNT(*) FILTER (WHERE abs({c}) >= {10 ** (p - s)}) AS BIGINT) AS violating_rows FROM {src}"
+                 for c, (p, s) in decimals.items()]
+        return " UNION ALL ".join(rows)
+    out["check_schema_limits"] = with_ctes(
+        limits("transformation.cards_data", "t_cards", card_limits, {}) + " UNION ALL "
+        + limits("transformation.transactions_data", "t_tx", tx_limits, {"amount": (10, 2), "refund_amount": (10, 2)}),
+        "t_cards", "t_tx")
 
     stages = [("transformation.users_data", "t_users"), ("transformation.cards_data", "t_cards"),
               ("transformation.mcc_data", "t_mcc"), ("transformation.transactions_data", "t_tx"),

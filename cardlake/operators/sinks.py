@@ -12,15 +12,18 @@ from cardlake.operators.dedup import keep_first
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str,
-                     order: Sequence[str] = ("_seq",)) -> DataFrame:
+                     order: Sequence[str] | None = ("_seq",)) -> DataFrame:
     """Rows of `batch` to append so that `key` stays unique in the target.
 
-    Keep-first inside the batch, then drop keys the target already holds
-    (left anti join on the key column only; a target bucketed by the key
-    makes it shuffle-free on the target side).
+    Keep-first inside the batch (by `order`; `order=None` when the batch is
+    already unique by key, which skips that shuffle), then drop keys the
+    target already holds (left anti join on the key column only).
     """
-    order = [c for c in order if c in batch.columns]
-    fresh = keep_first(batch, [key], order) if order else batch.dropDuplicates([key])
+    if order is None:
+        fresh = batch
+    else:
+        order = [c for c in order if c in batch.columns]
+        fresh = keep_first(batch, [key], order) if order else batch.dropDuplicates([key])
     if target is None:
         return fresh
     return fresh.join(target.select(key).where(F.col(key).isNotNull()), key, "left_anti")

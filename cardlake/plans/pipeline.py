@@ -19,8 +19,8 @@ from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans import transform as T
-from cardlake.session import checkpoint_root, ensure_conf
-from cardlake.sources.fixtures import raw_tables
+from cardlake.session import checkpoint_root, ensure_conf, input_size_bytes, size_shuffle_partitions
+from cardlake.sources.fixtures import RAW_INPUTS, raw_tables
 from cardlake.sources.layers import LayerStore
 
 DEFAULT_AS_OF = "2025-06-15"
@@ -116,6 +116,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
                  as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
     """Build every layer under `out_root`; CTAS marts are written, views returned lazily."""
     ensure_conf(spark)
+    inputs = sorted({t for ts in RAW_INPUTS.values() for t in ts})
+    size_shuffle_partitions(spark, input_size_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
     store = LayerStore(spark, out_root)
     layers = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
     marts = build_mart_tables(layers)

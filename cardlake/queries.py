@@ -247,7 +247,7 @@ def _insert_if_absent(spark, sf):
     raw = raw_table(spark, sf, "transactions_data")
     path = _scratch(spark, "insert_if_absent")
     TR.clean_transactions(raw.where(CHUNK_A)).write.mode("overwrite").parquet(path)
-    fresh = insert_if_absent(TR.clean_transactions(raw.where(CHUNK_B)), spark.read.parquet(path), "id", order=())
+    fresh = insert_if_absent(TR.clean_transactions(raw.where(CHUNK_B)), spark.read.parquet(path), "id", order=None)
     fresh.write.mode("append").parquet(path)
     return comparable(spark.read.parquet(path))
 

@@ -66,3 +66,34 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
+
+
+def input_size_bytes(spark: SparkSession, paths) -> int:
+    """Total bytes under `paths` (file-system metadata only, nothing is read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += int(fs.getContentSummary(path).getLength())
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
+                            bytes_per_partition: int = 128 * 1024 * 1024,
+                            max_partitions: int = 50_000) -> int:
+    """Initial shuffle partition count for AQE to coalesce from.
+
+    The largest shuffles (keep-first of the raw transactions, the fact joins)
+    move about as much data as the input, so they start with one partition
+    per `bytes_per_partition` of (compressed) input; AQE then merges small
+    partitions and splits skewed ones.  The cap keeps map x reduce block
+    counts manageable.  Never lowers the session's own setting.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max_partitions, -(-input_bytes // bytes_per_partition))
+    n = max(current, wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
+    return n

@@ -12,6 +12,7 @@ effectively exactly-once.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,12 +40,26 @@ def _existing(spark: SparkSession, target_path: str) -> DataFrame | None:
 
 
 def load_batch(batch: DataFrame, target_path: str) -> None:
-    """Clean one micro-batch and append the ids the target does not hold."""
+    """Clean one micro-batch and append the ids the target does not hold.
+
+    Only target rows inside the batch's id range can conflict, so that range
+    (two values) is pushed into the target scan: appended files are sorted
+    by id, and Parquet min/max statistics let Spark skip every file and row
+    group outside it instead of reading the whole target's id column on
+    each batch.
+    """
     spark = batch.sparkSession
-    cleaned = clean_transactions(batch)  # keep-first inside the batch
-    target = _existing(spark, target_path)
-    fresh = insert_if_absent(cleaned, target, "id", order=())
-    fresh.write.mode("append").parquet(target_path)
+    cleaned = clean_transactions(batch).persist(StorageLevel.MEMORY_AND_DISK)  # keep-first inside the batch
+    try:
+        target = _existing(spark, target_path)
+        if target is not None:
+            lo, hi = cleaned.agg(F.min("id"), F.max("id")).first()
+            if lo is not None:
+                target = target.where(F.col("id").between(lo, hi))
+        fresh = insert_if_absent(cleaned, target, "id", order=None)
+        fresh.sortWithinPartitions("id").write.mode("append").parquet(target_path)
+    finally:
+        cleaned.unpersist()
 
 
 def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,

@@ -121,3 +121,18 @@ def test_div_round_half_away_from_zero(spark):
     got = [r[0] for r in df.select(div_round(F.col("a"), F.col("b"), 0)).collect()]
     assert [None if g is None else float(g) for g in got] == [3.0, 0.0, -3.0, None]
     assert not any(isinstance(g, float) and math.isnan(g) for g in got)
+
+
+def test_shuffle_partition_sizing(spark):
+    from cardlake.session import input_size_bytes, size_shuffle_partitions
+    from conftest import SF_SMALL
+    size = input_size_bytes(spark, [f"{SF_SMALL}/lineitem.parquet", f"{SF_SMALL}/missing.parquet"])
+    assert size > 0
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        assert size_shuffle_partitions(spark, size) == 8                     # never below the session setting
+        assert size_shuffle_partitions(spark, 100 * 2**40) == 50_000          # 100 TB: capped
+        assert size_shuffle_partitions(spark, 2**40) == 8192                  # 1 TB / 128 MB
+        assert spark.conf.get(key) == "8192"
+    finally:
+        spark.conf.unset(key)

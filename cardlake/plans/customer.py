@@ -93,28 +93,36 @@ def customer_spend_stats(fct: DataFrame) -> DataFrame:
     )
 
 
-def suspicious_transactions(fct: DataFrame, dim_customer: DataFrame, dim_date: DataFrame,
+def customer_stats(fct: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """Per-customer spend statistics with the customer id (one row per
+    customer).  Materialised as a mart table: the suspicious-transaction
+    view then joins the fact to a table scan, a join whose two inputs are
+    both plain shuffles, which is the shape AQE can split for a hot customer.
+    """
+    return customer_spend_stats(fct).join(dim_customer, "customer_key")
+
+
+def suspicious_transactions(fct: DataFrame, stats: DataFrame, dim_date: DataFrame,
                             channel: DataFrame) -> DataFrame:
     """Rows with an error, or above the customer's mean + 3 sample sd.
 
-    Stats are one aggregate per customer joined back by key (AQE splits a
-    skewed customer); the filter runs right after that join, before the
-    remaining (small, broadcast) dimension joins.
+    `stats` is `customer_stats` (read back from its table).  The fact takes
+    part in exactly one shuffle join, on customer_key; the filter runs right
+    after it, before the small (broadcast) dimension joins.
     """
-    stats = customer_spend_stats(fct)
     amt = F.col("amount")
     outlier = ((F.col("txn_count") >= V.OUTLIER_MIN_COUNT) & F.col("stddev_spend").isNotNull()
                & (amt.cast("double") > F.col("avg_spend").cast("double") + V.OUTLIER_SIGMAS * F.col("stddev_spend")))
     has_error = F.col("errors").isNotNull()
     flagged = fct.join(stats, "customer_key").where(has_error | outlier).select(
-        "transaction_id", "customer_key", "date_key", "channel_key", "amount", "errors",
+        "transaction_id", "customer_key", "customer_id", "date_key", "channel_key", "amount", "errors",
         "avg_spend", "stddev_spend",
         F.when(has_error, F.lit(V.REASON_ERROR)).when(outlier, F.lit(V.REASON_OUTLIER))
         .otherwise(F.lit(V.REASON_NONE)).alias("suspicion_reason"),
     )
     d = broadcast_if_bounded(dim_date.select("date_key", F.col("date").alias("transaction_date")))
     ch = broadcast_if_bounded(channel.select("channel_key", "channel_group"))
-    return flagged.join(dim_customer, "customer_key").join(d, "date_key").join(ch, "channel_key").select(
+    return flagged.join(d, "date_key").join(ch, "channel_key").select(
         "transaction_id", "customer_key", "customer_id", "transaction_date", "channel_group", "amount",
         F.round(F.col("avg_spend"), 4).alias("customer_avg_spend"),
         F.round(F.col("stddev_spend"), 4).alias("customer_stddev"),

@@ -74,6 +74,7 @@ class MartTables:
     fact_customer: DataFrame
     dim_customer: DataFrame
     dim_card: DataFrame
+    customer_stats: DataFrame
 
 
 def build_mart_tables(layers: Layers, online_sources=FI.V.ONLINE_CHANNEL_SOURCES, tag: str = "") -> MartTables:
@@ -83,13 +84,14 @@ def build_mart_tables(layers: Layers, online_sources=FI.V.ONLINE_CHANNEL_SOURCES
     fct = g(MARTS, f"fact_customer_transactions{tag}", lambda: CU.build_fact_customer(layers.fact, channel), "transaction_id")
     dim_customer = g(MARTS, "dim_customer", lambda: CU.build_dim_customer(layers.dim_customers), "customer_key")
     dim_card = g(MARTS, "dim_card", lambda: CU.build_dim_card(layers.dim_cards), "card_key")
-    return MartTables(channel, ff, fct, dim_customer, dim_card)
+    stats = g(MARTS, f"customer_stats{tag}", lambda: CU.customer_stats(fct, dim_customer), "customer_key")
+    return MartTables(channel, ff, fct, dim_customer, dim_card, stats)
 
 
 def mart_views(layers: Layers, marts: MartTables) -> dict[str, DataFrame]:
     """All mart outputs as lazy DataFrames (views and CTAS bodies)."""
     ff, fct, ch = marts.fact_finance, marts.fact_customer, marts.dim_channel
-    suspicious = CU.suspicious_transactions(fct, marts.dim_customer, layers.dim_date, ch)
+    suspicious = CU.suspicious_transactions(fct, marts.customer_stats, layers.dim_date, ch)
     return {
         "finance_monthly_revenue": FI.monthly_revenue(ff, layers.dim_date),
         "finance_refund_summary": FI.refund_summary(ff, layers.dim_date),

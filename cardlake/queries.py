@@ -80,7 +80,7 @@ def _channel_online(spark, sf):
 
 
 def _suspicious(layers, marts):
-    return CU.suspicious_transactions(marts.fact_customer, marts.dim_customer, layers.dim_date, marts.dim_channel)
+    return CU.suspicious_transactions(marts.fact_customer, marts.customer_stats, layers.dim_date, marts.dim_channel)
 
 
 def _spend_stats(layers, marts):

@@ -31,7 +31,7 @@ def test_preferred_channel(spark):
 
 
 def test_suspicion_reasons(spark):
-    from cardlake.plans.customer import suspicious_transactions
+    from cardlake.plans.customer import customer_stats, suspicious_transactions
     from cardlake.functions import fixed_values as V
     channel, dim_customer, dim_date = _dims(spark)
     rows, tid = [], 0
@@ -49,7 +49,8 @@ def test_suspicion_reasons(spark):
     error_small = add(1, "10", "Bad PIN")
     error_and_outlier = add(4, "1000", "Bad PIN")
     add(3, "5")                                   # single row, no error: not flagged
-    out = suspicious_transactions(spark.createDataFrame(rows, FCT), dim_customer, dim_date, channel)
+    fct = spark.createDataFrame(rows, FCT)
+    out = suspicious_transactions(fct, customer_stats(fct, dim_customer), dim_date, channel)
     got = {r["transaction_id"]: r["suspicion_reason"] for r in out.collect()}
     assert got == {outlier: V.REASON_OUTLIER, error_small: V.REASON_ERROR, error_and_outlier: V.REASON_ERROR}
 

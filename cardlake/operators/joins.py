@@ -26,8 +26,8 @@ def row_count_at_most(df: DataFrame, limit: int) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                         max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None,
+                         max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint only after checking the size.
 
     A known size estimate above `max_bytes` rules the broadcast out without
@@ -37,6 +37,8 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     broadcast from runtime sizes, and splits skewed partitions).  Use on
     materialised tables, where both checks are cheap.
     """
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_MAX_BYTES if max_bytes is None else max_bytes
     est = estimated_size_bytes(df)
     if est is not None and est > max_bytes:
         return df

@@ -83,3 +83,41 @@ def test_run_pipeline_writes_layers_and_marts(spark, scratch):
     for name in MATERIALISED_MARTS:
         assert spark.read.parquet(f"{out}/marts/{name}").count() == marts[name].count()
     assert spark.read.parquet(f"{out}/curated/fact_transactions").count() > 0
+
+
+def test_results_same_without_any_broadcast(spark, scratch, monkeypatch):
+    """Above the broadcast bounds every dimension join is a shuffle join;
+    the fact and the marts must not change."""
+    from cardlake.operators import joins
+    from cardlake.plans import curated as C
+    from cardlake.plans import customer as CU
+    from cardlake.plans import finance as FI
+    from cardlake.plans import merchant as ME
+    from cardlake.plans.pipeline import marts_for
+
+    l, m = marts_for(spark, SF_SMALL)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    def views():
+        fact = C.build_fact(l.tx, l.dims())
+        return {"fact": rows(fact),
+                "ltv": rows(CU.customer_ltv(m.fact_customer, m.dim_customer, l.dim_date)),
+                "suspicious": rows(CU.suspicious_transactions(m.fact_customer, m.customer_stats, l.dim_date,
+                                                              m.dim_channel)),
+                "monthly": rows(FI.monthly_revenue(m.fact_finance, l.dim_date)),
+                "yoy": rows(ME.industry_growth_yoy(l.fact, l.dim_date, l.dim_mcc))}
+
+    expected = views()
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = C.build_fact(l.tx, l.dims())._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert views() == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")

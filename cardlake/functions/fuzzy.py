@@ -9,7 +9,7 @@ back.  Cost grows with the number of distinct spellings, not with rows.
 from __future__ import annotations
 
 import difflib
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,3 +38,21 @@ def fuzzy_table(values: DataFrame, value_col: str, labels: Sequence[str],
 
     distinct = values.select(value_col).where(F.col(value_col).isNotNull()).distinct()
     return distinct.mapInPandas(score, schema=f"{value_col} string, {label_col} string")
+
+
+def fuzzy_table_by_field(values: DataFrame, field_col: str, value_col: str,
+                         labels_by_field: Mapping[str, Sequence[str]], cutoff: float,
+                         label_col: str = "fuzzy_label") -> DataFrame:
+    """distinct (field, value) -> (field, value, label) for matched values,
+    each field scored against its own label list, all in one Python stage."""
+    labels_by_field = {k: list(v) for k, v in labels_by_field.items()}
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = pdf[[field_col, value_col]].copy()
+            out[label_col] = [closest_label(v, labels_by_field[f], cutoff)
+                              for f, v in zip(out[field_col], out[value_col])]
+            yield out[out[label_col].notna()]
+
+    distinct = values.select(field_col, value_col).where(F.col(value_col).isNotNull()).distinct()
+    return distinct.mapInPandas(score, schema=f"{field_col} string, {value_col} string, {label_col} string")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cardlake.functions import fixed_values as V
 from cardlake.functions.dates import day_name, month_year, parse_timestamp
-from cardlake.functions.fuzzy import fuzzy_table
+from cardlake.functions.fuzzy import fuzzy_table_by_field
 from cardlake.functions.numbers import (card_money, card_money_number_text, card_money_text, in_range,
                                         round_to_long, trunc_to_long, try_integer_text, try_number,
                                         tx_amount, user_money, user_money_text)
@@ -82,34 +82,51 @@ def _label_columns(df: DataFrame, name: str, aliases: dict, canonical: list) ->
               .withColumn(f"_{name}_direct", _direct_label(F.lower(F.col(f"_{name}_clean")), aliases, canonical)))
 
 
-def _resolve_labels(df: DataFrame, name: str, canonical: list) -> DataFrame:
-    """alias / canonical hit, else closest canonical label, else title case."""
-    clean, direct = f"_{name}_clean", f"_{name}_direct"
-    unmatched = df.where(F.col(direct).isNull()).select(clean)
-    table = fuzzy_table(unmatched, clean, canonical, V.FUZZY_CUTOFF, label_col=f"_{name}_fuzzy")
-    table = broadcast_if_bounded(table.checkpoint(eager=True))
-    out = df.join(table, clean, "left")
-    label = F.coalesce(F.col(direct), F.col(f"_{name}_fuzzy"), py_title(F.col(clean)))
-    return out.withColumn(name, label).drop(clean, direct, f"_{name}_fuzzy")
-
-
 LABEL_FIELDS = (
     ("employment_status", V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL),
     ("education_level", V.EDUCATION_ALIASES, V.EDUCATION_CANONICAL),
 )
 
 
+def _unmatched_spellings(df: DataFrame) -> DataFrame:
+    """(field, value) for every label field whose spelling no alias or
+    canonical label resolved - both fields in one pass over `df`."""
+    pairs = F.array(*[F.struct(F.lit(name).alias("field"),
+                               F.when(F.col(f"_{name}_direct").isNull(), F.col(f"_{name}_clean")).alias("value"))
+                      for name, _, _ in LABEL_FIELDS])
+    return df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+
+
+def _fuzzy_labels(df: DataFrame) -> DataFrame:
+    """(field, value, fuzzy_label) for the unmatched spellings of `df`."""
+    return fuzzy_table_by_field(_unmatched_spellings(df), "field", "value",
+                                {name: canonical for name, _, canonical in LABEL_FIELDS}, V.FUZZY_CUTOFF)
+
+
+def _resolve_labels(df: DataFrame) -> DataFrame:
+    """alias / canonical hit, else closest canonical label, else title case.
+
+    The fuzzy table (distinct unmatched spellings only) is built once for all
+    label fields, checkpointed, size-checked and joined back per field.
+    """
+    table = broadcast_if_bounded(_fuzzy_labels(df).checkpoint(eager=True))
+    for name, _, _ in LABEL_FIELDS:
+        clean, direct, fuzzy = f"_{name}_clean", f"_{name}_direct", f"_{name}_fuzzy"
+        side = table.where(F.col("field") == name).select(F.col("value").alias(clean), F.col("fuzzy_label").alias(fuzzy))
+        df = df.join(side, clean, "left")
+        label = F.coalesce(F.col(direct), F.col(fuzzy), py_title(F.col(clean)))
+        df = df.withColumn(name, label).drop(clean, direct, fuzzy)
+    return df
+
+
 def fuzzy_matches(raw_users: DataFrame) -> DataFrame:
     """(field, value, fuzzy_label): each distinct employment / education
     spelling that no alias or canonical label resolved, with the closest
     canonical label (only spellings at or above the cut-off)."""
-    parts = []
+    df = raw_users.select(*[name for name, _, _ in LABEL_FIELDS])
     for name, aliases, canonical in LABEL_FIELDS:
-        df = _label_columns(raw_users.select(name), name, aliases, canonical)
-        unmatched = df.where(F.col(f"_{name}_direct").isNull()).select(F.col(f"_{name}_clean").alias("value"))
-        table = fuzzy_table(unmatched, "value", canonical, V.FUZZY_CUTOFF, label_col="fuzzy_label")
-        parts.append(table.select(F.lit(name).alias("field"), "value", "fuzzy_label"))
-    return parts[0].unionByName(parts[1])
+        df = _label_columns(df, name, aliases, canonical)
+    return _fuzzy_labels(df)
 
 
 def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()) -> DataFrame:
@@ -156,10 +173,9 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()
     age = F.when(F.col("birth_year").isNotNull() & F.col("birth_month").isNotNull(), age)
     df = df.withColumn("current_age", in_range(age, *V.RANGES["current_age"]).cast("int"))
 
-    df = _label_columns(df, "employment_status", V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL)
-    df = _label_columns(df, "education_level", V.EDUCATION_ALIASES, V.EDUCATION_CANONICAL)
-    df = _resolve_labels(df, "employment_status", V.EMPLOYMENT_CANONICAL)
-    df = _resolve_labels(df, "education_level", V.EDUCATION_CANONICAL)
+    for name, aliases, canonical in LABEL_FIELDS:
+        df = _label_columns(df, name, aliases, canonical)
+    df = _resolve_labels(df)
     df = keep_first(df, ["id"], [SEQ])
     return df.select(*USERS_COLUMNS, *_carried_names(carry))
 

@@ -114,6 +114,15 @@ def _bulk_roundtrip(spark, sf):
     return comparable(csv_io.read_bulk_csv(spark, path, fact.schema))
 
 
+def _bulk_empty_null_roundtrip(spark, sf):
+    """Cleaned transactions through a bulk-load CSV whose NULL marker is the
+    empty string (A12): empty text comes back as NULL."""
+    tx = layers_for(spark, sf).tx
+    path = _scratch(spark, "tx_bulk_empty")
+    csv_io.write_bulk_csv(tx, path, null_marker="")
+    return comparable(csv_io.read_bulk_csv(spark, path, tx.schema, null_marker=""))
+
+
 def _stream_load(spark, sf):
     """Raw transactions landed as files, loaded by the streaming job twice
     (the second run must add nothing)."""
@@ -330,6 +339,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_roundtrip_users": _csv_roundtrip("users_data"),
     "ingest_csv_roundtrip_transactions": _csv_roundtrip("transactions_data"),
     "csv_null_marker_roundtrip": _bulk_roundtrip,
+    "csv_empty_null_roundtrip": _bulk_empty_null_roundtrip,
     "stream_tx_load": _stream_load,
     # de-duplication report and data-quality checks
     "dedup_report": _dedup_report,

@@ -755,6 +755,11 @@ SELECT CAST(_seq AS BIGINT) AS _seq, id, date, CAST(client_id AS BIGINT) AS clie
 FROM raw_tx""", "raw_tx")
     out["csv_null_marker_roundtrip"] = out["fact_transactions"]
     out["stream_tx_load"] = out["clean_transactions"]
+    out["csv_empty_null_roundtrip"] = with_ctes(TX_OUT.format(src="""(
+  SELECT * REPLACE (nullif(use_chip, '') AS use_chip, nullif(merchant_city, '') AS merchant_city,
+                    nullif(merchant_state, '') AS merchant_state, nullif(zip, '') AS zip,
+                    nullif(errors, '') AS errors, nullif(day_of_week, '') AS day_of_week)
+  FROM t_tx)"""), "t_tx")
 
     # ---------------------------------------------------------- quality
     out["dedup_report"] = with_ctes(" UNION ALL ".join(f"""

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardlake.functions import fixed_values as V
-from cardlake.functions.text import col_, strip_ws
+from cardlake.functions.text import col_
 
 # Accepted timestamp text for transactions, first match wins.
 TX_TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardlake.functions import fixed_values as V
 from cardlake.operators import quality as Q
 from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
@@ -405,4 +404,3 @@ def _with_session_conf(fn: Query) -> Query:
 QUERIES = {k: _with_session_conf(v) for k, v in QUERIES.items()}
 
 FLAGSHIP = "finance_monthly_revenue"
-_ = V  # fixed values are used by the plans

@@ -4,8 +4,6 @@ the per-customer statistics join instead of giving it to one task."""
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import pytest
 from pyspark.sql import functions as F
 

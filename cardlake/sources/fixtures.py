@@ -27,6 +27,7 @@ SELECT c_custkey AS _seq, c_custkey AS id,
   CASE c_custkey % 8 WHEN 0 THEN 'BA/BS' WHEN 1 THEN 'hs' WHEN 2 THEN 'master''s  degree' WHEN 3 THEN 'doctorat' WHEN 4 THEN 'assoc degree' WHEN 5 THEN 'phd''s' WHEN 6 THEN 'High  Schol' END AS education_level
 FROM {customer}
 UNION ALL
+-- extra rows, not a subset: late re-deliveries of every 50th customer id, which keep-first must drop
 SELECT 1000000000 + c_custkey, c_custkey, 1, 1, 1980, 6, 'M', 'dup', 0.0, 0.0, '1', '1', '1', 700, 1, 'Student', 'hs' FROM {customer} WHERE c_custkey % 50 = 0
 """
 

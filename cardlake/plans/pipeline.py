@@ -120,7 +120,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
     ensure_conf(spark)
     inputs = sorted({t for ts in RAW_INPUTS.values() for t in ts})
     size_shuffle_partitions(spark, input_size_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
-    store = LayerStore(spark, out_root)
+    store = LayerStore(spark, out_root, refresh=True)
     layers = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
     marts = build_mart_tables(layers)
     views = mart_views(layers, marts)

@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class LayerStore:
-    def __init__(self, spark: SparkSession, root: str):
+    """`refresh=True` rewrites every table on each build (a full-refresh run);
+    `refresh=False` reuses complete tables (a cache keyed by its root)."""
+
+    def __init__(self, spark: SparkSession, root: str, refresh: bool = False):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.refresh = refresh
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -36,6 +40,6 @@ class LayerStore:
         return self.spark.read.parquet(self.path(layer, name))
 
     def get_or_build(self, layer: str, name: str, build, sort_by: str | None = None) -> DataFrame:
-        if self.has(layer, name):
+        if not self.refresh and self.has(layer, name):
             return self.read(layer, name)
         return self.write(build(), layer, name, sort_by)

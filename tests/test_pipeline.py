@@ -85,6 +85,16 @@ def test_run_pipeline_writes_layers_and_marts(spark, scratch):
     assert spark.read.parquet(f"{out}/curated/fact_transactions").count() > 0
 
 
+def test_run_pipeline_is_a_full_refresh(spark, scratch):
+    """A second run into the same folder with other input replaces every table."""
+    from cardlake.plans.pipeline import run_pipeline
+    out = f"{scratch}/test-refresh-{uuid.uuid4().hex[:8]}"
+    run_pipeline(spark, SF_SMALL, out)
+    small = spark.read.parquet(f"{out}/curated/fact_transactions").count()
+    run_pipeline(spark, "/root/testdata/sf0.01", out)
+    assert spark.read.parquet(f"{out}/curated/fact_transactions").count() > small
+
+
 def test_results_same_without_any_broadcast(spark, scratch, monkeypatch):
     """Above the broadcast bounds every dimension join is a shuffle join;
     the fact and the marts must not change."""

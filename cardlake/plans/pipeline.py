@@ -21,6 +21,7 @@ from cardlake.plans import merchant as ME
 from cardlake.plans import transform as T
 from cardlake.session import checkpoint_root, ensure_conf, input_size_bytes, size_shuffle_partitions
 from cardlake.sources.fixtures import RAW_INPUTS, raw_tables
+from cardlake.sources import csv_io
 from cardlake.sources.layers import LayerStore
 
 DEFAULT_AS_OF = "2025-06-15"
@@ -114,14 +115,17 @@ def mart_views(layers: Layers, marts: MartTables) -> dict[str, DataFrame]:
 MATERIALISED_MARTS = ("merchant_volume", "industry_growth_yoy", "merchant_error_rates", "merchant_geo_revenue")
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
-                 as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
-    """Build every layer under `out_root`; CTAS marts are written, views returned lazily."""
+def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
+               as_of: str | _dt.date = DEFAULT_AS_OF, input_bytes: int = 0) -> dict[str, DataFrame]:
+    """Full refresh of every layer under `out_root` from the four raw tables.
+
+    Transformation, curated and mart tables are written as Parquet; the CTAS
+    marts are written too, the views are returned lazily (name -> DataFrame).
+    """
     ensure_conf(spark)
-    inputs = sorted({t for ts in RAW_INPUTS.values() for t in ts})
-    size_shuffle_partitions(spark, input_size_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs]))
+    size_shuffle_partitions(spark, input_bytes)
     store = LayerStore(spark, out_root, refresh=True)
-    layers = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
+    layers = build_layers(spark, raw, store, as_of)
     marts = build_mart_tables(layers)
     views = mart_views(layers, marts)
     out = {}
@@ -134,6 +138,27 @@ def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
     return out
 
 
+def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
+                 as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
+    """Every layer from the raw tables derived from the test tables in `sf_dir`."""
+    inputs = sorted({t for ts in RAW_INPUTS.values() for t in ts})
+    size = input_size_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs])
+    return run_layers(spark, raw_tables(spark, sf_dir), out_root, as_of, size)
+
+
+def run_pipeline_from_csv(spark: SparkSession, csv_dir: str, out_root: str,
+                          as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
+    """Every layer from the four raw CSV files in `csv_dir` (header, comma,
+    UTF-8; each file loads into the table its name names, e.g.
+    `Users_Data.csv` -> users_data; arrival order = file order)."""
+    files = csv_io.list_csv_files(spark, csv_dir)
+    raw = csv_io.ingest_files(spark, files)
+    missing = sorted(set(RAW_INPUTS) - set(raw))
+    if missing:
+        raise ValueError(f"no CSV file for {missing} in {csv_dir}")
+    return run_layers(spark, raw, out_root, as_of, input_size_bytes(spark, list(files.values())))
+
+
 # ---------------------------------------------------------------- per-session cache
 _CODE_HASH = None
 _CACHE: dict = {}

@@ -97,6 +97,20 @@ def ingest_files(spark: SparkSession, files: dict[str, str],
     return out
 
 
+def list_csv_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """{file name: path} of the `.csv` entries (files or Spark output folders)
+    directly under `folder` - a listing of names, no data is read."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    out = {}
+    for status in path.getFileSystem(conf).listStatus(path):
+        name = status.getPath().getName()
+        if name.lower().endswith(".csv"):
+            out[name] = status.getPath().toString()
+    return out
+
+
 def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """(table_name, file_path, lines) for every CSV file under `folder`,
     derived from the file metadata column - no driver-side listing."""

@@ -48,7 +48,7 @@ RAW_SCHEMAS = {
 }
 
 # a NULL marker that never occurs in data: only unquoted empty fields are NULL
-_NO_NULL_TEXT = "\u0000<null>\u0000"
+NO_NULL_TEXT = "\u0000<null>\u0000"
 NULL_MARKER = "\\N"
 
 
@@ -63,7 +63,7 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, with_arri
           .option("header", True).option("sep", ",").option("encoding", "UTF-8")
           .option("quote", '"').option("escape", '"')
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("nullValue", _NO_NULL_TEXT)
+          .option("nullValue", NO_NULL_TEXT)
           .option("mode", "FAILFAST")
           .csv(path))
     if with_arrival_seq and "_seq" not in schema.fieldNames():

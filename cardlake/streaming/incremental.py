@@ -20,6 +20,7 @@ from pyspark.sql.utils import AnalysisException
 
 from cardlake.operators.sinks import insert_if_absent
 from cardlake.plans.transform import clean_transactions
+from cardlake.sources import csv_io
 
 RAW_TX_SCHEMA = T.StructType([
     T.StructField("_seq", T.LongType()), T.StructField("id", T.StringType()),
@@ -63,12 +64,22 @@ def load_batch(batch: DataFrame, target_path: str) -> None:
 
 
 def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
-                   files_per_batch: int = 1, schema: T.StructType = RAW_TX_SCHEMA):
+                   files_per_batch: int = 1, schema: T.StructType = RAW_TX_SCHEMA,
+                   source_format: str = "parquet"):
     """Start the incremental load; returns the StreamingQuery (availableNow:
-    processes what has landed, in batches of `files_per_batch` files, then stops)."""
-    stream = (spark.readStream.schema(schema)
-              .option("maxFilesPerTrigger", files_per_batch)
-              .parquet(landing_dir))
+    processes what has landed, in batches of `files_per_batch` files, then stops).
+
+    `source_format="csv"` reads raw CSV deliveries with the batch ingest's
+    options (header, doubled-quote escaping, NULL only for unquoted empty
+    fields, malformed rows fail); without a `_seq` column the arrival order
+    inside a batch is file order.
+    """
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if source_format == "csv":
+        reader = (reader.option("header", True).option("quote", '"').option("escape", '"')
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                  .option("nullValue", csv_io.NO_NULL_TEXT).option("mode", "FAILFAST"))
+    stream = reader.format(source_format).load(landing_dir)
     return (stream.writeStream
             .foreachBatch(lambda df, epoch: load_batch(df, target_path))
             .option("checkpointLocation", checkpoint_dir)
@@ -76,6 +87,11 @@ def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, chec
             .start())
 
 
-def land_raw_transactions(raw: DataFrame, landing_dir: str, files: int = 4) -> None:
-    """Land raw rows as `files` Parquet files, every id within one file."""
-    raw.repartition(files, F.col("id")).write.mode("overwrite").parquet(landing_dir)
+def land_raw_transactions(raw: DataFrame, landing_dir: str, files: int = 4, source_format: str = "parquet") -> None:
+    """Land raw rows as `files` files, every id within one file (CSV: in
+    arrival order inside each file, without the `_seq` column)."""
+    landed = raw.repartition(files, F.col("id"))
+    if source_format == "csv":
+        csv_io.write_raw_csv(landed.sortWithinPartitions("_seq").drop("_seq"), landing_dir)
+    else:
+        landed.write.mode("overwrite").parquet(landing_dir)

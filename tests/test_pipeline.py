@@ -153,3 +153,20 @@ def test_pipeline_from_csv_files_matches(spark, scratch):
         assert a.exceptAll(b).count() == 0
     for name in ("finance_monthly_revenue", "suspicious_transactions", "merchant_volume"):
         assert sorted(map(tuple, from_csv[name].collect())) == sorted(map(tuple, from_tables[name].collect()))
+
+
+def test_incremental_load_from_csv_deliveries(spark, scratch):
+    """CSV landing files give the same target as Parquet landing files."""
+    from cardlake.sources.fixtures import raw_table
+    from cardlake.streaming import incremental as INC
+    from cardlake.sources.csv_io import RAW_SCHEMAS
+    base = f"{scratch}/test-stream-csv-{uuid.uuid4().hex[:8]}"
+    raw = raw_table(spark, SF_SMALL, "transactions_data")
+    INC.land_raw_transactions(raw, f"{base}/csv", source_format="csv")
+    INC.land_raw_transactions(raw, f"{base}/pq")
+    INC.stream_tx_load(spark, f"{base}/csv", f"{base}/t_csv", f"{base}/c_csv",
+                       schema=RAW_SCHEMAS["transactions_data"], source_format="csv").awaitTermination()
+    INC.stream_tx_load(spark, f"{base}/pq", f"{base}/t_pq", f"{base}/c_pq").awaitTermination()
+    a, b = spark.read.parquet(f"{base}/t_csv"), spark.read.parquet(f"{base}/t_pq")
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0

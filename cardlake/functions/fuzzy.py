@@ -9,12 +9,19 @@ back.  Cost grows with the number of distinct spellings, not with rows.
 from __future__ import annotations
 
 import difflib
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The scoring code runs in executor Python workers, which need not have this
+# package installed: ship this module's functions with the task (by value)
+# instead of importing them there by name.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def closest_label(value: str | None, labels: Sequence[str], cutoff: float) -> str | None:
     """Best label whose ratio against `value` (both lower-cased) >= cutoff."""
@@ -25,21 +32,6 @@ def closest_label(value: str | None, labels: Sequence[str], cutoff: float) -> st
     return labels[lowered.index(hit[0])] if hit else None
 
 
-def fuzzy_table(values: DataFrame, value_col: str, labels: Sequence[str],
-                cutoff: float, label_col: str = "fuzzy_label") -> DataFrame:
-    """distinct(values[value_col]) -> (value_col, label_col) for matched values."""
-    labels = list(labels)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = pdf[[value_col]].copy()
-            out[label_col] = [closest_label(v, labels, cutoff) for v in out[value_col]]
-            yield out[out[label_col].notna()]
-
-    distinct = values.select(value_col).where(F.col(value_col).isNotNull()).distinct()
-    return distinct.mapInPandas(score, schema=f"{value_col} string, {label_col} string")
-
-
 def fuzzy_table_by_field(values: DataFrame, field_col: str, value_col: str,
                          labels_by_field: Mapping[str, Sequence[str]], cutoff: float,
                          label_col: str = "fuzzy_label") -> DataFrame:

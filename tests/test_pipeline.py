@@ -170,3 +170,24 @@ def test_incremental_load_from_csv_deliveries(spark, scratch):
     a, b = spark.read.parquet(f"{base}/t_csv"), spark.read.parquet(f"{base}/t_pq")
     assert a.count() == b.count() > 0
     assert a.exceptAll(b).count() == 0
+
+
+def test_entry_from_another_working_directory(tmp_path):
+    """The driver imports __spark_entry__ by path from elsewhere: executor
+    Python workers must not need the package on their path."""
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    code = (f"import sys; sys.path.insert(0, {ROOT!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+            ".config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+            "import __spark_entry__ as E\n"
+            "print('ROWS', E.entry(spark).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    res = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True,
+                         timeout=600)
+    assert res.returncode == 0, res.stderr[-3000:]
+    assert "ROWS 0" not in res.stdout and "ROWS" in res.stdout

@@ -6,22 +6,38 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardlake.functions import fixed_values as V
-from cardlake.functions.text import col_
+from cardlake.functions.text import col_, lookup
 
 # Accepted timestamp text for transactions, first match wins.
 TX_TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 
 _MONTHS = ["jan", "feb", "mar", "apr", "may", "jun",
            "jul", "aug", "sep", "oct", "nov", "dec"]
+_MONTH_NAMES = ["january", "february", "march", "april", "may", "june",
+                "july", "august", "september", "october", "november", "december"]
 
-# (regex, group index of year, month, day or None) for the general
-# month-year formats: yyyy-MM-dd, yyyy-MM, MM/yyyy, MM/dd/yyyy, yyyy/MM/dd
+# month name (full, 3-letter or "sept", any case) -> month number
+_MONTH_BY_NAME = {**{m: str(i + 1) for i, m in enumerate(_MONTHS)},
+                  **{m: str(i + 1) for i, m in enumerate(_MONTH_NAMES)}, "sept": "9"}
+
+# General month-year forms after the `Mon-yy` rule, first match wins.  Each
+# is (regex, year group, month group, day group or None).  Month-first
+# numeric dates (`M/d/yyyy`, `M-d-yyyy`, `M.d.yyyy`) read day-first when the
+# first number cannot be a month.
 _GENERAL_FORMATS = [
-    (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", 1, 2, 3),
-    (r"^(\d{4})-(\d{1,2})$", 1, 2, None),
-    (r"^(\d{1,2})/(\d{4})$", 2, 1, None),
-    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3, 1, 2),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", 1, 2, 3),
+    (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?:[ Tt]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?$", 1, 3, 4),
+    (r"^(\d{4})[-/](\d{1,2})$", 1, 2, None),
+    (r"^(\d{1,2})[-/](\d{4})$", 2, 1, None),
+    (r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
+    (r"^(\d{4})$", 1, None, None),
+]
+_MDY = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})$"
+# named-month forms: (regex, year group, month-name group, day group or None)
+_NAMED_FORMATS = [
+    (r"^([A-Za-z]+)[ ,]+(\d{4})$", 2, 1, None),                       # Sep 2024, September, 2024
+    (r"^(\d{4})[ ,]+([A-Za-z]+)$", 1, 2, None),                       # 2024 Mar
+    (r"^([A-Za-z]+)[ -](\d{1,2}),?[ -](\d{4})$", 3, 1, 2),            # March 15, 2024 / Mar-24-2024
+    (r"^(\d{1,2})[ -]([A-Za-z]+),?[ -](\d{4})$", 3, 2, 1),            # 15 March 2024 / 15-Mar-2024
 ]
 
 
@@ -40,8 +56,10 @@ def _valid_date(y: Column, m: Column, d: Column) -> Column:
 def month_year(s: Column) -> Column:
     """Card dates (trimmed text, see strip_ws) -> 'YYYY-MM'.
 
-    `Mon-yy` / `Mon-yyyy` (month name any case; two-digit years are 20yy),
-    then the general formats above; placeholders and anything else -> NULL.
+    `Mon-yy` / `Mon-yyyy` first (3-letter month, any case; two-digit years
+    are 20yy), then the general numeric and named-month forms above;
+    placeholders and anything else -> NULL.  Two-digit years are accepted
+    only by the first rule.
     """
     mon_re = r"^([A-Za-z]{3})-(\d{2,4})$"
     mon = F.lower(F.regexp_extract(s, mon_re, 1))
@@ -49,15 +67,20 @@ def month_year(s: Column) -> Column:
     month_no = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), mon).cast("int")
     year = F.when(F.length(ytxt) == 2, F.lit(2000) + ytxt.try_cast("int")) \
             .when(F.length(ytxt) == 4, ytxt.try_cast("int"))
-    named = F.when(s.rlike(mon_re) & (month_no > 0), _valid_date(year, month_no, F.lit(1)))
+    candidates = [F.when(s.rlike(mon_re) & (month_no > 0), _valid_date(year, month_no, F.lit(1)))]
+
+    def part(rx: str, group: int | None) -> Column:
+        return F.regexp_extract(s, rx, group).try_cast("int") if group else F.lit(1)
 
-    general = []
     for rx, yi, mi, di in _GENERAL_FORMATS:
-        y = F.regexp_extract(s, rx, yi).try_cast("int")
-        m = F.regexp_extract(s, rx, mi).try_cast("int")
-        d = F.regexp_extract(s, rx, di).try_cast("int") if di else F.lit(1)
-        general.append(F.when(s.rlike(rx), _valid_date(y, m, d)))
-    parsed = F.coalesce(named, *general)
+        candidates.append(F.when(s.rlike(rx), _valid_date(part(rx, yi), part(rx, mi), part(rx, di))))
+    first, second = part(_MDY, 1), part(_MDY, 3)
+    candidates.append(F.when(s.rlike(_MDY), F.when(first <= 12, _valid_date(part(_MDY, 4), first, second))
+                                                .otherwise(_valid_date(part(_MDY, 4), second, first))))
+    for rx, yi, ni, di in _NAMED_FORMATS:
+        name_no = lookup(F.lower(F.regexp_extract(s, rx, ni)), _MONTH_BY_NAME).cast("int")
+        candidates.append(F.when(s.rlike(rx), _valid_date(part(rx, yi), name_no, part(rx, di))))
+    parsed = F.coalesce(*candidates)
     return (
         F.when(s.isNull() | F.lower(s).isin(V.MONTH_YEAR_NULLS), F.lit(None).cast("string"))
         .otherwise(F.date_format(parsed, "yyyy-MM"))

@@ -55,3 +55,59 @@ def test_number_guard_matches_python_float(spark, values):
     from cardlake.functions.numbers import try_number
     got = _apply(spark, values, try_number)
     assert got == [_python_number(v) for v in values]
+
+
+# ------------------------------------------------------------------ month-year vs pandas
+DATE_FORMATS = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M", "%Y/%m/%d", "%Y.%m.%d", "%Y-%m", "%Y/%m",
+                "%m/%Y", "%m-%Y", "%m/%d/%Y", "%m-%d-%Y", "%m.%d.%Y", "%d/%m/%Y", "%d-%m-%Y", "%Y%m%d", "%Y",
+                "%b %Y", "%B %Y", "%B, %Y", "%Y %b", "%B %d, %Y", "%b %d %Y", "%d %B %Y", "%d-%b-%Y", "%b-%d-%Y",
+                "%b-%Y", "%b-%y"]
+
+
+def _pandas_month_year(s: str):
+    """Expected: the `Mon-yy` rule, else pandas' general parser (month first)."""
+    import re
+    import warnings
+
+    import pandas as pd
+    m = re.match(r"^([A-Za-z]{3})-(\d{2,4})$", s)
+    if m:
+        year = int(m.group(2)) + (2000 if len(m.group(2)) == 2 else 0)
+        parsed = pd.to_datetime(f"01-{m.group(1)}-{year}", format="%d-%b-%Y", errors="coerce")
+        if pd.notna(parsed):
+            return parsed.strftime("%Y-%m")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        parsed = pd.to_datetime(s, errors="coerce", dayfirst=False)
+    return None if pd.isna(parsed) else parsed.strftime("%Y-%m")
+
+
+DATES = st.lists(st.tuples(st.dates(min_value=__import__("datetime").date(1950, 1, 1),
+                                    max_value=__import__("datetime").date(2060, 12, 31)),
+                           st.sampled_from(DATE_FORMATS), st.sampled_from(["as is", "lower", "upper"])),
+                 min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(DATES)
+def test_month_year_matches_pandas(spark, items):
+    from cardlake.functions.dates import month_year
+    values = []
+    for d, fmt, case in items:
+        text = __import__("datetime").datetime(d.year, d.month, d.day, 13, 5, 9).strftime(fmt)
+        values.append(text.lower() if case == "lower" else text.upper() if case == "upper" else text)
+    got = _apply(spark, values, lambda c: month_year(__import__("pyspark.sql.functions", fromlist=["col"]).col(c)))
+    assert got == [_pandas_month_year(v) for v in values], list(zip(values, got))
+
+
+def test_month_year_cells_against_pandas(spark):
+    from pyspark.sql import functions as F
+
+    from cardlake.functions.dates import month_year
+    cells = ["2024/03", "03-2024", "3-2024", "2024-03-15 10:30:00", "2024-03-15T10:30:00", "20240315", "03-15-2024",
+             "2024.03.15", "03.15.2024", "Sep 2024", "September 2024", "sep 2024", "March 15, 2024", "Mar 15 2024",
+             "15 March 2024", "15-Mar-2024", "Sep-2024", "2024-3", "3/2024", "03/15/2024", "2024/3/5", "Sept 2024",
+             "2024 Mar", "Mar-24-2024", "13/2024", "2024-13", "15/03/2024", "2024", "24-03-2024", "2024-02-30",
+             "02/30/2024", "Sep-24", "dec-98", "Jan-2010", "2027-03-15", "09/2026", "Sep-202"]
+    got = _apply(spark, cells, lambda c: month_year(F.col(c)))
+    assert got == [_pandas_month_year(v) for v in cells], [x for x in zip(cells, got) if x[1] != _pandas_month_year(x[0])]

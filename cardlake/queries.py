@@ -186,6 +186,17 @@ TX_LIMITS = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip":
              "day_of_week": 10}
 
 
+def _schema_rejects(spark, sf):
+    """K4 reject table: cleaned card and transaction rows that break a
+    declared column length (ids and the offending table)."""
+    l = layers_for(spark, sf)
+    cards = Q.schema_limit_rejects(l.cards, CARD_LIMITS).select(F.lit("transformation.cards_data").alias("table_name"),
+                                                               F.col("id").cast("long").alias("id"))
+    tx = Q.schema_limit_rejects(l.tx, TX_LIMITS).select(F.lit("transformation.transactions_data").alias("table_name"),
+                                                        F.col("id").cast("long").alias("id"))
+    return comparable(cards.unionByName(tx))
+
+
 def _schema_limits(spark, sf):
     l = layers_for(spark, sf)
     cards = Q.check_schema_limits(l.cards, "transformation.cards_data", CARD_LIMITS)
@@ -345,6 +356,7 @@ QUERIES: dict[str, Query] = {
     "check_primary_key": _primary_keys,
     "check_foreign_key": _foreign_keys,
     "check_schema_limits": _schema_limits,
+    "schema_limit_rejects": _schema_rejects,
     "stage_row_counts": _stage_counts,
     # whole-table operators
     "dedup_keep_first_users": _keep_first("users_data"),

@@ -813,6 +813,13 @@ FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent}
         + limits("transformation.transactions_data", "t_tx", tx_limits, {"amount": (10, 2), "refund_amount": (10, 2)}),
         "t_cards", "t_tx")
 
+    def rejects(table: str, src: str, lengths: dict) -> str:
+        cond = " OR ".join(f"coalesce(length({c}) > {n}, false)" for c, n in lengths.items())
+        return f"SELECT '{table}' AS table_name, CAST(id AS BIGINT) AS id FROM {src} WHERE {cond}"
+    out["schema_limit_rejects"] = with_ctes(
+        rejects("transformation.cards_data", "t_cards", card_limits) + " UNION ALL "
+        + rejects("transformation.transactions_data", "t_tx", tx_limits), "t_cards", "t_tx")
+
     stages = [("transformation.users_data", "t_users"), ("transformation.cards_data", "t_cards"),
               ("transformation.mcc_data", "t_mcc"), ("transformation.transactions_data", "t_tx"),
               ("curated.dim_customers", "dim_customers"), ("curated.dim_cards", "dim_cards"),

@@ -89,3 +89,36 @@ def test_keep_first_and_mode_with_hot_key(spark, skew_conf):
     mode = {r["k"]: (r["city"], r["cnt"]) for r in mode_per_group(df, "k", ["city"]).where("k = -1").collect()}
     # ids 0, 3, 6, ... : city cycles 0, 3, 2, 1 -> 2,500 each; tie broken by the smallest city
     assert mode == {-1: ("0", 2500)}
+
+
+def test_fact_star_join_with_hot_client(spark, skew_conf, scratch, monkeypatch):
+    """A third of all transactions carry one client id.  With every dimension
+    join a shuffle join, AQE splits the hot partition of the left outer join
+    and the fact is the same as with broadcast joins."""
+    import uuid
+
+    from cardlake.operators import joins
+    from cardlake.plans import curated as C
+    from cardlake.plans.pipeline import layers_for
+    from conftest import SF_SMALL
+
+    l = layers_for(spark, SF_SMALL)
+    hot_id = l.dim_customers.agg(F.min("customer_id")).first()[0]
+    path = f"{scratch}/hot-tx-{uuid.uuid4().hex[:8]}"
+    # many input files: AQE splits a skewed partition along map-output blocks
+    l.tx.withColumn("client_id", F.when(F.col("id") % 3 == 0, F.lit(hot_id)).otherwise(F.col("client_id"))) \
+        .repartition(16).write.parquet(path)
+    tx = spark.read.parquet(path)
+
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    fact = C.build_fact(tx, l.dims())
+    got = _rows(fact)
+    final = fact._jdf.queryExecution().executedPlan().toString()
+    final = final[:final.index("Initial Plan")]
+    assert "BroadcastHashJoin" not in final and "SortMergeJoin(skew=true)" in final
+
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 1_000_000)
+    for k in SKEW_CONF:
+        spark.conf.unset(k)
+    assert _rows(C.build_fact(tx, l.dims())) == got
+    assert sum(1 for r in got if r[2] is not None and r[2] == 1) >= len(got) // 3

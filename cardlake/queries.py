@@ -255,8 +255,8 @@ def _surrogate_key(spark, sf):
 
 
 # two overlapping deliveries of the raw feed (by the raw date text)
-CHUNK_A = "date < '1996-01-01'"
-CHUNK_B = "date >= '1995-07-01' OR date IS NULL"
+CHUNK_A = "date < '1999-01-01'"
+CHUNK_B = "date >= '1998-07-01' OR date IS NULL"
 
 
 def _insert_if_absent(spark, sf):

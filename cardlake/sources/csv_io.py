@@ -71,9 +71,9 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, with_arri
     return df
 
 
-def write_raw_csv(df: DataFrame, path: str) -> None:
+def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write a table as raw CSV: NULL as an unquoted empty field, '' as `""`."""
-    (df.write.mode("overwrite").option("header", True)
+    (df.write.mode(mode).option("header", True)
        .option("quote", '"').option("escape", '"')
        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
        .csv(path))

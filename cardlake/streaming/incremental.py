@@ -65,9 +65,12 @@ def load_batch(batch: DataFrame, target_path: str) -> None:
 
 def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
                    files_per_batch: int = 1, schema: T.StructType = RAW_TX_SCHEMA,
-                   source_format: str = "parquet"):
-    """Start the incremental load; returns the StreamingQuery (availableNow:
-    processes what has landed, in batches of `files_per_batch` files, then stops).
+                   source_format: str = "parquet", every: str | None = None):
+    """Start the incremental load; returns the StreamingQuery.
+
+    By default (availableNow) it processes what has landed, in batches of
+    `files_per_batch` files, then stops; with `every` (e.g. "5 minutes") it
+    keeps running and picks up new files on that schedule.
 
     `source_format="csv"` reads raw CSV deliveries with the batch ingest's
     options (header, doubled-quote escaping, NULL only for unquoted empty
@@ -80,18 +83,20 @@ def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, chec
                   .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
                   .option("nullValue", csv_io.NO_NULL_TEXT).option("mode", "FAILFAST"))
     stream = reader.format(source_format).load(landing_dir)
-    return (stream.writeStream
-            .foreachBatch(lambda df, epoch: load_batch(df, target_path))
-            .option("checkpointLocation", checkpoint_dir)
-            .trigger(availableNow=True)
-            .start())
+    writer = (stream.writeStream
+              .foreachBatch(lambda df, epoch: load_batch(df, target_path))
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
+    return writer.start()
 
 
-def land_raw_transactions(raw: DataFrame, landing_dir: str, files: int = 4, source_format: str = "parquet") -> None:
+def land_raw_transactions(raw: DataFrame, landing_dir: str, files: int = 4, source_format: str = "parquet",
+                          mode: str = "overwrite") -> None:
     """Land raw rows as `files` files, every id within one file (CSV: in
-    arrival order inside each file, without the `_seq` column)."""
+    arrival order inside each file, without the `_seq` column).
+    `mode="append"` adds a later delivery next to earlier ones."""
     landed = raw.repartition(files, F.col("id"))
     if source_format == "csv":
-        csv_io.write_raw_csv(landed.sortWithinPartitions("_seq").drop("_seq"), landing_dir)
+        csv_io.write_raw_csv(landed.sortWithinPartitions("_seq").drop("_seq"), landing_dir, mode)
     else:
-        landed.write.mode("overwrite").parquet(landing_dir)
+        landed.write.mode(mode).parquet(landing_dir)

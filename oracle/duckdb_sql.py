@@ -395,8 +395,8 @@ WHERE f.errors IS NOT NULL OR (cs.n >= 2 AND cs.sd IS NOT NULL AND f.amount > cs
 
 
 # two overlapping raw chunks, each cleaned on its own (insert-if-absent)
-cte("raw_tx_a", ("raw_tx",), "SELECT * FROM raw_tx WHERE date < '1996-01-01'")
-cte("raw_tx_b", ("raw_tx",), "SELECT * FROM raw_tx WHERE date >= '1995-07-01' OR date IS NULL")
+cte("raw_tx_a", ("raw_tx",), "SELECT * FROM raw_tx WHERE date < '1999-01-01'")
+cte("raw_tx_b", ("raw_tx",), "SELECT * FROM raw_tx WHERE date >= '1998-07-01' OR date IS NULL")
 for _c in ("a", "b"):
     assert CTES["t_tx"][1].count("FROM raw_tx)") == 1
     cte(f"t_tx_{_c}", (f"raw_tx_{_c}",), CTES["t_tx"][1].replace("FROM raw_tx)", f"FROM raw_tx_{_c})"))

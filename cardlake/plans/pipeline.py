@@ -189,7 +189,7 @@ def store_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> L
 def layers_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> Layers:
     """Layers for the test tables in `sf_dir`, materialised once per session."""
     store = store_for(spark, sf_dir, as_of)
-    cache_key = (id(spark), store.root)
+    cache_key = (spark.sparkContext.applicationId, id(spark), store.root)
     if cache_key not in _CACHE:
         _CACHE[cache_key] = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
     return _CACHE[cache_key]

@@ -32,7 +32,9 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None = None,
 
     A known size estimate above `max_bytes` rules the broadcast out without
     reading anything; otherwise the row count is checked (at most
-    `max_rows` + 1 rows are read).  Above either bound the plain DataFrame is
+    `max_rows` + 1 rows are read).  A small estimate alone is not enough:
+    Parquet sizes are compressed, and a well-compressed column can hold far
+    more rows than its bytes suggest, so the count is the size proof.  Above either bound the plain DataFrame is
     returned and Spark plans a shuffle join (AQE may still switch to
     broadcast from runtime sizes, and splits skewed partitions).  Use on
     materialised tables, where both checks are cheap.

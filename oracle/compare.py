@@ -23,8 +23,12 @@ def duckdb_views(sf_dir: str):
     return con
 
 
+EXACT = bool(os.environ.get("ORACLE_EXACT"))
+
+
 def _norm(v):
-    """Numbers compare as floats rounded to 6 places; NaN / NA / None are NULL."""
+    """Numbers compare as floats rounded to 6 places (exactly with
+    ORACLE_EXACT=1); NaN / NA / None are NULL."""
     if v is None or v is pd.NA or v is pd.NaT:
         return None
     if hasattr(v, "item") and not isinstance(v, (str, bytes)):
@@ -33,7 +37,7 @@ def _norm(v):
         return v
     if isinstance(v, (int, float, decimal.Decimal)):
         f = float(v)
-        return None if math.isnan(f) else round(f, 6)
+        return None if math.isnan(f) else (f if EXACT else round(f, 6))
     return v
 
 

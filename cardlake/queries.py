@@ -15,20 +15,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardlake.operators import quality as Q
+from cardlake.operators.dedup import dedup_report, keep_first
+from cardlake.operators.keys import dense_key
+from cardlake.operators.sinks import insert_if_absent, sanitize_missing
+from cardlake.plans import curated as C
 from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
-from cardlake.plans.pipeline import layers_for, marts_for
+from cardlake.plans import transform as TR
+from cardlake.plans.pipeline import DEFAULT_AS_OF, layers_for, marts_for
 from cardlake.session import checkpoint_root, ensure_conf
 from cardlake.sources import csv_io
 from cardlake.sources.fixtures import raw_table
 from cardlake.streaming import incremental as INC
-from cardlake.operators.dedup import dedup_report, keep_first
-from cardlake.operators.keys import dense_key
-from cardlake.operators.sinks import insert_if_absent, sanitize_missing
-from cardlake.plans import curated as C
-from cardlake.plans import transform as TR
-from cardlake.plans.pipeline import DEFAULT_AS_OF
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -54,10 +53,10 @@ def _layer(attr: str) -> Query:
     return lambda spark, sf: comparable(getattr(layers_for(spark, sf), attr))
 
 
-def _mart_table(attr: str, drop=()) -> Query:
+def _mart_table(attr: str) -> Query:
     def run(spark, sf):
         _, marts = marts_for(spark, sf)
-        return comparable(getattr(marts, attr).drop(*drop))
+        return comparable(getattr(marts, attr))
     return run
 
 

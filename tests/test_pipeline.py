@@ -219,3 +219,22 @@ def test_incremental_load_running_picks_up_new_files(spark, scratch):
         q.stop()
     t = spark.read.parquet(f"{base}/target")
     assert 0 < n_first < t.count() == t.select("id").distinct().count()
+
+
+def test_plans_have_no_cross_joins_or_global_windows(spark):
+    """Every registered query: no nested-loop / cartesian join, every window
+    partitioned (except the dense key's per-partition offset table, one row
+    per partition), Python only where fuzzy scoring runs."""
+    import re
+    python_ok = {"fuzzy_canonicalize"}   # elsewhere the scored table is a checkpoint
+    problems = []
+    for key, fn in E.queries().items():
+        plan = fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        if re.search(r"BroadcastNestedLoopJoin|CartesianProduct", plan):
+            problems.append((key, "nested loop"))
+        for first_arg in re.findall(r"windowspecdefinition\(([^,]*)", plan):
+            if (" ASC" in first_arg or " DESC" in first_arg) and not first_arg.startswith("_pid"):
+                problems.append((key, "unpartitioned window " + first_arg))
+        if re.search(r"MapInPandas|ArrowEvalPython|BatchEvalPython", plan) and key not in python_ok:
+            problems.append((key, "python"))
+    assert problems == []

@@ -41,7 +41,7 @@ SELECT c_custkey * 2 + k AS _seq, c_custkey * 2 + k AS id, c_custkey AS client_i
   CASE c_custkey % 6 WHEN 0 THEN 'YES' WHEN 1 THEN 'n' WHEN 2 THEN '1' WHEN 3 THEN 'False' WHEN 4 THEN 'maybe' END AS has_chip,
   CAST(1 + k AS INT) AS num_cards_issued,
   CASE c_custkey % 7 WHEN 0 THEN '$24,295' WHEN 1 THEN '(500)' WHEN 2 THEN '12 k' WHEN 3 THEN 'five thousand' WHEN 4 THEN '2000000' WHEN 5 THEN 'n/a' END AS credit_limit,
-  CASE c_custkey % 3 WHEN 0 THEN 'Jan-2010' WHEN 1 THEN 'Feb-07' END AS acct_open_date,
+  CASE c_custkey % 9 WHEN 0 THEN 'Jan-2010' WHEN 1 THEN 'Feb-07' WHEN 3 THEN 'March 15, 2009' WHEN 4 THEN '15/03/2011' WHEN 5 THEN '2012-06-01 08:30:00' WHEN 6 THEN 'Sept 2013' WHEN 7 THEN '20140105' END AS acct_open_date,
   CAST(2000 + c_custkey % 25 AS INT) AS year_pin_last_changed,
   CASE c_custkey % 3 WHEN 0 THEN 'No' WHEN 1 THEN ' yes' END AS card_on_dark_web,
   CASE c_custkey % 5 WHEN 0 THEN 'chase bk' WHEN 1 THEN 'U.S. Bk' WHEN 2 THEN 'first o''hare BANK' WHEN 3 THEN 'Citi ' END AS issuer_bank_name,

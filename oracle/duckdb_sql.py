@@ -170,8 +170,10 @@ def _month_year(col: str) -> str:
     mno = f"list_position({months}, lower(left({s}, 3)))"
     named = (f"CASE WHEN regexp_full_match({s}, '{mon_rx}') AND {mno} IS NOT NULL AND {year} IS NOT NULL "
              f"THEN make_date({year}, {mno}, 1) END")
-    general = ", ".join(f"CAST(try_strptime({s}, '{f}') AS DATE)"
-                        for f in ("%Y-%m-%d", "%Y-%m", "%m/%Y", "%m/%d/%Y", "%Y/%m/%d"))
+    sep = f"regexp_replace({s}, '^(?i)sept ', 'Sep ')"
+    general = ", ".join(f"CAST(try_strptime({sep}, '{f}') AS DATE)"
+                        for f in ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m", "%m/%Y", "%m/%d/%Y", "%d/%m/%Y",
+                                  "%Y/%m/%d", "%Y%m%d", "%B %d, %Y", "%b %Y", "%B %Y"))
     return (f"CASE WHEN {col} IS NULL OR lower({s}) IN {in_list(V.MONTH_YEAR_NULLS)} THEN NULL "
             f"ELSE strftime(coalesce({named}, {general}), '%Y-%m') END")
 

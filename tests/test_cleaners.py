@@ -107,7 +107,9 @@ def test_card_money(spark):
 
 def test_month_year(spark):
     cases = [("Sep-24", "2024-09"), ("dec-98", "2098-12"), ("Jan-2010", "2010-01"), ("2027-03-15", "2027-03"),
-             ("09/2026", "2026-09"), ("Sep-202", None), ("not available", None), (None, None)]
+             ("09/2026", "2026-09"), ("Sep-202", None), ("not available", None), (None, None),
+             ("March 15, 2009", "2009-03"), ("15/03/2011", "2011-03"), ("2012-06-01 08:30:00", "2012-06"),
+             ("Sept 2013", "2013-09"), ("20140105", "2014-01"), ("02/30/2024", None)]
     _check(_cards(spark, "expires", [c for c, _ in cases]), [e for _, e in cases])
 
 

@@ -111,3 +111,44 @@ def test_month_year_cells_against_pandas(spark):
              "02/30/2024", "Sep-24", "dec-98", "Jan-2010", "2027-03-15", "09/2026", "Sep-202"]
     got = _apply(spark, cells, lambda c: month_year(F.col(c)))
     assert got == [_pandas_month_year(v) for v in cells], [x for x in zip(cells, got) if x[1] != _pandas_month_year(x[0])]
+
+
+# ------------------------------------------------------------------ idempotence
+@SETTINGS
+@given(TEXTS)
+def test_text_cleaning_is_idempotent(spark, values):
+    from pyspark.sql import functions as F
+
+    from cardlake.functions.text import collapse_ws, py_title
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    once = df.select(py_title(collapse_ws("s")).alias("s"))
+    twice = once.select(py_title(collapse_ws("s")).alias("s2"), F.col("s"))
+    assert all(r["s"] == r["s2"] for r in twice.collect())
+
+
+@SETTINGS
+@given(DATES)
+def test_month_year_is_idempotent(spark, items):
+    from pyspark.sql import functions as F
+
+    from cardlake.functions.dates import month_year
+    values = [__import__("datetime").datetime(d.year, d.month, d.day).strftime(fmt) for d, fmt, _ in items]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    once = df.select(month_year(F.col("s")).alias("m"))
+    twice = once.select("m", month_year(F.col("m")).alias("m2"))
+    assert all(r["m"] == r["m2"] for r in twice.collect())
+
+
+def test_card_money_is_idempotent(spark):
+    from pyspark.sql import functions as F
+
+    from cardlake.functions.numbers import card_money, card_money_number_text, card_money_text
+    raw = ["$24,295", "(500)", "12 k", "five thousand", "1000000", "2000000", "n/a", '"$5"', " 7.5K ", None]
+
+    def parse(c):
+        s = card_money_text(c)
+        return card_money(s, card_money_number_text(s))
+    df = spark.createDataFrame([(v,) for v in raw], "s string")
+    once = df.select(parse(F.col("s")).alias("v"))
+    twice = once.select("v", parse(F.col("v").cast("string")).alias("v2"))
+    assert all(r["v"] == r["v2"] for r in twice.collect())

@@ -238,3 +238,21 @@ def test_plans_have_no_cross_joins_or_global_windows(spark):
         if re.search(r"MapInPandas|ArrowEvalPython|BatchEvalPython", plan) and key not in python_ok:
             problems.append((key, "python"))
     assert problems == []
+
+
+def test_command_line_run(tmp_path):
+    """`python -m cardlake --tables-dir ... --out ...` writes every layer and
+    prints one line per table."""
+    import os
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    env = dict(os.environ, PYTHONPATH=ROOT)
+    out = tmp_path / "out"
+    res = subprocess.run([sys.executable, "-m", "cardlake", "--tables-dir", SF_SMALL, "--out", str(out)],
+                         cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert res.returncode == 0, res.stderr[-3000:]
+    lines = dict(line.split("\t") for line in res.stdout.splitlines() if "\t" in line)
+    assert {"transformation.transactions_data", "curated.fact_transactions", "marts.merchant_volume"} <= set(lines)
+    assert lines["curated.fact_transactions"] == lines["transformation.transactions_data"] != "0"

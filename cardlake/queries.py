@@ -347,6 +347,8 @@ QUERIES: dict[str, Query] = {
     # sources / sinks (A1-A2, A11), incremental load
     "ingest_csv_roundtrip_users": _csv_roundtrip("users_data"),
     "ingest_csv_roundtrip_transactions": _csv_roundtrip("transactions_data"),
+    "ingest_csv_roundtrip_cards": _csv_roundtrip("cards_data"),
+    "ingest_csv_roundtrip_mcc": _csv_roundtrip("mcc_data"),
     "csv_null_marker_roundtrip": _bulk_roundtrip,
     "csv_empty_null_roundtrip": _bulk_empty_null_roundtrip,
     "stream_tx_load": _stream_load,

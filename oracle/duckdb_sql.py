@@ -755,6 +755,8 @@ FROM raw_users""", "raw_users")
 SELECT CAST(_seq AS BIGINT) AS _seq, id, date, CAST(client_id AS BIGINT) AS client_id,
   CAST(card_id AS BIGINT) AS card_id, amount, use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors
 FROM raw_tx""", "raw_tx")
+    for t, key in (("cards_data", "cards"), ("mcc_data", "mcc")):
+        out[f"ingest_csv_roundtrip_{key}"] = with_ctes(f"SELECT {raw_columns(t)} FROM {RAW_CTE[t]} r", RAW_CTE[t])
     out["csv_null_marker_roundtrip"] = out["fact_transactions"]
     out["stream_tx_load"] = out["clean_transactions"]
     out["csv_empty_null_roundtrip"] = with_ctes(TX_OUT.format(src="""(

@@ -454,6 +454,7 @@ def op2_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_spans(docs, train_tagger(docs)).drop("text")
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda k: F.size(F.filter("pii_base", lambda s: s["kind"] == F.lit(k))).cast("long")
     return found.select(
-        "doc_id", *[F.size(F.filter("pii_base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS],
+        "doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
         F.sha2(text("pii_base").cast("binary"), 256).alias("base_sha256"), text("pii_spans").alias("spans"))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from cardlake.llm.decontam import op1_benchmark_decontamination
 from cardlake.llm.jaccard_trie import op5_ngram_jaccard_join
 from cardlake.llm.pii import op2_pii_bilstm_crf
 from cardlake.llm.piece_codec import op7_sentencepiece
 from cardlake.llm.toxicity import op6_toxicity_ftrl
 
 QUERIES = {f.__name__: f for f in (
+    op1_benchmark_decontamination,
     op2_pii_bilstm_crf,
     op5_ngram_jaccard_join,
     op6_toxicity_ftrl,

@@ -1,19 +1,29 @@
-"""Queries of the training-data operators: (spark, sf_dir) -> DataFrame, and their SQL."""
+"""Queries of the training-data operators: (spark, sf_dir) -> DataFrame, and their SQL.
+
+Only the searches and counts of operators 3 and 9 are expressible in SQL; the
+others are tested against brute force, exact round trips or held-out accuracy.
+"""
 
 from __future__ import annotations
 
 from cardlake.llm.decontam import op1_benchmark_decontamination
 from cardlake.llm.jaccard_trie import op5_ngram_jaccard_join
+from cardlake.llm.langid import op8_language_mixture
 from cardlake.llm.pii import op2_pii_bilstm_crf
 from cardlake.llm.piece_codec import op7_sentencepiece
+from cardlake.llm.topk import OP3_SQL, op3_exact_topk
 from cardlake.llm.toxicity import op6_toxicity_ftrl
+from cardlake.llm.warc import OP9_SQL, op9_warc_dictionary
 
 QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_bilstm_crf,
+    op3_exact_topk,
     op5_ngram_jaccard_join,
     op6_toxicity_ftrl,
     op7_sentencepiece,
+    op8_language_mixture,
+    op9_warc_dictionary,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op9_warc_dictionary": OP9_SQL}

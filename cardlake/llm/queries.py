@@ -9,8 +9,10 @@ from __future__ import annotations
 from cardlake.llm.decontam import op1_benchmark_decontamination
 from cardlake.llm.jaccard_trie import op5_ngram_jaccard_join
 from cardlake.llm.langid import op8_language_mixture
+from cardlake.llm.lm_score import op10_lm_pseudo_likelihood
 from cardlake.llm.pii import op2_pii_bilstm_crf
 from cardlake.llm.piece_codec import op7_sentencepiece
+from cardlake.llm.quality_kn import op4_quality_kneser_ney
 from cardlake.llm.topk import OP3_SQL, op3_exact_topk
 from cardlake.llm.toxicity import op6_toxicity_ftrl
 from cardlake.llm.warc import OP9_SQL, op9_warc_dictionary
@@ -19,11 +21,13 @@ QUERIES = {f.__name__: f for f in (
     op1_benchmark_decontamination,
     op2_pii_bilstm_crf,
     op3_exact_topk,
+    op4_quality_kneser_ney,
     op5_ngram_jaccard_join,
     op6_toxicity_ftrl,
     op7_sentencepiece,
     op8_language_mixture,
     op9_warc_dictionary,
+    op10_lm_pseudo_likelihood,
 )}
 
 ORACLE: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op9_warc_dictionary": OP9_SQL}

@@ -34,7 +34,7 @@ from cardlake.llm.common import prepare, table
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
 #: Words, and pairs of pieces, that a worker remembers before it starts afresh.
-MEMORY = 500_000
+MEMORY = 350_000
 
 
 class PieceCodec:

@@ -48,6 +48,7 @@ WALKS, SAMPLED = 8, 3
 CLASS_RATIO = 1.2
 WORD = re.compile(r"\w+")
 _BITS = 20
+_TWO, _TOP = np.uint64(2), np.uint64(63)
 #: Words that are searched together.
 PART_WORDS = 500_000
 
@@ -71,17 +72,15 @@ def pair_hashes(w: np.ndarray) -> np.ndarray:
 
 
 def walk(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: int, seed: int) -> np.ndarray:
-    """CGK walks from each start (up to its end): the symbol read at each step, (steps, starts); 0 past the end."""
+    """CGK walks from each start (up to its end): the symbol read at each step, (steps, starts); 0 past the end.
+    The random bit of (step, symbol) is the top bit of the symbol times an odd number of the step."""
+    odd = np.random.default_rng([29, seed]).integers(0, 1 << 63, steps, np.uint64) * _TWO + np.uint64(1)
     at = starts.copy()
     out = np.zeros((steps, len(starts)), np.uint64)
-    turn = mix(symbols + np.uint64(seed * 0xD6E8FEB86659FD93 % 2**64))
     for j in range(steps):
-        if j and j % 64 == 0:
-            turn = mix(turn + np.uint64(j))
         live = at < ends
-        here = np.where(live, at, 0)
-        out[j] = np.where(live, symbols[here], 0)
-        at = at + np.where(live, (turn[here] >> np.uint64(j % 64)) & np.uint64(1), 0).astype(np.int64)
+        np.multiply(symbols[np.where(live, at, 0)], live, out=out[j])
+        at += (live & (out[j] * odd[j] >> _TOP).astype(bool)).view(np.int8)
     return out
 
 
@@ -127,8 +126,11 @@ class ItemIndex:
     @staticmethod
     def _keys(c: dict, symbols, starts, ends) -> Iterator[tuple[int, np.ndarray]]:
         for seed in range(WALKS):
-            seen = walk(symbols, starts, ends, c["steps"], seed)
-            for t in range(seed, len(c["picks"]), WALKS):
+            tables = range(seed, len(c["picks"]), WALKS)
+            if not tables:
+                continue
+            seen = walk(symbols, starts, ends, 1 + int(max(c["picks"][t][-1] for t in tables)), seed)
+            for t in tables:
                 key = np.zeros(len(starts), np.uint64)
                 for j in c["picks"][t]:
                     key = mix(key * np.uint64(0x9E3779B97F4A7C15) + seen[j] + np.uint64(1))

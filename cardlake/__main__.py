@@ -24,11 +24,12 @@ def main(argv=None) -> None:
     src.add_argument("--tables-dir", help="folder of the driver's test tables (raw tables derived by SQL)")
     ap.add_argument("--out", required=True, help="output root (a shared file system on a cluster)")
     ap.add_argument("--as-of", default=DEFAULT_AS_OF, help="date ages are computed at (YYYY-MM-DD)")
+    ap.add_argument("--multiline", action="store_true", help="CSV fields may hold line ends (files are then not split)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("cardlake").getOrCreate()
     if args.csv_dir:
-        run_pipeline_from_csv(spark, args.csv_dir, args.out, args.as_of)
+        run_pipeline_from_csv(spark, args.csv_dir, args.out, args.as_of, args.multiline)
     else:
         run_pipeline(spark, args.tables_dir, args.out, args.as_of)
     store = LayerStore(spark, args.out)

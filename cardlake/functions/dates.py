@@ -11,6 +11,9 @@ from cardlake.functions.text import col_, lookup
 # Accepted timestamp text for transactions, first match wins.
 TX_TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd")
 
+# years that a 64-bit nanosecond timestamp holds in full
+FIRST_YEAR, LAST_YEAR = 1678, 2261
+
 _MONTHS = ["jan", "feb", "mar", "apr", "may", "jun",
            "jul", "aug", "sep", "oct", "nov", "dec"]
 _MONTH_NAMES = ["january", "february", "march", "april", "may", "june",
@@ -25,7 +28,7 @@ _MONTH_BY_NAME = {**{m: str(i + 1) for i, m in enumerate(_MONTHS)},
 # numeric dates (`M/d/yyyy`, `M-d-yyyy`, `M.d.yyyy`) read day-first when the
 # first number cannot be a month.
 _GENERAL_FORMATS = [
-    (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?:[ Tt]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?)?$", 1, 3, 4),
+    (r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})(?:[ Tt]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:[Zz]|[+-]\d{2}:?\d{2})?)?$", 1, 3, 4),
     (r"^(\d{4})[-/](\d{1,2})$", 1, 2, None),
     (r"^(\d{1,2})[-/](\d{4})$", 2, 1, None),
     (r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3),
@@ -56,18 +59,18 @@ def _valid_date(y: Column, m: Column, d: Column) -> Column:
 def month_year(s: Column) -> Column:
     """Card dates (trimmed text, see strip_ws) -> 'YYYY-MM'.
 
-    `Mon-yy` / `Mon-yyyy` first (3-letter month, any case; two-digit years
-    are 20yy), then the general numeric and named-month forms above;
+    `Mon-yy` / `Mon-yyyy` first (3-letter month, any case; a year under 100,
+    however it is written, is 20yy), then the general numeric and named-month forms above;
     placeholders and anything else -> NULL.  Two-digit years are accepted
-    only by the first rule.
+    only by the first rule.  Years outside FIRST_YEAR to LAST_YEAR are NULL.
     """
     mon_re = r"^([A-Za-z]{3})-(\d{2,4})$"
     mon = F.lower(F.regexp_extract(s, mon_re, 1))
     ytxt = F.regexp_extract(s, mon_re, 2)
-    month_no = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), mon).cast("int")
-    year = F.when(F.length(ytxt) == 2, F.lit(2000) + ytxt.try_cast("int")) \
-            .when(F.length(ytxt) == 4, ytxt.try_cast("int"))
-    candidates = [F.when(s.rlike(mon_re) & (month_no > 0), _valid_date(year, month_no, F.lit(1)))]
+    number = ytxt.try_cast("int")
+    month_no = lookup(mon, {m: str(i + 1) for i, m in enumerate(_MONTHS)}).cast("int")
+    year = F.when(number < 100, F.lit(2000) + number).when(F.length(ytxt) == 4, number)
+    candidates = [F.when(s.rlike(mon_re), _valid_date(year, month_no, F.lit(1)))]
 
     def part(rx: str, group: int | None) -> Column:
         return F.regexp_extract(s, rx, group).try_cast("int") if group else F.lit(1)
@@ -80,7 +83,7 @@ def month_year(s: Column) -> Column:
     for rx, yi, ni, di in _NAMED_FORMATS:
         name_no = lookup(F.lower(F.regexp_extract(s, rx, ni)), _MONTH_BY_NAME).cast("int")
         candidates.append(F.when(s.rlike(rx), _valid_date(part(rx, yi), name_no, part(rx, di))))
-    parsed = F.coalesce(*candidates)
+    parsed = F.coalesce(*[F.when(F.year(c).between(FIRST_YEAR, LAST_YEAR), c) for c in candidates])
     return (
         F.when(s.isNull() | F.lower(s).isin(V.MONTH_YEAR_NULLS), F.lit(None).cast("string"))
         .otherwise(F.date_format(parsed, "yyyy-MM"))

@@ -24,12 +24,24 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def closest_label(value: str | None, labels: Sequence[str], cutoff: float) -> str | None:
-    """Best label whose ratio against `value` (both lower-cased) >= cutoff."""
+    """The label most similar to `value`, case ignored, if its ratio is at least `cutoff`.
+
+    Every label is scored; of equal ratios the label whose lower-case text
+    sorts last wins."""
     if value is None:
         return None
-    lowered = [lab.lower() for lab in labels]
-    hit = difflib.get_close_matches(value.lower(), lowered, n=1, cutoff=cutoff)
-    return labels[lowered.index(hit[0])] if hit else None
+    scorer = difflib.SequenceMatcher()
+    scorer.set_seq2(value.lower())
+    best: tuple[float, str] | None = None
+    label_of: dict[str, str] = {}
+    for label in labels:
+        key = label.lower()
+        label_of.setdefault(key, label)
+        scorer.set_seq1(key)
+        ratio = scorer.ratio()
+        if ratio >= cutoff and (best is None or (ratio, key) > best):
+            best = (ratio, key)
+    return label_of[best[1]] if best else None
 
 
 def fuzzy_table_by_field(values: DataFrame, field_col: str, value_col: str,

@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardlake.functions import fixed_values as V
-from cardlake.functions.text import col_, lookup, strip_chars, strip_ws
+from cardlake.functions.text import WS, col_, lookup, strip_chars, strip_ws
 
 # A plain decimal number, optionally signed / with exponent, surrounding
 # whitespace allowed.  Guards every text->number cast: Spark alone would
 # accept e.g. '33d' as 33.0.
-NUMBER_RE = r"^\s*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?)\s*$"
-INTEGER_RE = r"^\s*([+-]?\d+)\s*$"
+NUMBER_RE = rf"^{WS}*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){WS}*$"
+INTEGER_RE = rf"^{WS}*([+-]?\d+){WS}*$"
 
 MONEY_PARSE = "decimal(38,6)"
 
@@ -115,6 +115,18 @@ def card_money(s: Column, t: Column) -> Column:
     )
 
 
-def tx_amount(c: Column | str) -> Column:
-    """Transaction amount text: drop `$` and `,`, parse (signed), else NULL."""
-    return try_number(F.regexp_replace(col_(c), r"[$,]", ""), MONEY_PARSE)
+# 18 fraction digits: the smallest amount is told apart before any rounding
+TX_AMOUNT_PARSE = "decimal(38,18)"
+
+
+def tx_amount_text(c: Column | str) -> Column:
+    """Transaction amount text without `$` and `,`."""
+    return F.regexp_replace(col_(c), r"[$,]", "")
+
+
+def whole_number_text(x: Column) -> Column:
+    """str(int(x)) of a double of up to 2^95, exact above 2^63 too (NULL beyond)."""
+    high = F.floor(x / F.lit(4294967296.0))
+    low = (x - high.cast("double") * F.lit(4294967296.0)).try_cast("long")
+    wide = high.cast("decimal(20,0)") * F.lit(4294967296).cast("decimal(10,0)") + low.cast("decimal(20,0)")
+    return F.coalesce(trunc_to_long(x).cast("string"), F.when((x > 0) & (x < F.lit(2.0 ** 95)), wide.cast("decimal(38,0)").cast("string")))

@@ -7,7 +7,9 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EDGE_WS = r"^\s+|\s+$"
+# What Python's strip and `\s` take as whitespace: Unicode White_Space and U+001C to U+001F.
+WS = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+_EDGE_WS = f"^{WS}+|{WS}+$"
 _MAX_LEN = 2147483647
 
 
@@ -22,7 +24,12 @@ def strip_ws(c: Column | str) -> Column:
 
 def collapse_ws(c: Column | str) -> Column:
     """Trim, then turn each inner whitespace run into one space."""
-    return F.regexp_replace(strip_ws(c), r"\s+", " ")
+    return squeeze_ws(strip_ws(c))
+
+
+def squeeze_ws(c: Column | str) -> Column:
+    """Turn each whitespace run into one space."""
+    return F.regexp_replace(col_(c), f"{WS}+", " ")
 
 
 def strip_chars(c: Column | str, chars: str) -> Column:
@@ -68,8 +75,10 @@ def as_text(c: Column | str, null_text: str = "None") -> Column:
 
 
 def lookup(key: Column, mapping: Mapping[str, str]) -> Column:
-    """Map lookup against a literal map; a miss or NULL key gives NULL."""
-    items = []
-    for k, v in mapping.items():
-        items += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*items), key)
+    """Map lookup against a literal map; a miss or NULL key gives NULL.  The
+    map is one parsed expression: a literal column per entry would cost the
+    driver a call each."""
+    def text(s: str) -> str:
+        return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    entries = ", ".join(f"{text(k)}, {text(v)}" for k, v in mapping.items())
+    return F.try_element_at(F.expr(f"map({entries})"), key)

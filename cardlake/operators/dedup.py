@@ -36,8 +36,13 @@ def dedup_report(df: DataFrame, key: str, label: str) -> DataFrame:
     ).withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def _asc_nulls_last(c: str) -> list[Column]:
-    return [F.col(c).isNull(), F.col(c)]
+def keep_first_if_repeated(df: DataFrame, key: str) -> DataFrame:
+    """Guard for a business key that earlier stages made unique: one row per
+    key, the smallest by its other columns.  The check counts keys only, so
+    the whole rows are shuffled only when a key really repeats."""
+    if not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).count():
+        return df
+    return keep_first(df, [key], [c for c in df.columns if c != key])
 
 
 def mode_per_group(df: DataFrame, group: str, attrs: Sequence[str], count_col: str = "cnt") -> DataFrame:

@@ -33,12 +33,6 @@ def check_primary_key(df: DataFrame, keys: Sequence[str], table: str) -> DataFra
     )
 
 
-def foreign_key_violations(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL `fk` has no parent row (NULL FKs are allowed)."""
-    parents = parent.select(F.col(pk).alias(fk)).distinct()
-    return child.where(F.col(fk).isNotNull()).join(parents, fk, "left_anti")
-
-
 def check_foreign_key(child: DataFrame, fk: str, parent: DataFrame, pk: str, name: str) -> DataFrame:
     """One row: child rows whose non-NULL `fk` has no parent, and how many
     distinct such keys.  Rows are counted per key value first (map-side

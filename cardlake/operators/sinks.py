@@ -15,10 +15,13 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str,
                      order: Sequence[str] | None = ("_seq",)) -> DataFrame:
     """Rows of `batch` to append so that `key` stays unique in the target.
 
-    Keep-first inside the batch (by `order`; `order=None` when the batch is
-    already unique by key, which skips that shuffle), then drop keys the
-    target already holds (left anti join on the key column only).
+    Rows with a NULL key are left out (a key column holds none; callers send
+    them to a reject table).  Keep-first inside the batch (by `order`;
+    `order=None` when the batch is already unique by key, which skips that
+    shuffle), then drop keys the target already holds (left anti join on the
+    key column only).
     """
+    batch = batch.where(F.col(key).isNotNull())
     if order is None:
         fresh = batch
     else:
@@ -40,6 +43,12 @@ def sanitize_missing(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
+    """The one way a cleaned table reaches storage: NaN never does."""
+    writer = sanitize_missing(df).write.mode(mode)
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+
+
 def schema_probe(df: DataFrame) -> list[tuple[str, str]]:
     """Column names and types without reading data (`LIMIT 0` analogue)."""
     return [(f.name, f.dataType.simpleString()) for f in df.limit(0).schema.fields]

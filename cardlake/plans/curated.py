@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cardlake.functions import fixed_values as V
 from cardlake.functions.dates import day_name, is_weekend, month_name
 from cardlake.functions.text import strip_ws
-from cardlake.operators.dedup import mode_per_group
+from cardlake.operators.dedup import keep_first_if_repeated, mode_per_group
 from cardlake.operators.joins import broadcast_if_bounded
 from cardlake.operators.keys import dense_key
 
@@ -46,7 +46,7 @@ def build_dim_customers(users: DataFrame) -> DataFrame:
         *[F.col(c) for c in users.columns if c not in text and c != "id"],
         *_stripped(text),
     ).where(F.col("customer_id").isNotNull())
-    return dense_key(df, "customer_id", "customer_key").select(*DIM_CUSTOMERS_COLUMNS)
+    return dense_key(keep_first_if_repeated(df, "customer_id"), "customer_id", "customer_key").select(*DIM_CUSTOMERS_COLUMNS)
 
 
 def mask_card_number(c: Column) -> Column:
@@ -65,14 +65,14 @@ def build_dim_cards(cards: DataFrame) -> DataFrame:
         mask_card_number(F.col("card_number")).alias("masked_card_number"),
         *_stripped(text),
     ).where(F.col("card_id").isNotNull())
-    return dense_key(df, "card_id", "card_key").select(*DIM_CARDS_COLUMNS)
+    return dense_key(keep_first_if_repeated(df, "card_id"), "card_id", "card_key").select(*DIM_CARDS_COLUMNS)
 
 
 def build_dim_mcc(mcc: DataFrame) -> DataFrame:
     df = mcc.select(F.col("code").cast("long").alias("mcc_code"),
                     *_stripped(["description", "notes", "updated_by"])) \
             .where(F.col("mcc_code").isNotNull())
-    return dense_key(df, "mcc_code", "mcc_key").select(*DIM_MCC_COLUMNS)
+    return dense_key(keep_first_if_repeated(df, "mcc_code"), "mcc_code", "mcc_key").select(*DIM_MCC_COLUMNS)
 
 
 def build_dim_merchants(tx: DataFrame) -> DataFrame:
@@ -131,6 +131,7 @@ def build_fact(tx: DataFrame, dims: Dims) -> DataFrame:
         _yes_no(errors.isNotNull()).alias("has_error"),
         _yes_no(F.col("is_online")).alias("is_online"),
     ).where(F.col("transaction_id").isNotNull())
+    fact = keep_first_if_repeated(fact, "transaction_id")
 
     joins = [
         (dims.customers, "customer_id", "customer_key", "_client_id"),

@@ -10,18 +10,20 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardlake.plans import curated as C
 from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans import transform as T
-from cardlake.session import checkpoint_root, ensure_conf, input_size_bytes, size_shuffle_partitions
+from cardlake.session import checkpoint_root, ensure_conf, input_signature, input_size_bytes, size_shuffle_partitions
 from cardlake.sources.fixtures import RAW_INPUTS, raw_tables
 from cardlake.sources import csv_io
+from cardlake.operators.sinks import write_table
 from cardlake.sources.layers import LayerStore
 
 DEFAULT_AS_OF = "2025-06-15"
@@ -38,6 +40,7 @@ class Layers:
     cards: DataFrame
     mcc: DataFrame
     tx: DataFrame
+    rejects: DataFrame
     dim_customers: DataFrame
     dim_cards: DataFrame
     dim_mcc: DataFrame
@@ -58,6 +61,10 @@ def build_layers(spark: SparkSession, raw: dict[str, DataFrame], store: LayerSto
     mcc = g(TRANSFORMATION, "mcc_data", lambda: T.clean_mcc(raw["mcc_data"]), "code")
     tx = g(TRANSFORMATION, "transactions_data", lambda: T.clean_transactions(raw["transactions_data"]), "id")
 
+    rejects = g(TRANSFORMATION, "rejects", lambda: T.rejected_transactions(raw["transactions_data"])
+                .select(F.lit("transactions_data").alias("table_name"), "reason", "id")
+                .unionByName(T.rejected_mcc(raw["mcc_data"]).select(F.lit("mcc_data").alias("table_name"), "reason", "id")))
+
     dim_customers = g(CURATED, "dim_customers", lambda: C.build_dim_customers(users), "customer_key")
     dim_cards = g(CURATED, "dim_cards", lambda: C.build_dim_cards(cards), "card_key")
     dim_mcc = g(CURATED, "dim_mcc", lambda: C.build_dim_mcc(mcc), "mcc_key")
@@ -65,7 +72,7 @@ def build_layers(spark: SparkSession, raw: dict[str, DataFrame], store: LayerSto
     dim_date = g(CURATED, "dim_date", lambda: C.build_dim_date(tx), "date_key")
     dims = C.Dims(dim_customers, dim_cards, dim_merchants, dim_mcc, dim_date)
     fact = g(CURATED, "fact_transactions", lambda: C.build_fact(tx, dims), "transaction_id")
-    return Layers(store, users, cards, mcc, tx, dim_customers, dim_cards, dim_mcc, dim_merchants, dim_date, fact)
+    return Layers(store, users, cards, mcc, tx, rejects, dim_customers, dim_cards, dim_mcc, dim_merchants, dim_date, fact)
 
 
 @dataclass
@@ -78,17 +85,24 @@ class MartTables:
     customer_stats: DataFrame
 
 
-def build_mart_tables(layers: Layers, online_sources=FI.V.ONLINE_CHANNEL_SOURCES, tag: str = "") -> MartTables:
+def build_mart_tables(layers: Layers) -> MartTables:
     g = layers.store.get_or_build
-    channel = g(MARTS, f"dim_channel{tag}", lambda: FI.build_dim_channel(layers.fact, online_sources), "channel_key")
-    ff = g(MARTS, f"fact_finance_transactions{tag}", lambda: FI.build_fact_finance(layers.fact, channel), "transaction_id")
-    fct = g(MARTS, f"fact_customer_transactions{tag}", lambda: CU.build_fact_customer(layers.fact, channel), "transaction_id")
+    channel = g(MARTS, "dim_channel", lambda: FI.build_dim_channel(layers.fact, FI.V.ONLINE_CHANNEL_SOURCES), "channel_key")
+    ff = g(MARTS, "fact_finance_transactions", lambda: FI.build_fact_finance(layers.fact, channel), "transaction_id")
+    fct = g(MARTS, "fact_customer_transactions", lambda: CU.build_fact_customer(layers.fact, channel), "transaction_id")
     dim_customer = g(MARTS, "dim_customer", lambda: CU.build_dim_customer(layers.dim_customers), "customer_key")
     dim_card = g(MARTS, "dim_card", lambda: CU.build_dim_card(layers.dim_cards), "card_key")
-    stats = g(MARTS, f"customer_stats{tag}", lambda: CU.customer_stats(fct, dim_customer), "customer_key")
+    stats = g(MARTS, "customer_stats", lambda: CU.customer_stats(fct, dim_customer), "customer_key")
     return MartTables(channel, ff, fct, dim_customer, dim_card, stats)
 
 
+def with_channels(layers: Layers, marts: MartTables, online_sources, tag: str) -> MartTables:
+    """The same facts under another grouping of channels: keys do not depend
+    on the grouping, so only the few-row channel dimension differs."""
+    channel = layers.store.get_or_build(MARTS, f"dim_channel{tag}", lambda: FI.build_dim_channel(layers.fact, online_sources), "channel_key")
+    return replace(marts, dim_channel=channel)
+
+
 def mart_views(layers: Layers, marts: MartTables) -> dict[str, DataFrame]:
     """All mart outputs as lazy DataFrames (views and CTAS bodies)."""
     ff, fct, ch = marts.fact_finance, marts.fact_customer, marts.dim_channel
@@ -111,16 +125,22 @@ def mart_views(layers: Layers, marts: MartTables) -> dict[str, DataFrame]:
     }
 
 
-# tables the source materialises (CTAS); the rest are views
-MATERIALISED_MARTS = ("merchant_volume", "industry_growth_yoy", "merchant_error_rates", "merchant_geo_revenue")
+# tables of each layer (the mart outputs of `mart_views` come on top)
+STORED = {
+    TRANSFORMATION: ("users_data", "cards_data", "mcc_data", "transactions_data", "rejects"),
+    CURATED: ("dim_customers", "dim_cards", "dim_mcc", "dim_merchants", "dim_date", "fact_transactions"),
+    MARTS: ("dim_channel", "fact_finance_transactions", "fact_customer_transactions", "dim_customer", "dim_card"),
+}
 
 
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
                as_of: str | _dt.date = DEFAULT_AS_OF, input_bytes: int = 0) -> dict[str, DataFrame]:
     """Full refresh of every layer under `out_root` from the four raw tables.
 
-    Transformation, curated and mart tables are written as Parquet; the CTAS
-    marts are written too, the views are returned lazily (name -> DataFrame).
+    Transformation, curated and mart tables are written as Parquet, and so
+    are all mart outputs.  The layer tables and every mart output are also
+    registered as temporary views under their names, so SQL reaches them; the
+    mart outputs are returned too (name -> DataFrame).
     """
     ensure_conf(spark)
     size_shuffle_partitions(spark, input_bytes)
@@ -130,29 +150,37 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
     views = mart_views(layers, marts)
     out = {}
     for name, df in views.items():
-        if name in MATERIALISED_MARTS:
-            df.write.mode("overwrite").parquet(store.path(MARTS, name))
-            out[name] = store.read(MARTS, name)
-        else:
-            out[name] = df
+        write_table(df, store.path(MARTS, name))
+        out[name] = store.read(MARTS, name)
+    for layer, names in STORED.items():
+        for name in names:
+            store.read(layer, name).createOrReplaceTempView(name)
+    for name, df in out.items():
+        df.createOrReplaceTempView(name)
     return out
 
 
+def input_paths(sf_dir: str) -> list[str]:
+    """The driver tables that the raw tables are derived from."""
+    tables = sorted({t for ts in RAW_INPUTS.values() for t in ts})
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str, out_root: str,
                  as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
     """Every layer from the raw tables derived from the test tables in `sf_dir`."""
-    inputs = sorted({t for ts in RAW_INPUTS.values() for t in ts})
-    size = input_size_bytes(spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in inputs])
+    size = input_size_bytes(spark, input_paths(sf_dir))
     return run_layers(spark, raw_tables(spark, sf_dir), out_root, as_of, size)
 
 
 def run_pipeline_from_csv(spark: SparkSession, csv_dir: str, out_root: str,
-                          as_of: str | _dt.date = DEFAULT_AS_OF) -> dict[str, DataFrame]:
+                          as_of: str | _dt.date = DEFAULT_AS_OF, multiline: bool = False) -> dict[str, DataFrame]:
     """Every layer from the four raw CSV files in `csv_dir` (header, comma,
     UTF-8; each file loads into the table its name names, e.g.
-    `Users_Data.csv` -> users_data; arrival order = file order)."""
+    `Users_Data.csv` -> users_data; arrival order = file order; `multiline`: see
+    `csv_io.read_raw_csv`)."""
     files = csv_io.list_csv_files(spark, csv_dir)
-    raw = csv_io.ingest_files(spark, files)
+    raw = csv_io.ingest_files(spark, files, multiline=multiline)
     missing = sorted(set(RAW_INPUTS) - set(raw))
     if missing:
         raise ValueError(f"no CSV file for {missing} in {csv_dir}")
@@ -180,9 +208,11 @@ def _code_fingerprint() -> str:
 
 def store_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) -> LayerStore:
     """Layer store for the test tables in `sf_dir` under the session's
-    checkpoint folder (keyed by input, as-of date and code)."""
+    checkpoint folder, keyed by the input files (names, sizes, modification
+    times), the as-of date and the code: a changed input is a new store."""
     ensure_conf(spark)
-    key = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{as_of}|{_code_fingerprint()}".encode()).hexdigest()[:16]
+    files = input_signature(spark, input_paths(sf_dir))
+    key = hashlib.sha1(f"{files}|{as_of}|{_code_fingerprint()}".encode()).hexdigest()[:16]
     return LayerStore(spark, f"{checkpoint_root(spark)}/cardlake-layers/{key}")
 
 
@@ -191,11 +221,11 @@ def layers_for(spark: SparkSession, sf_dir: str, as_of: str = DEFAULT_AS_OF) ->
     store = store_for(spark, sf_dir, as_of)
     cache_key = (spark.sparkContext.applicationId, id(spark), store.root)
     if cache_key not in _CACHE:
+        size_shuffle_partitions(spark, input_size_bytes(spark, input_paths(sf_dir)))
         _CACHE[cache_key] = build_layers(spark, raw_tables(spark, sf_dir), store, as_of)
     return _CACHE[cache_key]
 
 
-def marts_for(spark: SparkSession, sf_dir: str, online_sources=FI.V.ONLINE_CHANNEL_SOURCES,
-              tag: str = "") -> tuple[Layers, MartTables]:
+def marts_for(spark: SparkSession, sf_dir: str) -> tuple[Layers, MartTables]:
     layers = layers_for(spark, sf_dir)
-    return layers, build_mart_tables(layers, online_sources, tag)
+    return layers, build_mart_tables(layers)

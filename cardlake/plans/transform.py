@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from cardlake.functions import fixed_values as V
 from cardlake.functions.dates import day_name, month_year, parse_timestamp
 from cardlake.functions.fuzzy import fuzzy_table_by_field
-from cardlake.functions.numbers import (card_money, card_money_number_text, card_money_text, in_range,
-                                        round_to_long, trunc_to_long, try_integer_text, try_number,
-                                        tx_amount, user_money, user_money_text)
-from cardlake.functions.text import (as_text, capitalize_first, collapse_ws, lookup, nullif_blank,
-                                     nullif_in, py_title, strip_chars, strip_ws)
+from cardlake.functions.numbers import (TX_AMOUNT_PARSE, card_money, card_money_number_text, card_money_text,
+                                        in_range, round_to_long, trunc_to_long, try_integer_text, try_number,
+                                        tx_amount_text, user_money, user_money_text, whole_number_text)
+from cardlake.functions.text import (WS, as_text, capitalize_first, collapse_ws, lookup, nullif_blank,
+                                     nullif_in, py_title, squeeze_ws, strip_chars, strip_ws)
 from cardlake.operators.dedup import keep_first
 from cardlake.operators.joins import broadcast_if_bounded
+from cardlake.session import write_scratch
 
 SEQ = "_seq"
 
@@ -107,15 +108,19 @@ def _resolve_labels(df: DataFrame) -> DataFrame:
     """alias / canonical hit, else closest canonical label, else title case.
 
     The fuzzy table (distinct unmatched spellings only) is built once for all
-    label fields, checkpointed, size-checked and joined back per field.
+    label fields and written, so the size check sees its own size and not an
+    estimate from its input.  Only unresolved spellings are join keys: resolved
+    rows have a NULL key, which a left join never matches, and which AQE
+    splits beyond the broadcast bound.
     """
-    table = broadcast_if_bounded(_fuzzy_labels(df).checkpoint(eager=True))
+    table = broadcast_if_bounded(write_scratch(_fuzzy_labels(df), "fuzzy"))
     for name, _, _ in LABEL_FIELDS:
-        clean, direct, fuzzy = f"_{name}_clean", f"_{name}_direct", f"_{name}_fuzzy"
-        side = table.where(F.col("field") == name).select(F.col("value").alias(clean), F.col("fuzzy_label").alias(fuzzy))
-        df = df.join(side, clean, "left")
+        clean, direct, fuzzy, key = f"_{name}_clean", f"_{name}_direct", f"_{name}_fuzzy", f"_{name}_key"
+        side = table.where(F.col("field") == name).select(F.col("value").alias(key), F.col("fuzzy_label").alias(fuzzy))
+        df = df.withColumn(key, F.when(F.col(direct).isNull(), F.col(clean)))
+        df = df.join(side, key, "left")
         label = F.coalesce(F.col(direct), F.col(fuzzy), py_title(F.col(clean)))
-        df = df.withColumn(name, label).drop(clean, direct, fuzzy)
+        df = df.withColumn(name, label).drop(clean, direct, fuzzy, key)
     return df
 
 
@@ -184,7 +189,7 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()
 def _mapped(c: str, mapping: dict, default: str, collapse: bool = False) -> Column:
     key = F.lower(strip_ws(as_text(F.col(c), V.NULL_TEXT)))
     if collapse:
-        key = F.regexp_replace(key, r"\s+", " ")
+        key = squeeze_ws(key)
     return F.coalesce(lookup(key, mapping), F.lit(default))
 
 
@@ -194,7 +199,7 @@ def _yes_no(c: str) -> Column:
 
 def _card_number(c: str) -> Column:
     raw = F.col(c)
-    as_int = trunc_to_long(try_number(raw)).cast("string")
+    as_int = whole_number_text(try_number(raw))
     return F.when(raw.isNull(), _null()).otherwise(F.coalesce(as_int, strip_ws(raw)))
 
 
@@ -243,7 +248,7 @@ def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT, carry: Sequence[st
 # ====================================================================== mcc
 def _mcc_code_text(s: Column) -> Column:
     """`s` trimmed code text -> without `MCC` prefix and surrounding quotes."""
-    no_prefix = F.regexp_replace(s, r"^(?i:mcc)\s*", "")
+    no_prefix = F.regexp_replace(s, f"^(?i:mcc){WS}*", "")
     return strip_chars(strip_chars(no_prefix, '"'), "'")
 
 
@@ -251,7 +256,7 @@ def _mcc_code(s: Column, unquoted: Column) -> Column:
     number = trunc_to_long(try_number(unquoted))
     return (F.when(s.isNull() | s.isin(V.MCC_BLANKS), _null("int"))
             .when(F.upper(unquoted).isin(V.MCC_CODE_NULLS), _null("int"))
-            .when(number >= 0, number.cast("int")))
+            .when(number >= 0, number.try_cast("int")))
 
 
 def mcc_code(c: Column) -> Column:
@@ -265,8 +270,17 @@ def _mcc_text(c: str) -> Column:
     return F.when(~s.isin(V.MCC_BLANKS), s)
 
 
+def rejected_mcc(raw: DataFrame) -> DataFrame:
+    """(reason, id) of MCC rows whose code is a number that no INT column holds."""
+    s = strip_ws(F.col("code"))
+    number = try_number(_mcc_code_text(s))
+    return raw.where((number >= F.lit(2.0 ** 31)) & _mcc_code(s, _mcc_code_text(s)).isNull()) \
+              .select(F.lit("code_overflow").alias("reason"), F.col("code").alias("id"))
+
+
 def clean_mcc(raw: DataFrame) -> DataFrame:
-    """Cleaned MCC codes; rows without a valid code dropped; keep-first per code."""
+    """Cleaned MCC codes; rows without a valid code dropped (a number above the
+    INT range goes to `rejected_mcc`); keep-first per code."""
     df = _seq_or_default(raw).withColumn("_code_s", strip_ws(F.col("code")))
     df = df.withColumn("_code_u", _mcc_code_text(F.col("_code_s")))
     desc = _mcc_text("description")
@@ -275,7 +289,7 @@ def clean_mcc(raw: DataFrame) -> DataFrame:
     df = df.select(
         _mcc_code(F.col("_code_s"), F.col("_code_u")).alias("code"),
         F.col(SEQ),
-        py_title(F.regexp_replace(desc, r"\s+", " ")).alias("description"),
+        py_title(squeeze_ws(desc)).alias("description"),
         F.coalesce(lookup(F.lower(notes), V.NOTES_MAP), notes).alias("notes"),
         py_title(F.translate(upd, "_-", "  ")).alias("updated_by"),
     ).where(F.col("code").isNotNull())
@@ -291,17 +305,48 @@ def _tx_state(c: Column) -> Column:
     return F.when(up.isin(V.VALID_US_STATES), up).otherwise(lookup(F.lower(s), V.STATE_NAME_MAP))
 
 
-def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str] = ()) -> DataFrame:
-    """Cleaned transactions.
+# amounts of this size do not fit DECIMAL(10,2)
+AMOUNT_LIMIT = 10 ** 8
 
-    Keep-first by id over the whole input (one infinite chunk), then the amount
-    filter, as in the source where de-duplication precedes filtering.
-    """
-    df = _seq_or_default(raw)
+
+def _staged_transactions(raw: DataFrame, dedup: bool) -> DataFrame:
+    """Raw transactions with their id as a number (rows without one left out),
+    keep-first by that id over the whole input (one infinite chunk), then the
+    amount filter, as in the source where de-duplication precedes filtering.
+    `_reason` says why a row cannot be stored as it is.  The filter compares
+    the amount before any rounding."""
+    df = _seq_or_default(raw).withColumn("_raw_id", F.col("id")).withColumn("id", try_integer_text(F.col("id"), "bigint"))
+    df = df.where(F.col("id").isNotNull())
     if dedup:
         df = keep_first(df, ["id"], [SEQ])
-    amount = tx_amount("amount")
-    df = df.withColumn("_amount", amount).where(F.abs(F.col("_amount")) >= F.lit(V.MIN_AMOUNT).cast("decimal(3,2)"))
+    df = df.withColumn("_amount_text", tx_amount_text("amount"))
+    df = df.withColumns({"_value": F.abs(try_number(F.col("_amount_text"))),
+                         "_amount": try_number(F.col("_amount_text"), TX_AMOUNT_PARSE)})
+    df = df.where(F.col("_value") >= F.lit(float(V.MIN_AMOUNT)))
+    bad = lambda c, t: F.col(c).isNotNull() & try_integer_text(F.col(c), t).isNull()
+    reason = (F.when(F.col("_amount").isNull() | (F.round(F.abs(F.col("_amount")), 2) >= AMOUNT_LIMIT), "amount_overflow")
+              .when(bad("merchant_id", "bigint"), "bad_merchant_id").when(bad("mcc", "int"), "bad_mcc"))
+    return df.withColumn("_reason", reason)
+
+
+def transaction_amounts(raw: DataFrame) -> DataFrame:
+    """(id, amount): absolute amounts of the rows that pass the amount filter, before their cast."""
+    return _staged_transactions(raw, True).select("id", F.round(F.abs(F.col("_amount")), 2).alias("amount"))
+
+
+def rejected_transactions(raw: DataFrame) -> DataFrame:
+    """(reason, id) of raw transactions that cannot be stored: no number as id,
+    an amount beyond DECIMAL(10,2), a merchant or category code that is no
+    whole number.  `id` is the raw text."""
+    no_id = raw.where(try_integer_text(F.col("id"), "bigint").isNull()).select(F.lit("bad_id").alias("reason"), "id")
+    rest = _staged_transactions(raw, True).where("_reason is not null").select(F.col("_reason").alias("reason"), F.col("_raw_id").alias("id"))
+    return no_id.unionByName(rest)
+
+
+def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """Cleaned transactions, ids unique and never NULL; rows that cannot be
+    stored are in `rejected_transactions`."""
+    df = _staged_transactions(raw, dedup).where("_reason is null")
 
     df = df.withColumns({
         "_ts": parse_timestamp(F.col("date")),
@@ -316,12 +361,12 @@ def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str]
     errors = F.when(F.lower(F.col("errors")) != "nan", F.col("errors"))
 
     df = df.select(
-        try_integer_text(F.col("id"), "bigint").alias("id"),
+        F.col("id"),
         ts.alias("date"),
         F.col("client_id").cast("long").alias("client_id"),
         F.col("card_id").cast("long").alias("card_id"),
-        F.round(F.abs(F.col("_amount")), 2).try_cast("decimal(10,2)").alias("amount"),
-        F.when(F.col("_amount") < 0, F.round(-F.col("_amount"), 2)).try_cast("decimal(10,2)").alias("refund_amount"),
+        F.round(F.abs(F.col("_amount")), 2).cast("decimal(10,2)").alias("amount"),
+        F.when(F.col("_amount") < 0, F.round(-F.col("_amount"), 2)).cast("decimal(10,2)").alias("refund_amount"),
         use_chip.alias("use_chip"),
         try_integer_text(F.col("merchant_id"), "bigint").alias("merchant_id"),
         F.when(online, F.lit(V.ONLINE_CITY)).otherwise(city).alias("merchant_city"),

@@ -23,8 +23,8 @@ from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans import transform as TR
-from cardlake.plans.pipeline import DEFAULT_AS_OF, layers_for, marts_for
-from cardlake.session import checkpoint_root, ensure_conf
+from cardlake.plans.pipeline import DEFAULT_AS_OF, layers_for, marts_for, with_channels
+from cardlake.session import ensure_conf, scratch_dir
 from cardlake.sources import csv_io
 from cardlake.sources.fixtures import raw_table
 from cardlake.streaming import incremental as INC
@@ -73,7 +73,8 @@ def _refund_signed(layers, marts):
 
 
 def _channel_online(spark, sf):
-    layers, marts = marts_for(spark, sf, ("Online",), tag="_online")
+    layers, marts = marts_for(spark, sf)
+    marts = with_channels(layers, marts, ("Online",), "_online")
     return comparable(CU.customer_channel_behavior(marts.fact_customer, marts.dim_customer, marts.dim_channel))
 
 
@@ -87,18 +88,12 @@ def _spend_stats(layers, marts):
                     F.round("stddev_spend", 4).alias("stddev_spend"), "txn_count")
 
 
-def _scratch(spark: SparkSession, what: str) -> str:
-    """A fresh folder under the shared checkpoint folder."""
-    import uuid
-    return f"{checkpoint_root(spark)}/cardlake-io/{what}-{uuid.uuid4().hex[:12]}"
-
-
 def _csv_roundtrip(table: str) -> Query:
     """Raw table -> CSV files -> ingest reader (A1, A2): must give the same rows,
     NULL and '' kept apart."""
     def run(spark, sf):
         raw = raw_table(spark, sf, table)
-        path = _scratch(spark, f"{table}.csv")
+        path = scratch_dir(spark, f"{table}.csv")
         csv_io.write_raw_csv(raw, path)
         return comparable(csv_io.read_raw_csv(spark, path, csv_io.with_seq(csv_io.RAW_SCHEMAS[table])))
     return run
@@ -107,7 +102,7 @@ def _csv_roundtrip(table: str) -> Query:
 def _bulk_roundtrip(spark, sf):
     """Fact table through a bulk-load CSV with the \\N NULL marker."""
     fact = layers_for(spark, sf).fact
-    path = _scratch(spark, "fact_bulk")
+    path = scratch_dir(spark, "fact_bulk")
     csv_io.write_bulk_csv(fact, path)
     return comparable(csv_io.read_bulk_csv(spark, path, fact.schema))
 
@@ -116,7 +111,7 @@ def _bulk_empty_null_roundtrip(spark, sf):
     """Cleaned transactions through a bulk-load CSV whose NULL marker is the
     empty string (A12): empty text comes back as NULL."""
     tx = layers_for(spark, sf).tx
-    path = _scratch(spark, "tx_bulk_empty")
+    path = scratch_dir(spark, "tx_bulk_empty")
     csv_io.write_bulk_csv(tx, path, null_marker="")
     return comparable(csv_io.read_bulk_csv(spark, path, tx.schema, null_marker=""))
 
@@ -124,12 +119,12 @@ def _bulk_empty_null_roundtrip(spark, sf):
 def _stream_load(spark, sf):
     """Raw transactions landed as files, loaded by the streaming job twice
     (the second run must add nothing)."""
-    base = _scratch(spark, "stream")
+    base = scratch_dir(spark, "stream")
     INC.land_raw_transactions(raw_table(spark, sf, "transactions_data"), f"{base}/landing")
     for _ in range(2):
         q = INC.stream_tx_load(spark, f"{base}/landing", f"{base}/target", f"{base}/checkpoint")
         q.awaitTermination()
-    return comparable(spark.read.parquet(f"{base}/target"))
+    return comparable(spark.read.parquet(f"{base}/target").drop(INC.BUCKET))
 
 
 def _dedup_report(spark, sf):
@@ -137,45 +132,73 @@ def _dedup_report(spark, sf):
     return comparable(parts[0].unionByName(parts[1]).unionByName(parts[2]))
 
 
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _tables(spark, sf) -> dict[str, DataFrame]:
+    """Every table of every layer under `layer.name`, the raw ones included."""
+    l, m = marts_for(spark, sf)
+    out = {f"raw.{t}": raw_table(spark, sf, t) for t in csv_io.RAW_SCHEMAS}
+    out |= {"transformation.users_data": l.users, "transformation.cards_data": l.cards,
+            "transformation.mcc_data": l.mcc, "transformation.transactions_data": l.tx,
+            "transformation.rejects": l.rejects,
+            "curated.dim_customers": l.dim_customers, "curated.dim_cards": l.dim_cards,
+            "curated.dim_mcc": l.dim_mcc, "curated.dim_merchants": l.dim_merchants,
+            "curated.dim_date": l.dim_date, "curated.fact_transactions": l.fact,
+            "marts.dim_channel": m.dim_channel, "marts.dim_customer": m.dim_customer, "marts.dim_card": m.dim_card,
+            "marts.fact_finance_transactions": m.fact_finance,
+            "marts.fact_customer_transactions": m.fact_customer}
+    return out
+
+
+# (table, key): declared primary and unique keys, and the same keys on the raw tables, which do not hold there
+KEYS = (
+    ("raw.users_data", "id"), ("raw.cards_data", "id"), ("raw.mcc_data", "code"), ("raw.transactions_data", "id"),
+    ("transformation.users_data", "id"), ("transformation.cards_data", "id"), ("transformation.mcc_data", "code"),
+    ("transformation.transactions_data", "id"),
+    ("curated.dim_customers", "customer_key"), ("curated.dim_customers", "customer_id"),
+    ("curated.dim_cards", "card_key"), ("curated.dim_cards", "card_id"),
+    ("curated.dim_mcc", "mcc_key"), ("curated.dim_mcc", "mcc_code"),
+    ("curated.dim_merchants", "merchant_key"), ("curated.dim_merchants", "merchant_id"),
+    ("curated.dim_date", "date_key"), ("curated.dim_date", "date"), ("curated.fact_transactions", "transaction_id"),
+    ("marts.dim_channel", "channel_key"), ("marts.dim_channel", "source_use_chip"),
+    ("marts.dim_customer", "customer_key"), ("marts.dim_card", "card_key"),
+    ("marts.fact_finance_transactions", "transaction_id"), ("marts.fact_customer_transactions", "transaction_id"),
+)
+
+# (child, key, parent, key): declared foreign keys, the star's other references, and those of the cleaned
+# transactions, some of which name no card, user or category
+REFERENCES = (
+    ("marts.fact_customer_transactions", "customer_key", "marts.dim_customer", "customer_key"),
+    ("marts.fact_customer_transactions", "card_key", "marts.dim_card", "card_key"),
+    ("marts.fact_customer_transactions", "channel_key", "marts.dim_channel", "channel_key"),
+    ("marts.fact_finance_transactions", "channel_key", "marts.dim_channel", "channel_key"),
+    ("marts.fact_finance_transactions", "date_key", "curated.dim_date", "date_key"),
+    ("marts.fact_finance_transactions", "merchant_key", "curated.dim_merchants", "merchant_key"),
+    ("marts.fact_finance_transactions", "mcc_key", "curated.dim_mcc", "mcc_key"),
+    ("curated.fact_transactions", "date_key", "curated.dim_date", "date_key"),
+    ("transformation.transactions_data", "client_id", "transformation.users_data", "id"),
+    ("transformation.transactions_data", "card_id", "transformation.cards_data", "id"),
+    ("transformation.transactions_data", "mcc", "transformation.mcc_data", "code"),
+)
+
+
 def _primary_keys(spark, sf):
-    l = layers_for(spark, sf)
-    checks = [Q.check_primary_key(l.dim_customers, ["customer_key"], "dim_customers"),
-              Q.check_primary_key(l.dim_cards, ["card_key"], "dim_cards"),
-              Q.check_primary_key(l.dim_mcc, ["mcc_key"], "dim_mcc"),
-              Q.check_primary_key(l.dim_merchants, ["merchant_key"], "dim_merchants"),
-              Q.check_primary_key(l.dim_date, ["date_key"], "dim_date"),
-              Q.check_primary_key(l.fact, ["transaction_id"], "fact_transactions"),
-              Q.check_primary_key(l.tx, ["id"], "transactions_data"),
-              Q.check_primary_key(l.users, ["id"], "users_data")]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return comparable(out)
+    t = _tables(spark, sf)
+    return comparable(_union([Q.check_primary_key(t[name], [key], name) for name, key in KEYS]))
 
 
 def _foreign_keys(spark, sf):
-    l, m = marts_for(spark, sf)
-    fct = m.fact_customer
-    checks = [Q.check_foreign_key(fct, "customer_key", m.dim_customer, "customer_key", "fk_fact_customer"),
-              Q.check_foreign_key(fct, "card_key", m.dim_card, "card_key", "fk_fact_card"),
-              Q.check_foreign_key(fct, "channel_key", m.dim_channel, "channel_key", "fk_fact_channel"),
-              Q.check_foreign_key(l.fact, "date_key", l.dim_date, "date_key", "fk_fact_date")]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.unionByName(c)
-    return comparable(out)
+    t = _tables(spark, sf)
+    return comparable(_union([Q.check_foreign_key(t[c], k, t[p], pk, f"{c}.{k}") for c, k, p, pk in REFERENCES]))
 
 
 def _stage_counts(spark, sf):
-    l, m = marts_for(spark, sf)
-    stages = {"transformation.users_data": l.users, "transformation.cards_data": l.cards,
-              "transformation.mcc_data": l.mcc, "transformation.transactions_data": l.tx,
-              "curated.dim_customers": l.dim_customers, "curated.dim_cards": l.dim_cards,
-              "curated.dim_mcc": l.dim_mcc, "curated.dim_merchants": l.dim_merchants,
-              "curated.dim_date": l.dim_date, "curated.fact_transactions": l.fact,
-              "marts.dim_channel": m.dim_channel, "marts.fact_finance_transactions": m.fact_finance,
-              "marts.fact_customer_transactions": m.fact_customer}
-    return comparable(Q.stage_row_counts(stages))
+    return comparable(Q.stage_row_counts(_tables(spark, sf)))
 
 
 CARD_LIMITS = {"card_brand": 50, "card_type": 50, "card_number": 20, "expires": 7, "has_chip": 10,
@@ -183,25 +206,58 @@ CARD_LIMITS = {"card_brand": 50, "card_type": 50, "card_number": 20, "expires":
                "issuer_bank_type": 50, "issuer_risk_rating": 20}
 TX_LIMITS = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip": 20, "errors": 255,
              "day_of_week": 10}
+# declared text lengths: (key column, {column: length})
+LENGTHS = {
+    "transformation.users_data": ("id", {"gender": 20, "employment_status": 100, "education_level": 100}),
+    "transformation.cards_data": ("id", CARD_LIMITS),
+    "transformation.mcc_data": ("code", {"description": 255, "notes": 100, "updated_by": 100}),
+    "transformation.transactions_data": ("id", TX_LIMITS),
+    "curated.dim_customers": ("customer_id", {"gender": 20, "employment_status": 100, "education_level": 100}),
+    "curated.dim_cards": ("card_id", {"card_brand": 50, "card_type": 50, "masked_card_number": 25, "expires": 20, "has_chip": 10,
+                                      "acct_open_date": 20, "card_on_dark_web": 10, "issuer_bank_name": 100,
+                                      "issuer_bank_state": 20, "issuer_bank_type": 50, "issuer_risk_rating": 20}),
+    "curated.dim_mcc": ("mcc_code", {"description": 255, "notes": 100, "updated_by": 100}),
+    "curated.dim_merchants": ("merchant_id", {"merchant_city": 100, "merchant_state": 20, "zip": 20}),
+    "curated.dim_date": ("date_key", {"month_name": 20, "day_name": 20}),
+    "curated.fact_transactions": ("transaction_id", {"use_chip": 50, "errors": 255, "is_refund": 5, "has_error": 5, "is_online": 5}),
+}
 
 
 def _schema_rejects(spark, sf):
-    """K4 reject table: cleaned card and transaction rows that break a
-    declared column length (ids and the offending table)."""
-    l = layers_for(spark, sf)
-    cards = Q.schema_limit_rejects(l.cards, CARD_LIMITS).select(F.lit("transformation.cards_data").alias("table_name"),
-                                                               F.col("id").cast("long").alias("id"))
-    tx = Q.schema_limit_rejects(l.tx, TX_LIMITS).select(F.lit("transformation.transactions_data").alias("table_name"),
-                                                        F.col("id").cast("long").alias("id"))
-    return comparable(cards.unionByName(tx))
+    """K4 reject table: rows that break a declared column length (the table and its key)."""
+    t = _tables(spark, sf)
+    return comparable(_union([
+        Q.schema_limit_rejects(t[name], limits).select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("id"))
+        for name, (key, limits) in LENGTHS.items()]))
 
 
 def _schema_limits(spark, sf):
-    l = layers_for(spark, sf)
-    cards = Q.check_schema_limits(l.cards, "transformation.cards_data", CARD_LIMITS)
-    tx = Q.check_schema_limits(l.tx, "transformation.transactions_data", TX_LIMITS,
-                               {"amount": (10, 2), "refund_amount": (10, 2)})
-    return comparable(cards.unionByName(tx))
+    """Declared lengths of every table, and the amounts before their cast to DECIMAL(10,2)."""
+    t = _tables(spark, sf)
+    before = TR.transaction_amounts(t["raw.transactions_data"])
+    checks = [Q.check_schema_limits(t[name], name, limits) for name, (_, limits) in LENGTHS.items()]
+    return comparable(_union([*checks, Q.check_schema_limits(before, "transformation.transactions_data", {}, {"amount": (10, 2)})]))
+
+
+def _rejects(spark, sf):
+    """Raw rows that no cleaned table can hold, with the reason."""
+    return comparable(layers_for(spark, sf).rejects)
+
+
+FIRST_FILE = "merchant_id LIKE '%7'"
+
+
+def _arrival_order(spark, sf):
+    """A1, A4: two deliveries in files of unequal sizes.  The small first one
+    repeats ids of the second with other amounts and with line ends inside
+    quoted fields; keep-first by arrival over both must take its rows."""
+    raw = keep_first(raw_table(spark, sf, "transactions_data"), ["id"], ["_seq"]).drop("_seq")
+    base = scratch_dir(spark, "arrival")
+    early = raw.where(FIRST_FILE).withColumn("amount", F.lit("$1.00")).withColumn("errors", F.lit("first\nline"))
+    csv_io.write_raw_csv(early, f"{base}/0-first.csv")
+    csv_io.write_raw_csv(raw, f"{base}/1-second.csv")
+    both = csv_io.read_raw_csv(spark, [f"{base}/0-first.csv", f"{base}/1-second.csv"], csv_io.RAW_SCHEMAS["transactions_data"], multiline=True)
+    return comparable(keep_first(both, ["id"], ["_seq"]).drop("_seq"))
 
 
 # ---------------------------------------------------------------- cleaning maps
@@ -263,7 +319,7 @@ def _insert_if_absent(spark, sf):
     inside the chunk, then the amount filter); the first is loaded, the second
     inserted where its id is absent.  Returns the target after both loads."""
     raw = raw_table(spark, sf, "transactions_data")
-    path = _scratch(spark, "insert_if_absent")
+    path = scratch_dir(spark, "insert_if_absent")
     TR.clean_transactions(raw.where(CHUNK_A)).write.mode("overwrite").parquet(path)
     fresh = insert_if_absent(TR.clean_transactions(raw.where(CHUNK_B)), spark.read.parquet(path), "id", order=None)
     fresh.write.mode("append").parquet(path)
@@ -274,7 +330,7 @@ def _full_refresh(spark, sf):
     """A table written over an older, different table at the same path
     holds exactly the new rows."""
     l = layers_for(spark, sf)
-    path = _scratch(spark, "full_refresh")
+    path = scratch_dir(spark, "full_refresh")
     l.dim_mcc.write.mode("overwrite").parquet(path)
     l.users.write.mode("overwrite").parquet(path)
     return comparable(spark.read.parquet(path))
@@ -292,7 +348,7 @@ MANIFEST_FILES = {"Users_Data.csv": "users_data", "Cards_Data.csv": "cards_data"
 def _file_manifest(spark, sf):
     """A3/A4: four CSV files land in one folder; each is loaded into the
     table its file name names.  Returns rows and distinct ids per table."""
-    folder = _scratch(spark, "landing")
+    folder = scratch_dir(spark, "landing")
     for file_name, table in MANIFEST_FILES.items():
         csv_io.write_raw_csv(raw_table(spark, sf, table), f"{folder}/{file_name}")
     loaded = csv_io.ingest_files(spark, {f: f"{folder}/{f}" for f in MANIFEST_FILES},
@@ -359,6 +415,8 @@ QUERIES: dict[str, Query] = {
     "check_schema_limits": _schema_limits,
     "schema_limit_rejects": _schema_rejects,
     "stage_row_counts": _stage_counts,
+    "rejected_rows": _rejects,
+    "ingest_arrival_order": _arrival_order,
     # whole-table operators
     "dedup_keep_first_users": _keep_first("users_data"),
     "dedup_keep_first_cards": _keep_first("cards_data"),

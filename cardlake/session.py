@@ -7,10 +7,14 @@ fill in what is unset.  Locally (tests, bench) we build a session tuned for
 
 from __future__ import annotations
 
+import atexit
+import hashlib
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  UTC makes timestamp parsing and date
 # extraction independent of the machine; AQE re-plans joins and partition
@@ -54,12 +58,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and must be a shared file
-    system.  Only when it is unset (local tests) do we create one.
+    system; without it nothing can run there.  Only a local master (tests)
+    gets a folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
+    if not current and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all machines share")
     if not current:
         current = tempfile.mkdtemp(prefix="cardlake-ckpt-", dir=os.environ.get("CARDLAKE_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
@@ -68,6 +75,54 @@ def checkpoint_root(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _delete_at_exit(spark: SparkSession, path: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
+        elif path.startswith(("/", "file:/")):  # the session has ended
+            shutil.rmtree("/" + path.removeprefix("file:").lstrip("/"), ignore_errors=True)
+    except Exception:  # noqa: BLE001 - scratch only: a failed removal must not fail the job
+        pass
+
+
+def scratch_dir(spark: SparkSession, what: str) -> str:
+    """A new folder under the shared checkpoint folder, removed when the
+    program ends (results that are read lazily may need it until then)."""
+    path = f"{checkpoint_root(spark)}/cardlake-io/{what}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_delete_at_exit, spark, path)
+    return path
+
+
+def write_scratch(df: DataFrame, what: str) -> DataFrame:
+    """df written to a scratch folder and read back: cuts the lineage, and later
+    size estimates are those of the rows themselves."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, what)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def input_signature(spark: SparkSession, paths) -> str:
+    """Names, sizes and modification times of all files under `paths`, as one
+    digest (file-system metadata only): changes when an input changes."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    lines = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            lines.append(f"{f.getPath()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(lines)).encode()).hexdigest()
+
+
 def input_size_bytes(spark: SparkSession, paths) -> int:
     """Total bytes under `paths` (file-system metadata only, nothing is read)."""
     jvm = spark.sparkContext._jvm
@@ -82,18 +137,18 @@ def input_size_bytes(spark: SparkSession, paths) -> int:
 
 
 def size_shuffle_partitions(spark: SparkSession, input_bytes: int,
-                            bytes_per_partition: int = 128 * 1024 * 1024,
-                            max_partitions: int = 50_000) -> int:
+                            bytes_per_partition: int = 128 * 1024 * 1024) -> int:
     """Initial shuffle partition count for AQE to coalesce from.
 
     The largest shuffles (keep-first of the raw transactions, the fact joins)
     move about as much data as the input, so they start with one partition
     per `bytes_per_partition` of (compressed) input; AQE then merges small
-    partitions and splits skewed ones.  The cap keeps map x reduce block
-    counts manageable.  Never lowers the session's own setting.
+    partitions and splits skewed ones.  Never lowers the session's own
+    setting; a deployment that wants fewer, larger partitions passes
+    `bytes_per_partition`.
     """
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max_partitions, -(-input_bytes // bytes_per_partition))
+    wanted = -(-input_bytes // bytes_per_partition)
     n = max(current, wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(n))
     return n

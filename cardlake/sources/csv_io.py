@@ -56,19 +56,44 @@ def with_seq(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField("_seq", L, True)] + list(schema.fields))
 
 
-def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, with_arrival_seq: bool = True) -> DataFrame:
-    """Read one raw CSV (file or folder) with an explicit schema, failing on any
-    malformed row.  `_seq` numbers rows in file order (partition, offset)."""
+# arrival: file name, the split's place in the file, the row's place in the split's task
+ARRIVAL = T.StructType([T.StructField("file", S), T.StructField("start", L), T.StructField("row", L)])
+_ROW_BITS = (1 << 33) - 1  # monotonically_increasing_id = partition index << 33 | row
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """Add `_place`, a file scan's file name and the split's place in the file."""
+    return df.select(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")).alias("_place"),
+                     *df.columns)
+
+
+def arrival_of_place(df: DataFrame) -> DataFrame:
+    """`_place` -> `_seq`, the arrival order over all files: by file name, then
+    place in the file, however Spark packs splits into tasks."""
+    seq = F.struct(F.col("_place.file").alias("file"), F.col("_place.start").alias("start"),
+                   F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)).alias("row"))
+    return df.select(seq.alias("_seq"), *[c for c in df.columns if c != "_place"])
+
+
+def with_arrival(df: DataFrame) -> DataFrame:
+    """Add `_seq` to a batch file scan."""
+    return arrival_of_place(with_place(df))
+
+
+def read_raw_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, with_arrival_seq: bool = True,
+                 multiline: bool = False) -> DataFrame:
+    """Read raw CSV files with an explicit schema, failing on any malformed
+    row.  `_seq` is the arrival order (see `with_arrival`).  `multiline`
+    accepts line ends inside quoted fields; a file is then one task, because
+    it can no longer be split at line ends."""
     df = (spark.read.schema(schema)
           .option("header", True).option("sep", ",").option("encoding", "UTF-8")
           .option("quote", '"').option("escape", '"')
           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-          .option("nullValue", NO_NULL_TEXT)
+          .option("nullValue", NO_NULL_TEXT).option("multiLine", multiline)
           .option("mode", "FAILFAST")
           .csv(path))
-    if with_arrival_seq and "_seq" not in schema.fieldNames():
-        df = df.select(F.monotonically_increasing_id().alias("_seq"), *df.columns)
-    return df
+    return with_arrival(df) if with_arrival_seq and "_seq" not in schema.fieldNames() else df
 
 
 def write_raw_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -88,12 +113,12 @@ def table_name_from_file(file_name):
 
 
 def ingest_files(spark: SparkSession, files: dict[str, str],
-                 schemas: dict[str, T.StructType] = RAW_SCHEMAS) -> dict[str, DataFrame]:
+                 schemas: dict[str, T.StructType] = RAW_SCHEMAS, multiline: bool = False) -> dict[str, DataFrame]:
     """Load several raw CSV files, each into the table its file name names."""
     out = {}
     for file_name, path in files.items():
         table = table_name_from_file(file_name)
-        out[table] = read_raw_csv(spark, path, schemas[table])
+        out[table] = read_raw_csv(spark, path, schemas[table], multiline=multiline)
     return out
 
 
@@ -111,16 +136,6 @@ def list_csv_files(spark: SparkSession, folder: str) -> dict[str, str]:
     return out
 
 
-def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """(table_name, file_path, lines) for every CSV file under `folder`,
-    derived from the file metadata column - no driver-side listing."""
-    lines = spark.read.text(folder + "/*/*.csv")
-    return (lines.select(table_name_from_file(F.regexp_extract(F.col("_metadata.file_path"),
-                                                                r"([^/]+)/[^/]*$", 1)).alias("table_name"),
-                         F.col("_metadata.file_path").alias("file_path"))
-            .groupBy("table_name", "file_path").agg(F.count(F.lit(1)).alias("lines")))
-
-
 def write_bulk_csv(df: DataFrame, path: str, null_marker: str = NULL_MARKER) -> None:
     """Bulk-load file: NULL written as `null_marker` ('\\N' keeps '' distinct)."""
     (df.write.mode("overwrite").option("header", False)

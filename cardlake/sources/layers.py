@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cardlake.operators.sinks import write_table
+
 
 class LayerStore:
     """`refresh=True` rewrites every table on each build (a full-refresh run);
@@ -33,7 +35,7 @@ class LayerStore:
         """Full refresh of one table; rows sorted by `sort_by` inside each file
         (tight min/max statistics for key lookups), no global sort."""
         out = df.sortWithinPartitions(sort_by) if sort_by else df
-        out.write.mode("overwrite").parquet(self.path(layer, name))
+        write_table(out, self.path(layer, name))
         return self.read(layer, name)
 
     def read(self, layer: str, name: str) -> DataFrame:

@@ -24,12 +24,20 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# whitespace as code points, the way Python's isspace lists them
+SPACES = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {q(SPACES)})"
+
+
+def squeeze(x: str) -> str:
+    return f"regexp_replace({x}, '[{SPACES}]+', ' ', 'g')"
 
 
 def collapse(x: str) -> str:
-    return f"regexp_replace({strip(x)}, '\\s+', ' ', 'g')"
+    return squeeze(strip(x))
 
 
 def title(x: str) -> str:
@@ -38,16 +46,16 @@ def title(x: str) -> str:
             f"lambda w: upper(left(w, 1)) || lower(substr(w, 2))), '') END")
 
 
-NUM_RX = "\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*"
-INT_RX = "\\s*[+-]?\\d+\\s*"
+NUM_RX = "[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?"
+INT_RX = "[+-]?\\d+"
 
 
 def num(x: str, t: str = "DOUBLE") -> str:
-    return f"CASE WHEN regexp_full_match({x}, '{NUM_RX}') THEN TRY_CAST({strip(x)} AS {t}) END"
+    return f"CASE WHEN regexp_full_match({strip(x)}, '{NUM_RX}') THEN TRY_CAST({strip(x)} AS {t}) END"
 
 
 def int_text(x: str) -> str:
-    return f"CASE WHEN regexp_full_match({x}, '{INT_RX}') THEN TRY_CAST({strip(x)} AS BIGINT) END"
+    return f"CASE WHEN regexp_full_match({strip(x)}, '{INT_RX}') THEN TRY_CAST({strip(x)} AS BIGINT) END"
 
 
 def in_list(values) -> str:
@@ -166,15 +174,16 @@ def _month_year(col: str) -> str:
     months = "['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec']"
     mon_rx = "[A-Za-z]{3}-\\d{2,4}"
     ytxt = f"regexp_extract({s}, '-(\\d+)$', 1)"
-    year = f"CASE WHEN length({ytxt}) = 2 THEN 2000 + CAST({ytxt} AS INT) WHEN length({ytxt}) = 4 THEN CAST({ytxt} AS INT) END"
+    year = f"CASE WHEN TRY_CAST({ytxt} AS INT) < 100 THEN 2000 + CAST({ytxt} AS INT) WHEN length({ytxt}) = 4 THEN CAST({ytxt} AS INT) END"
     mno = f"list_position({months}, lower(left({s}, 3)))"
     named = (f"CASE WHEN regexp_full_match({s}, '{mon_rx}') AND {mno} IS NOT NULL AND {year} IS NOT NULL "
              f"THEN make_date({year}, {mno}, 1) END")
     sep = f"regexp_replace({s}, '^(?i)sept ', 'Sep ')"
     general = ", ".join(f"CAST(try_strptime({sep}, '{f}') AS DATE)"
-                        for f in ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m", "%m/%Y", "%m/%d/%Y", "%d/%m/%Y",
+                        for f in ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%SZ", "%Y-%m", "%m/%Y", "%m/%d/%Y", "%d/%m/%Y",
                                   "%Y/%m/%d", "%Y%m%d", "%B %d, %Y", "%b %Y", "%B %Y"))
     return (f"CASE WHEN {col} IS NULL OR lower({s}) IN {in_list(V.MONTH_YEAR_NULLS)} THEN NULL "
+            f"WHEN year(coalesce({named}, {general})) NOT BETWEEN 1678 AND 2261 THEN NULL "
             f"ELSE strftime(coalesce({named}, {general}), '%Y-%m') END")
 
 
@@ -194,7 +203,7 @@ def _card_money(col: str) -> str:
 
 
 def _ws_key(col: str) -> str:
-    return f"regexp_replace(lower({strip(_txt(col))}), '\\s+', ' ', 'g')"
+    return squeeze(f"lower({strip(_txt(col))})")
 
 
 def _key(col: str) -> str:
@@ -233,7 +242,7 @@ def _mcc_code() -> str:
     u = f"regexp_replace(regexp_replace({p}, '^\"+|\"+$', '', 'g'), '^''+|''+$', '', 'g')"
     return (f"CASE WHEN code IS NULL OR {s} IN ('', '\\N') THEN NULL "
             f"WHEN upper({u}) IN ('NOTE', 'COMMENT', 'NAN', '\\N') THEN NULL "
-            f"WHEN trunc({num(u)}) < 0 THEN NULL ELSE CAST(trunc({num(u)}) AS BIGINT) END")
+            f"WHEN trunc({num(u)}) < 0 OR trunc({num(u)}) > 2147483647 THEN NULL ELSE CAST(trunc({num(u)}) AS BIGINT) END")
 
 
 def _mcc_txt(col: str) -> str:
@@ -245,7 +254,7 @@ SELECT code, nullif(description, '') AS description, nullif(notes, '') AS notes,
 FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY code ORDER BY _seq) AS rn FROM (
     SELECT _seq, {_mcc_code()} AS code,
-      {title(f"regexp_replace({_mcc_txt('description')}, '\\s+', ' ', 'g')")} AS description,
+      {title(squeeze(_mcc_txt('description')))} AS description,
       coalesce({case_map(f"lower({_mcc_txt('notes')})", V.NOTES_MAP)}, {_mcc_txt('notes')}) AS notes,
       {title(f"replace(replace({_mcc_txt('updated_by')}, '_', ' '), '-', ' ')")} AS updated_by
     FROM raw_mcc)
@@ -253,7 +262,29 @@ FROM (
 ) WHERE rn = 1
 """)
 
-cte("t_tx", ("raw_tx",), f"""
+cte("tx_staged", ("raw_tx",), f"""
+SELECT *, CASE WHEN a IS NULL OR round(abs(a), 2) >= 100000000 THEN 'amount_overflow'
+               WHEN merchant_text IS NOT NULL AND merchant_id IS NULL THEN 'bad_merchant_id'
+               WHEN mcc_text IS NOT NULL AND mcc IS NULL THEN 'bad_mcc' END AS reason
+FROM (
+  SELECT *, coalesce(lower(uc) = 'online', false) OR coalesce(lower(city) = 'online', false) AS online
+  FROM (
+    SELECT raw_id, id_n AS id, client_id, card_id, amount AS raw_amount, date AS raw_date, use_chip AS raw_use_chip,
+      merchant_city AS raw_merchant_city, merchant_state AS raw_merchant_state, zip AS raw_zip,
+      {num("replace(replace(amount, '$', ''), ',', '')")} AS v,
+      {num("replace(replace(amount, '$', ''), ',', '')", 'DECIMAL(38,18)')} AS a,
+      try_strptime(date, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d']) AS ts,
+      {strip("replace(use_chip, ' Transaction', '')")} AS uc,
+      {strip(f"CASE WHEN merchant_city IN {in_list(V.CITY_NULLS)} THEN NULL ELSE merchant_city END")} AS city,
+      merchant_id AS merchant_text, {int_text('merchant_id')} AS merchant_id, merchant_state, zip,
+      mcc AS mcc_text, CASE WHEN {int_text('mcc')} BETWEEN -2147483648 AND 2147483647 THEN {int_text('mcc')} END AS mcc, errors
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id_n ORDER BY _seq) AS rn
+          FROM (SELECT *, id AS raw_id, {int_text('id')} AS id_n FROM raw_tx) WHERE id_n IS NOT NULL) WHERE rn = 1
+  ) WHERE abs(v) >= 0.01
+)
+""")
+
+cte("t_tx", ("tx_staged",), f"""
 SELECT id, ts AS date, client_id, card_id,
   CAST(round(abs(a), 2) AS DECIMAL(10,2)) AS amount,
   CASE WHEN a < 0 THEN CAST(round(-a, 2) AS DECIMAL(10,2)) END AS refund_amount,
@@ -267,18 +298,15 @@ SELECT id, ts AS date, client_id, card_id,
   a < 0 AS is_refund, online AS is_online,
   year(ts) AS transaction_year, month(ts) AS transaction_month, quarter(ts) AS transaction_quarter,
   hour(ts) AS transaction_hour, dayname(ts) AS day_of_week
-FROM (
-  SELECT *, coalesce(lower(uc) = 'online', false) OR coalesce(lower(city) = 'online', false) AS online
-  FROM (
-    SELECT {int_text('id')} AS id, client_id, card_id,
-      {num("replace(replace(amount, '$', ''), ',', '')", 'DECIMAL(38,6)')} AS a,
-      try_strptime(date, ['%Y-%m-%d %H:%M:%S', '%Y-%m-%d']) AS ts,
-      {strip("replace(use_chip, ' Transaction', '')")} AS uc,
-      {strip(f"CASE WHEN merchant_city IN {in_list(V.CITY_NULLS)} THEN NULL ELSE merchant_city END")} AS city,
-      {int_text('merchant_id')} AS merchant_id, merchant_state, zip, {int_text('mcc')} AS mcc, errors
-    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY _seq) AS rn FROM raw_tx) WHERE rn = 1
-  ) WHERE abs(a) >= 0.01
-)
+FROM tx_staged WHERE reason IS NULL
+""")
+
+cte("rejects", ("raw_tx", "tx_staged", "raw_mcc"), f"""
+SELECT 'transactions_data' AS table_name, 'bad_id' AS reason, id FROM raw_tx WHERE id IS NULL OR {int_text('id')} IS NULL
+UNION ALL
+SELECT 'transactions_data', reason, raw_id FROM tx_staged WHERE reason IS NOT NULL
+UNION ALL
+SELECT 'mcc_data', 'code_overflow', code FROM raw_mcc WHERE regexp_full_match({strip('code')}, '(?i)(mcc)? *"?[0-9]{{10,}}"?')
 """)
 
 cte("dim_customers", ("t_users",), f"""
@@ -400,8 +428,9 @@ WHERE f.errors IS NOT NULL OR (cs.n >= 2 AND cs.sd IS NOT NULL AND f.amount > cs
 cte("raw_tx_a", ("raw_tx",), "SELECT * FROM raw_tx WHERE date < '1999-01-01'")
 cte("raw_tx_b", ("raw_tx",), "SELECT * FROM raw_tx WHERE date >= '1998-07-01' OR date IS NULL")
 for _c in ("a", "b"):
-    assert CTES["t_tx"][1].count("FROM raw_tx)") == 1
-    cte(f"t_tx_{_c}", (f"raw_tx_{_c}",), CTES["t_tx"][1].replace("FROM raw_tx)", f"FROM raw_tx_{_c})"))
+    assert CTES["tx_staged"][1].count("FROM raw_tx)") == 1
+    cte(f"tx_staged_{_c}", (f"raw_tx_{_c}",), CTES["tx_staged"][1].replace("FROM raw_tx)", f"FROM raw_tx_{_c})"))
+    cte(f"t_tx_{_c}", (f"tx_staged_{_c}",), CTES["t_tx"][1].replace("FROM tx_staged", f"FROM tx_staged_{_c}"))
 
 
 def with_ctes(body: str, *needed: str) -> str:
@@ -520,7 +549,12 @@ def keep_first_raw(table: str) -> str:
 def clean_map(table: str, raw_cols: tuple, clean_cols: tuple) -> str:
     """Raw spelling -> cleaned value(s), rows: first raw arrival per id joined
     to the cleaned row with that id."""
-    raw_id = "r.id" if table != "transactions_data" else int_text("r.id")
+    if table == "transactions_data":
+        first = (f"(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {int_text('id')} ORDER BY _seq) AS rn "
+                 f"FROM raw_tx WHERE {int_text('id')} IS NOT NULL) WHERE rn = 1)")
+        raw_id = int_text("r.id")
+    else:
+        first, raw_id = keep_first_raw(table), "r.id"
     sel = [_typed("r", c, _raw_type(table, c), f"raw_{c}") for c in raw_cols]
     for c in clean_cols:
         if c == "date":
@@ -529,7 +563,7 @@ def clean_map(table: str, raw_cols: tuple, clean_cols: tuple) -> str:
             sel.append(_typed("t", c, CLEAN_TYPES.get(c), c))
     return with_ctes(f"""
 SELECT {", ".join(sel)}, CAST(COUNT(*) AS BIGINT) AS rows
-FROM {keep_first_raw(table)} r JOIN {CLEAN_CTE[table]} t ON CAST({raw_id} AS BIGINT) = t.id
+FROM {first} r JOIN {CLEAN_CTE[table]} t ON CAST({raw_id} AS BIGINT) = t.id
 GROUP BY ALL""", RAW_CTE[table], CLEAN_CTE[table])
 
 
@@ -781,59 +815,81 @@ SELECT '{table}' AS table_name, '{key}' AS key_columns, CAST(COUNT(*) AS BIGINT)
   CAST((SELECT COUNT(*) FROM (SELECT {key} FROM {src} WHERE {key} IS NOT NULL GROUP BY {key} HAVING COUNT(*) > 1)) AS BIGINT) AS duplicate_keys,
   CAST(COUNT({key}) - COUNT(DISTINCT {key}) AS BIGINT) AS duplicate_rows
 FROM {src}"""
-    pks = [("dim_customers", "dim_customers", "customer_key"), ("dim_cards", "dim_cards", "card_key"),
-           ("dim_mcc", "dim_mcc", "mcc_key"), ("dim_merchants", "dim_merchants", "merchant_key"),
-           ("dim_date", "dim_date", "date_key"), ("fact_transactions", "fact", "transaction_id"),
-           ("transactions_data", "t_tx", "id"), ("users_data", "t_users", "id")]
-    out["check_primary_key"] = with_ctes(" UNION ALL ".join(pk(*x) for x in pks), *[x[1] for x in pks])
+    src = {"raw.users_data": "raw_users", "raw.cards_data": "raw_cards", "raw.mcc_data": "raw_mcc",
+           "raw.transactions_data": "raw_tx", "transformation.users_data": "t_users", "transformation.cards_data": "t_cards",
+           "transformation.mcc_data": "t_mcc", "transformation.transactions_data": "t_tx", "transformation.rejects": "rejects",
+           "curated.dim_customers": "dim_customers", "curated.dim_cards": "dim_cards", "curated.dim_mcc": "dim_mcc",
+           "curated.dim_merchants": "dim_merchants", "curated.dim_date": "dim_date", "curated.fact_transactions": "fact",
+           "marts.dim_channel": "dim_channel", "marts.dim_customer": "dim_customers", "marts.dim_card": "dim_cards",
+           "marts.fact_finance_transactions": "ff", "marts.fact_customer_transactions": "fct"}
+    keys = {"raw.users_data": ("id",), "raw.cards_data": ("id",), "raw.mcc_data": ("code",), "raw.transactions_data": ("id",),
+            "transformation.users_data": ("id",), "transformation.cards_data": ("id",), "transformation.mcc_data": ("code",),
+            "transformation.transactions_data": ("id",), "curated.dim_customers": ("customer_key", "customer_id"),
+            "curated.dim_cards": ("card_key", "card_id"), "curated.dim_mcc": ("mcc_key", "mcc_code"),
+            "curated.dim_merchants": ("merchant_key", "merchant_id"), "curated.dim_date": ("date_key", "date"),
+            "curated.fact_transactions": ("transaction_id",), "marts.dim_channel": ("channel_key", "source_use_chip"),
+            "marts.dim_customer": ("customer_key",), "marts.dim_card": ("card_key",),
+            "marts.fact_finance_transactions": ("transaction_id",), "marts.fact_customer_transactions": ("transaction_id",)}
+    out["check_primary_key"] = with_ctes(" UNION ALL ".join(pk(t, src[t], k) for t, ks in keys.items() for k in ks),
+                                         *[src[t] for t in keys])
 
     def fk(name: str, child: str, col: str, parent: str, pcol: str) -> str:
         return f"""
 SELECT '{name}' AS constraint_name, CAST(COUNT(*) AS BIGINT) AS violating_rows,
   CAST(COUNT(DISTINCT c.{col}) AS BIGINT) AS violating_keys
 FROM {child} c WHERE c.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{col})"""
-    fks = [("fk_fact_customer", "fct", "customer_key", "dim_customers", "customer_key"),
-           ("fk_fact_card", "fct", "card_key", "dim_cards", "card_key"),
-           ("fk_fact_channel", "fct", "channel_key", "dim_channel", "channel_key"),
-           ("fk_fact_date", "fact", "date_key", "dim_date", "date_key")]
-    out["check_foreign_key"] = with_ctes(" UNION ALL ".join(fk(*x) for x in fks),
-                                         "fct", "fact", "dim_customers", "dim_cards", "dim_channel", "dim_date")
+    fks = [("marts.fact_customer_transactions", "customer_key", "dim_customers", "customer_key"),
+           ("marts.fact_customer_transactions", "card_key", "dim_cards", "card_key"),
+           ("marts.fact_customer_transactions", "channel_key", "dim_channel", "channel_key"),
+           ("marts.fact_finance_transactions", "channel_key", "dim_channel", "channel_key"),
+           ("marts.fact_finance_transactions", "date_key", "dim_date", "date_key"),
+           ("marts.fact_finance_transactions", "merchant_key", "dim_merchants", "merchant_key"),
+           ("marts.fact_finance_transactions", "mcc_key", "dim_mcc", "mcc_key"),
+           ("curated.fact_transactions", "date_key", "dim_date", "date_key"),
+           ("transformation.transactions_data", "client_id", "t_users", "id"),
+           ("transformation.transactions_data", "card_id", "t_cards", "id"),
+           ("transformation.transactions_data", "mcc", "t_mcc", "code")]
+    out["check_foreign_key"] = with_ctes(" UNION ALL ".join(fk(f"{t}.{c}", src[t], c, p, pc) for t, c, p, pc in fks),
+                                         *[src[f[0]] for f in fks], *[f[2] for f in fks])
 
     card_limits = {"card_brand": 50, "card_type": 50, "card_number": 20, "expires": 7, "has_chip": 10,
                    "acct_open_date": 7, "card_on_dark_web": 10, "issuer_bank_name": 100, "issuer_bank_state": 2,
                    "issuer_bank_type": 50, "issuer_risk_rating": 20}
     tx_limits = {"use_chip": 50, "merchant_city": 255, "merchant_state": 10, "zip": 20, "errors": 255,
                  "day_of_week": 10}
-    def limits(table: str, src: str, lengths: dict, decimals: dict) -> str:
-        rows = [f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'over_length' AS check_name, "
-                f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violating_rows FROM {src}"
-                for c, n in lengths.items()]
-        rows += [f"SELECT '{table}' AS table_name, '{c}' AS column_name, 'overflow' AS check_name, "
-                 f"CAST(COUNT(*) FILTER (WHERE abs({c}) >= {10 ** (p - s)}) AS BIGINT) AS violating_rows FROM {src}"
-                 for c, (p, s) in decimals.items()]
-        return " UNION ALL ".join(rows)
-    out["check_schema_limits"] = with_ctes(
-        limits("transformation.cards_data", "t_cards", card_limits, {}) + " UNION ALL "
-        + limits("transformation.transactions_data", "t_tx", tx_limits, {"amount": (10, 2), "refund_amount": (10, 2)}),
-        "t_cards", "t_tx")
-
-    def rejects(table: str, src: str, lengths: dict) -> str:
-        cond = " OR ".join(f"coalesce(length({c}) > {n}, false)" for c, n in lengths.items())
-        return f"SELECT '{table}' AS table_name, CAST(id AS BIGINT) AS id FROM {src} WHERE {cond}"
-    out["schema_limit_rejects"] = with_ctes(
-        rejects("transformation.cards_data", "t_cards", card_limits) + " UNION ALL "
-        + rejects("transformation.transactions_data", "t_tx", tx_limits), "t_cards", "t_tx")
-
-    stages = [("transformation.users_data", "t_users"), ("transformation.cards_data", "t_cards"),
-              ("transformation.mcc_data", "t_mcc"), ("transformation.transactions_data", "t_tx"),
-              ("curated.dim_customers", "dim_customers"), ("curated.dim_cards", "dim_cards"),
-              ("curated.dim_mcc", "dim_mcc"), ("curated.dim_merchants", "dim_merchants"),
-              ("curated.dim_date", "dim_date"), ("curated.fact_transactions", "fact"),
-              ("marts.dim_channel", "dim_channel"), ("marts.fact_finance_transactions", "ff"),
-              ("marts.fact_customer_transactions", "fct")]
+    people = {"gender": 20, "employment_status": 100, "education_level": 100}
+    mcc_limits = {"description": 255, "notes": 100, "updated_by": 100}
+    lengths = {"transformation.users_data": ("id", people), "transformation.cards_data": ("id", card_limits),
+               "transformation.mcc_data": ("code", mcc_limits), "transformation.transactions_data": ("id", tx_limits),
+               "curated.dim_customers": ("customer_id", people),
+               "curated.dim_cards": ("card_id", {"card_brand": 50, "card_type": 50, "masked_card_number": 25, "expires": 20,
+                                                 "has_chip": 10, "acct_open_date": 20, "card_on_dark_web": 10, "issuer_bank_name": 100,
+                                                 "issuer_bank_state": 20, "issuer_bank_type": 50, "issuer_risk_rating": 20}),
+               "curated.dim_mcc": ("mcc_code", mcc_limits),
+               "curated.dim_merchants": ("merchant_id", {"merchant_city": 100, "merchant_state": 20, "zip": 20}),
+               "curated.dim_date": ("date_key", {"month_name": 20, "day_name": 20}),
+               "curated.fact_transactions": ("transaction_id", {"use_chip": 50, "errors": 255, "is_refund": 5, "has_error": 5, "is_online": 5})}
+    limit_rows = [f"SELECT '{t}' AS table_name, '{c}' AS column_name, 'over_length' AS check_name, "
+                  f"CAST(COUNT(*) FILTER (WHERE length({c}) > {n}) AS BIGINT) AS violating_rows FROM {src[t]}"
+                  for t, (_, cols) in lengths.items() for c, n in cols.items()]
+    limit_rows.append("SELECT 'transformation.transactions_data', 'amount', 'overflow', "
+                      "CAST(COUNT(*) FILTER (WHERE round(abs(a), 2) >= 100000000) AS BIGINT) FROM tx_staged")
+    out["check_schema_limits"] = with_ctes(" UNION ALL ".join(limit_rows), "tx_staged", *[src[t] for t in lengths])
+
+    def too_long(table: str) -> str:
+        key, cols = lengths[table]
+        cond = " OR ".join(f"coalesce(length({c}) > {n}, false)" for c, n in cols.items())
+        return f"SELECT '{table}' AS table_name, CAST({key} AS BIGINT) AS id FROM {src[table]} WHERE {cond}"
+    out["schema_limit_rejects"] = with_ctes(" UNION ALL ".join(map(too_long, lengths)), *[src[t] for t in lengths])
+
     out["stage_row_counts"] = with_ctes(" UNION ALL ".join(
-        f"SELECT '{n}' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM {c}" for n, c in stages),
-        *[c for _, c in stages])
+        f"SELECT '{n}' AS stage, CAST(COUNT(*) AS BIGINT) AS rows FROM {c}" for n, c in src.items()), *src.values())
+    out["rejected_rows"] = with_ctes("SELECT table_name, reason, id FROM rejects", "rejects")
+    raw_tx = "date, CAST(client_id AS BIGINT) AS client_id, CAST(card_id AS BIGINT) AS card_id"
+    out["ingest_arrival_order"] = with_ctes(f"""
+SELECT id, {raw_tx}, CASE WHEN merchant_id LIKE '%7' THEN '$1.00' ELSE amount END AS amount, use_chip, merchant_id, merchant_city,
+  merchant_state, zip, mcc, CASE WHEN merchant_id LIKE '%7' THEN 'first' || chr(10) || 'line' ELSE errors END AS errors
+FROM {keep_first_raw('transactions_data')}""", "raw_tx")
 
     # ---------------------------------------------------------- whole-table operators
     for t, key in (("users_data", "users"), ("cards_data", "cards"), ("transactions_data", "transactions")):

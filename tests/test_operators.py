@@ -55,8 +55,8 @@ def test_insert_if_absent(spark):
     target = spark.createDataFrame([(1, "old"), (2, "old")], "id long, v string")
     batch = spark.createDataFrame([(0, 2, "new"), (1, 3, "first"), (2, 3, "second"), (3, None, "nokey")],
                                   "_seq long, id long, v string")
-    got = sorted((r["id"] is None, r["id"], r["v"]) for r in insert_if_absent(batch, target, "id").collect())
-    assert got == [(False, 3, "first"), (True, None, "nokey")]
+    got = sorted((r["id"], r["v"]) for r in insert_if_absent(batch, target, "id").collect())
+    assert got == [(3, "first")]  # no key, no insert
 
 
 def test_sanitize_missing(spark):

@@ -25,7 +25,7 @@ def test_raw_csv_null_empty_and_marker_text(spark, tmp_path):
     assert rows["5411"]["description"] == "" and rows["5411"]["notes"] == 'He said "hi"'
     assert rows["5411"]["updated_by"] == "\\N"
     assert rows["5412"]["description"] is None and rows["5412"]["notes"] == "  padded  "
-    assert sorted(r["_seq"] for r in rows.values()) == sorted(set(r["_seq"] for r in rows.values()))
+    assert rows["5411"]["_seq"]["row"] < rows["5412"]["_seq"]["row"]
 
 
 def test_raw_csv_malformed_row_fails(spark, tmp_path):
@@ -70,3 +70,36 @@ def test_queries_apply_utc_session(spark):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_arrival_order_is_file_order(spark, tmp_path):
+    """Spark packs the larger file first; keep-first must still take the first file's row."""
+    from cardlake.operators.dedup import keep_first
+    from cardlake.sources.csv_io import read_raw_csv
+    _write(str(tmp_path / "part-00000.csv"), "code,description\n1,early\n1,later\n")
+    _write(str(tmp_path / "part-00001.csv"), "code,description\n" + "1,late\n" * 50_000)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("code", "description")])
+    got = keep_first(read_raw_csv(spark, str(tmp_path), schema), ["code"], ["_seq"]).collect()
+    assert [(r["code"], r["description"]) for r in got] == [("1", "early")]
+
+
+def test_arrival_order_over_splits_of_one_file(spark, tmp_path):
+    from cardlake.sources.csv_io import read_raw_csv
+    _write(str(tmp_path / "a.csv"), "code,description\n" + "".join(f"{k},x\n" for k in range(20_000)))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("code", "description")])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = read_raw_csv(spark, str(tmp_path), schema)
+        assert df.rdd.getNumPartitions() > 3
+        assert [int(r["code"]) for r in df.orderBy("_seq").collect()] == list(range(20_000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    from cardlake.sources.csv_io import read_raw_csv
+    _write(str(tmp_path / "a.csv"), 'code,description\n1,"two\nlines"\n2,one\n')
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("code", "description")])
+    got = {r["code"]: r["description"] for r in read_raw_csv(spark, str(tmp_path), schema, multiline=True).collect()}
+    assert got == {"1": "two\nlines", "2": "one"}

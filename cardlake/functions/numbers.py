@@ -129,4 +129,4 @@ def whole_number_text(x: Column) -> Column:
     high = F.floor(x / F.lit(4294967296.0))
     low = (x - high.cast("double") * F.lit(4294967296.0)).try_cast("long")
     wide = high.cast("decimal(20,0)") * F.lit(4294967296).cast("decimal(10,0)") + low.cast("decimal(20,0)")
-    return F.coalesce(trunc_to_long(x).cast("string"), F.when((x > 0) & (x < F.lit(2.0 ** 95)), wide.cast("decimal(38,0)").cast("string")))
+    return F.coalesce(F.when(F.abs(x) < F.lit(2.0 ** 63), trunc_to_long(x).cast("string")), F.when((x > 0) & (x < F.lit(2.0 ** 95)), wide.cast("decimal(38,0)").cast("string")))

@@ -131,7 +131,8 @@ def test_shuffle_partition_sizing(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         assert size_shuffle_partitions(spark, size) == 8                     # never below the session setting
-        assert size_shuffle_partitions(spark, 100 * 2**40) == 50_000          # 100 TB: capped
+        assert size_shuffle_partitions(spark, 100 * 2**40) == 819_200         # 100 TB: in proportion
+        assert size_shuffle_partitions(spark, 100 * 2**40, 2**30) == 102_400  # a deployment's larger partitions
         assert size_shuffle_partitions(spark, 2**40) == 8192                  # 1 TB / 128 MB
         assert spark.conf.get(key) == "8192"
     finally:

@@ -49,10 +49,10 @@ def feature_ids(text: str | None, hashes: WordHash) -> np.ndarray:
 class Ftrl:
     """Per-coordinate FTRL-proximal; coordinate DIM is the bias (no L1)."""
 
-    alpha: float = 0.5
+    alpha: float = 1.0
     beta: float = 1.0
     l1: float = 8.0
-    l2: float = 0.5
+    l2: float = 0.0
 
     def fit(self, rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, epochs: int) -> np.ndarray:
         z, n = np.zeros(DIM + 1), np.zeros(DIM + 1)
@@ -85,7 +85,7 @@ def training_sample(documents: DataFrame, labels: DataFrame, learn: Column) -> D
     return documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # bounded by the two limits
 
 
-def train(documents: DataFrame, labels: DataFrame, learn: Column, epochs: int = 4) -> dict:
+def train(documents: DataFrame, labels: DataFrame, learn: Column, epochs: int = 6) -> dict:
     """Compact weights {"index", "value", "bias"} of the bounded sample."""
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -62,6 +62,7 @@ def main() -> None:
     mcc = timed("build_clean_mcc", lambda: w(T.clean_mcc(raw["mcc_data"]), TR, "mcc_data", "code"))
     tx = timed("build_clean_transactions",
                lambda: w(T.clean_transactions(raw["transactions_data"]), TR, "transactions_data", "id"))
+    timed("build_rejects", lambda: P.reject_table(raw, store))
     dc = timed("build_dim_customers", lambda: w(C.build_dim_customers(users), CU, "dim_customers", "customer_key"))
     dk = timed("build_dim_cards", lambda: w(C.build_dim_cards(cards), CU, "dim_cards", "card_key"))
     dm = timed("build_dim_mcc", lambda: w(C.build_dim_mcc(mcc), CU, "dim_mcc", "mcc_key"))

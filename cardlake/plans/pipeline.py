@@ -52,6 +52,13 @@ class Layers:
         return C.Dims(self.dim_customers, self.dim_cards, self.dim_merchants, self.dim_mcc, self.dim_date)
 
 
+def reject_table(raw: dict[str, DataFrame], store: LayerStore) -> DataFrame:
+    """(table_name, reason, id) of the raw rows that no cleaned table can hold."""
+    tx = T.rejected_transactions(raw["transactions_data"]).select(F.lit("transactions_data").alias("table_name"), "reason", "id")
+    mcc = T.rejected_mcc(raw["mcc_data"]).select(F.lit("mcc_data").alias("table_name"), "reason", "id")
+    return store.get_or_build(TRANSFORMATION, "rejects", lambda: tx.unionByName(mcc))
+
+
 def build_layers(spark: SparkSession, raw: dict[str, DataFrame], store: LayerStore,
                  as_of: str | _dt.date = DEFAULT_AS_OF) -> Layers:
     """Transformation and curated layers, built once per store."""
@@ -61,9 +68,7 @@ def build_layers(spark: SparkSession, raw: dict[str, DataFrame], store: LayerSto
     mcc = g(TRANSFORMATION, "mcc_data", lambda: T.clean_mcc(raw["mcc_data"]), "code")
     tx = g(TRANSFORMATION, "transactions_data", lambda: T.clean_transactions(raw["transactions_data"]), "id")
 
-    rejects = g(TRANSFORMATION, "rejects", lambda: T.rejected_transactions(raw["transactions_data"])
-                .select(F.lit("transactions_data").alias("table_name"), "reason", "id")
-                .unionByName(T.rejected_mcc(raw["mcc_data"]).select(F.lit("mcc_data").alias("table_name"), "reason", "id")))
+    rejects = reject_table(raw, store)
 
     dim_customers = g(CURATED, "dim_customers", lambda: C.build_dim_customers(users), "customer_key")
     dim_cards = g(CURATED, "dim_cards", lambda: C.build_dim_cards(cards), "card_key")

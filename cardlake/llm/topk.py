@@ -28,9 +28,12 @@ from pyspark.sql import functions as F
 
 from cardlake.llm.common import Scratch, prepare, table
 
-#: Vectors of a shard, shards of a cell, queries of a cell, vectors of a leaf.
-SHARD, CELL_SHARDS, CELL_QUERIES, LEAF = 8192, 16, 256, 32
+#: Vectors of a shard, shards of a cell, vectors of a leaf.
+SHARD, CELL_SHARDS, LEAF = 8192, 16, 32
 LEAST_SHARDS = 64
+#: Queries of a cell: a shard is sent once for each group of queries, so groups
+#: grow with the queries (about QUERY_GROUPS of them) up to what a task holds.
+CELL_QUERIES, MOST_QUERIES, QUERY_GROUPS = 256, 8192, 64
 LARGEST = 1 << 28
 
 
@@ -174,7 +177,8 @@ def top_k(embeddings: DataFrame, every: int = 20, k: int = 20) -> DataFrame:
     n = v.count()
     shards_n = max(LEAST_SHARDS, -(-n // SHARD))
     ask = v.where(F.col("vec_id") % every == 0)
-    blocks_n = max(1, -(-ask.count() // CELL_QUERIES))
+    asked_n = ask.count()
+    blocks_n = max(1, -(-asked_n // min(MOST_QUERIES, max(CELL_QUERIES, asked_n // QUERY_GROUPS))))
     groups_n = -(-shards_n // CELL_SHARDS)
 
     def packed(df, parts, salt):

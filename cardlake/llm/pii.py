@@ -155,17 +155,14 @@ def states(model: dict, chars: np.ndarray, keep: list | None = None) -> np.ndarr
         np.matmul(model["w"], z, out=g)
         if keep is not None:
             before = (z.copy(), g.copy(), c.copy())
-        np.maximum(gate, 0, out=gate)
-        np.minimum(gate, 1, out=gate)
-        np.maximum(cand, -1, out=cand)
-        np.minimum(cand, 1, out=cand)
+        gate.clip(0, 1, out=gate)
+        cand.clip(-1, 1, out=cand)
         c *= f
         np.multiply(i, cand, out=tmp)
         c += tmp
         if keep is not None:
             keep.append((*before, c.copy()))
-        np.maximum(c, -1, out=c)
-        np.minimum(c, 1, out=c)
+        c.clip(-1, 1, out=c)
         np.multiply(o, c, out=h)
         out[t, :HIDDEN] = h[0]
         out[steps - 1 - t, HIDDEN:2 * HIDDEN] = h[1]
@@ -318,9 +315,9 @@ def _plausible(kind: str, found: str) -> bool:
     return 9 <= len(digits) <= 15 if kind == "phone" else "@" in found
 
 
-def tag_texts(model: dict | None, texts: list[str | None], batch: int = 1024) -> list[list[tuple[str, int, int]]]:
-    """All spans (base and added) of each text."""
-    base = [base_spans(t) for t in texts]
+def tag_texts(model: dict | None, texts: list[str | None], base: list | None = None, batch: int = 1024) -> list[list[tuple[str, int, int]]]:
+    """All spans (base and added) of each text; `base`: its base spans, if known."""
+    base = [base_spans(t) for t in texts] if base is None else base
     if model is None:
         return base
     chars = [char_classes(t) if t else np.empty(0, np.uint8) for t in texts]
@@ -416,9 +413,10 @@ def find_spans(documents: DataFrame, model: dict | None) -> DataFrame:
 
     def tag(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            every = tag_texts(shared.value, [t if isinstance(t, str) else None for t in texts])
+            texts = [t if isinstance(t, str) else None for t in texts]
+            base = [base_spans(t) for t in texts]
             row = lambda spans: [dict(zip(("kind", "start", "end"), s)) for s in spans]
-            yield pd.DataFrame({"pii_base": [row(base_spans(t)) for t in texts], "pii_spans": [row(s) for s in every]})
+            yield pd.DataFrame({"pii_base": list(map(row, base)), "pii_spans": list(map(row, tag_texts(shared.value, texts, base)))})
 
     tag.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     udf = F.pandas_udf(tag, f"pii_base {kind}, pii_spans {kind}")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cardlake.llm.common import Scratch, prepare, table
 
 #: Vectors of a shard, shards of a cell, vectors of a leaf.
-SHARD, CELL_SHARDS, LEAF = 8192, 16, 32
+SHARD, CELL_SHARDS, LEAF = 8192, 16, 256
 LEAST_SHARDS = 64
 #: Queries of a cell: a shard is sent once for each group of queries, so groups
 #: grow with the queries (about QUERY_GROUPS of them) up to what a task holds.

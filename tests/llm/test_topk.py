@@ -31,6 +31,7 @@ def test_clusters_ties_and_copies(spark, monkeypatch):
     monkeypatch.setattr(K, "LEAST_SHARDS", 5)
     monkeypatch.setattr(K, "CELL_SHARDS", 2)
     monkeypatch.setattr(K, "CELL_QUERIES", 4)
+    monkeypatch.setattr(K, "LEAF", 8)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 8))
     rows = [(int(i), (centres[i % 6] + 0.2 * rng.normal(size=8)).tolist()) for i in range(500)]
@@ -51,7 +52,8 @@ def test_large_components_are_exact(spark):
     assert run(spark, rows) == brute(rows)
 
 
-def test_bounds_hold():
+def test_bounds_hold(monkeypatch):
+    monkeypatch.setattr(K, "LEAF", 16)
     rng = np.random.default_rng(2)
     v = rng.integers(-50, 50, (400, 6)).astype(float)
     t = K.KdTree(np.arange(400), v)

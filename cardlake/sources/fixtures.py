@@ -10,6 +10,8 @@ uses.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 USERS_SQL = """
@@ -79,17 +81,20 @@ SELECT row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipd
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
 """
 
+# the same rows without the arrival window, numbered far behind all others by what tells them apart
+_LATE = re.sub(r"row_number\(\) OVER \(.*?\) AS _seq",
+               "1000000000 + (l_orderkey * 10 + l_linenumber) * 1000000000 + (l_partkey % 100000) * 10000 + (l_suppkey % 100) * 100"
+               " + CAST(l_quantity AS BIGINT) AS _seq", _TRANSACTIONS)
+
 # extra rows, not a subset: late re-deliveries of some transactions under other
 # spellings of the same id, which keep-first must drop, and ids that are no number
-TRANSACTIONS_SQL = f"""
-WITH base AS ({_TRANSACTIONS})
-SELECT * FROM base
+TRANSACTIONS_SQL = f"""{_TRANSACTIONS}
 UNION ALL
-SELECT 1000000 + _seq, concat('0', id), date, client_id, card_id, '$1.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM base WHERE client_id % 5 = 0
+SELECT _seq, concat('0', id), date, client_id, card_id, '$1.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM ({_LATE} WHERE o_custkey % 5 = 0) v5
 UNION ALL
-SELECT 2000000 + _seq, concat(' +', id, ' '), date, client_id, card_id, '$2.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM base WHERE client_id % 7 = 0
+SELECT _seq, concat(' +', id, ' '), date, client_id, card_id, '$2.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM ({_LATE} WHERE o_custkey % 7 = 0) v7
 UNION ALL
-SELECT 3000000 + CAST(id AS BIGINT), CASE WHEN client_id % 2 = 0 THEN concat('tx-', id) END, date, client_id, card_id, '$3.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM base WHERE client_id % 91 = 0
+SELECT _seq, CASE WHEN client_id % 2 = 0 THEN concat('tx-', id) END, date, client_id, card_id, '$3.25', use_chip, merchant_id, merchant_city, merchant_state, zip, mcc, errors FROM ({_LATE} WHERE o_custkey % 91 = 0) v91
 """
 
 RAW_SQL = {

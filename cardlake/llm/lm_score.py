@@ -7,12 +7,12 @@ is predicted as its row (a softmax of 64) and its column given the row (a
 second one), so a word costs 128 logits.  A document's score is the sum of
 its words' log-probabilities.
 
-Training is data parallel: the documents whose hashed id falls into one part
-in `TRAIN_PART` are gathered into shards of `SHARD_CHARS` characters; each
-round every shard runs stochastic gradient descent over all its words from
-the common weights, and the shards' weights are averaged, weighted by their
-words.  So what is learnt from, and what is shuffled, grows with the corpus,
-while weights keep their size (about 1.2 MB).
+Training is data parallel: all documents are gathered into shards of
+`SHARD_CHARS` characters; each round every shard runs stochastic gradient
+descent over all its words from the common weights, and the shards' weights
+are averaged, weighted by their words, `FAN` sets at a time.  So what is
+learnt from, and what is shuffled, grows with the corpus, while weights keep
+their size (about 1.2 MB).
 
 Defined cases: a null or blank text has 0 words, log-probability 0 and a null
 mean; a table without words leaves the initial uniform model; repeated rows
@@ -35,9 +35,10 @@ SIDE = 64
 IDS = SIDE * SIDE
 PAD = IDS
 REACH, HIDDEN = 2, 16
-TRAIN_PART = 24
 SHARD_CHARS = 4 << 20
 ROUNDS, BATCH, RATE = 2, 512, 1.0
+#: Sets of weights that meet in one task.
+FAN = 16
 #: Words scored together.
 CHUNK = 8192
 
@@ -150,7 +151,7 @@ def _descend(shared, rate: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, shard = pdf.sort_values(["doc_id", "ids"]), int(pdf["shard"].iloc[0])
         m, n = run_shard(shared.value, [np.frombuffer(b, np.int16).astype(np.int64) for b in pdf["ids"]], rate, shard)
-        return pd.DataFrame({"part": [shard % 16], "words": [n], "weights": [pickle.dumps(m)]})
+        return pd.DataFrame({"part": [shard], "words": [n], "weights": [pickle.dumps(m)]})
 
     return run
 
@@ -162,15 +163,14 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     for n, b in zip(pdf["words"], pdf["weights"]):
         for name, w in pickle.loads(b).items():
             mean[name] = mean.get(name, 0) + w * np.float32(n / total if total else 1 / len(pdf))
-    return pd.DataFrame({"part": [0], "words": [total], "weights": [pickle.dumps(mean)]})
+    return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "words": [total], "weights": [pickle.dumps(mean)]})
 
 
 def train(documents: DataFrame) -> dict:
     spark = prepare(documents.sparkSession)
     sc = Scratch(spark)
     docs = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
-    part = docs.where(F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(TRAIN_PART)) == 0)
-    chars = part.agg(F.sum(F.length("text"))).first()[0] or 0
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(4, -(-chars // SHARD_CHARS))
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -178,7 +178,7 @@ def train(documents: DataFrame) -> dict:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [word_ids(t, hashes).astype(np.int16).tobytes() for t in pdf["text"]]})
 
-    words = sc.write(part.mapInPandas(read, "doc_id long, ids binary")
+    words = sc.write(docs.mapInPandas(read, "doc_id long, ids binary")
                      .withColumn("shard", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(shards)).cast("int")), "words")
     model = new_model()
     for k in range(ROUNDS):
@@ -186,8 +186,11 @@ def train(documents: DataFrame) -> dict:
         rate = RATE / (1 + k)
 
         kind = "part int, words long, weights binary"
-        got = (words.groupBy("shard").applyInPandas(_descend(shared, rate), kind).groupBy("part").applyInPandas(_average, kind)
-               .groupBy("part").applyInPandas(_average, kind).collect())  # 16 sets of weights meet, one comes here
+        sets, left = words.groupBy("shard").applyInPandas(_descend(shared, rate), kind), shards
+        while left > 1:
+            left = -(-left // FAN)
+            sets = sets.withColumn("part", F.pmod("part", F.lit(left))).groupBy("part").applyInPandas(_average, kind)
+        got = sets.collect()  # one set of weights
         if got:
             model = pickle.loads(bytes(got[0]["weights"]))
     sc.drop("words")

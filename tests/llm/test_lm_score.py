@@ -48,6 +48,20 @@ def test_learning(spark):
     assert learnt > np.log(1 / M.IDS) + 2
 
 
+def test_every_document_teaches(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD_CHARS", 100)  # more shards than meet in one task
+    seen, run = spark.sparkContext.accumulator(0), M.run_shard
+
+    def count(m, texts, rate, seed):
+        seen.add(sum(len(t) for t in texts))
+        return run(m, texts, rate, seed)
+
+    monkeypatch.setattr(M, "run_shard", count)
+    docs = spark.createDataFrame([(i, f"w{i} " * 10) for i in range(200)], "doc_id long, text string")
+    M.train(docs)
+    assert seen.value == M.ROUNDS * 2000
+
+
 def test_defined_cases(spark):
     rows = [(1, None), (2, " \n"), (3, "one"), (4, "one two three"), (4, "one two three"), (None, "word " * 50000)]
     df = spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, log_prob int")

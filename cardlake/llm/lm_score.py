@@ -2,21 +2,24 @@
 
 Every word of a text is predicted from the `REACH` words on either side of
 it, itself masked out: its hidden state is the tanh of the sum of one
-embedding per neighbour and place.  Words are hashed to 64 x 64 ids, and an id
-is predicted as its row (a softmax of 64) and its column given the row (a
-second one), so a word costs 128 logits.  A document's score is the sum of
-its words' log-probabilities.
+embedding per neighbour and place.  The vocabulary are the 32,767 most
+frequent words of the whole corpus, each with an id of its own; every other
+word is the unknown word (id 0), which a byte-pair model of the corpus's
+unknown words spells out.  An id is predicted as its row (a softmax of
+`ROWS`) and its column given the row (a second one of `SIDE`), so a word costs
+384 logits.  A document's score is the sum of its words' log-probabilities,
+unknown words' spellings included.
 
 Training is data parallel: all documents are gathered into shards of
 `SHARD_CHARS` characters; each round every shard runs stochastic gradient
 descent over all its words from the common weights, and the shards' weights
 are averaged, weighted by their words, `FAN` sets at a time.  So what is
 learnt from, and what is shuffled, grows with the corpus, while weights keep
-their size (about 1.2 MB).
+their size (about 8.5 MB).
 
 Defined cases: a null or blank text has 0 words, log-probability 0 and a null
-mean; a table without words leaves the initial uniform model; repeated rows
-score alike; rows with a null doc_id are scored, not learnt from.
+mean; a table without words leaves the initial uniform model, in which every
+word is the unknown one, unspelled; repeated rows score alike; rows with a null doc_id are scored, not learnt from.
 """
 
 from __future__ import annotations
@@ -30,22 +33,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import Scratch, WordHash, prepare, table
+from cardlake.llm.quality_kn import Vocabulary, words_of
 
-SIDE = 64
-IDS = SIDE * SIDE
+#: Ids fit 16 bits.
+ROWS, SIDE = 128, 256
+IDS = ROWS * SIDE
+KNOWN = IDS - 1
 PAD = IDS
 REACH, HIDDEN = 2, 16
-SHARD_CHARS = 4 << 20
+SHARD_CHARS = 32 << 20
 ROUNDS, BATCH, RATE = 2, 512, 1.0
 #: Sets of weights that meet in one task.
 FAN = 16
 #: Words scored together.
 CHUNK = 8192
-
-
-def word_ids(text: str | None, hashes: WordHash) -> np.ndarray:
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    return (hashes.array(words) >> np.uint64(52)).astype(np.int64)
+#: Words counted together.
+FLUSH = 3_000_000
 
 
 def new_model(seed: int = 3) -> dict[str, np.ndarray]:
@@ -53,7 +56,7 @@ def new_model(seed: int = 3) -> dict[str, np.ndarray]:
     f = lambda *s: rng.normal(0, 0.1, s).astype(np.float32)
     emb = f(2 * REACH, IDS + 1, HIDDEN)
     zero = lambda *s: np.zeros(s, np.float32)
-    return {"emb": emb, "row": zero(HIDDEN, SIDE), "col": zero(HIDDEN, SIDE), "row_b": zero(SIDE), "col_b": zero(SIDE, SIDE)}
+    return {"emb": emb, "row": zero(HIDDEN, ROWS), "col": zero(HIDDEN, SIDE), "row_b": zero(ROWS), "col_b": zero(ROWS, SIDE)}
 
 
 def neighbours(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -65,7 +68,7 @@ def neighbours(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
     for shift in (*range(-REACH, 0), *range(1, REACH + 1)):
         at = place + shift
         ok = (at >= first) & (at < last)
-        out.append(np.where(ok, ids[np.where(ok, at, 0)], PAD))
+        out.append(np.where(ok, ids[np.where(ok, at, 0)], PAD).astype(np.int32))
     return np.stack(out)
 
 
@@ -75,7 +78,8 @@ def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     np.subtract(x, top, out=x)
     np.exp(x, out=x)
     total = x.sum(1, keepdims=True)
-    return x / total, (np.log(total) + top)[:, 0]
+    x /= total
+    return x, (np.log(total) + top)[:, 0]
 
 
 def _hidden(m: dict, near: np.ndarray) -> np.ndarray:
@@ -123,11 +127,11 @@ def gradient_step(m: dict, ids: np.ndarray, near: np.ndarray, rate: float) -> fl
     order = np.argsort(r, kind="stable")
     first = np.flatnonzero(np.r_[True, np.diff(r[order]) > 0])
     m["col_b"][r[order][first]] -= 8 * step * np.add.reduceat(q[order], first, 0)
-    for k in range(len(near)):
-        order = np.argsort(near[k], kind="stable")
-        who = near[k][order]
-        first = np.flatnonzero(np.r_[True, np.diff(who) > 0])
-        m["emb"][k][who[first]] -= 8 * step * np.add.reduceat(dh[order], first, 0)  # few words share an embedding
+    flat = (near + np.arange(len(near))[:, None] * (IDS + 1)).ravel()
+    order = np.argsort(flat, kind="stable")
+    who = flat[order]
+    first = np.flatnonzero(np.r_[True, np.diff(who) > 0])
+    m["emb"].reshape(-1, HIDDEN)[who[first]] -= 8 * step * np.add.reduceat(dh[order % n], first, 0)  # few words share an embedding
     return loss
 
 
@@ -150,7 +154,7 @@ def run_shard(m: dict, texts: list[np.ndarray], rate: float, seed: int) -> tuple
 def _descend(shared, rate: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, shard = pdf.sort_values(["doc_id", "ids"]), int(pdf["shard"].iloc[0])
-        m, n = run_shard(shared.value, [np.frombuffer(b, np.int16).astype(np.int64) for b in pdf["ids"]], rate, shard)
+        m, n = run_shard(shared.value, [np.frombuffer(b, np.int16).astype(np.int32) for b in pdf["ids"]], rate, shard)
         return pd.DataFrame({"part": [shard], "words": [n], "weights": [pickle.dumps(m)]})
 
     return run
@@ -166,20 +170,75 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "words": [total], "weights": [pickle.dumps(mean)]})
 
 
+def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    hashes, held, size = WordHash(), [], 0
+
+    def counted() -> pd.DataFrame:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pd.DataFrame({"h": h.view(np.int64), "n": n})
+
+    for pdf in batches:
+        for t in pdf["text"]:
+            held.append(hashes.array(words_of(t)))
+            size += len(held[-1])
+        if size >= FLUSH:
+            yield counted()
+            held, size = [], 0
+    if size:
+        yield counted()
+
+
+def _read(shared):
+    """Documents as ids; and one row without a doc_id: the byte pairs of the unknown words, counted."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vocabulary, pairs = Vocabulary(shared.value), np.zeros(1 << 16, np.int64)
+        for pdf in batches:
+            out, unknown = [], []
+            for t in pdf["text"]:
+                words = words_of(t)
+                ids = np.fromiter(map(vocabulary.__getitem__, words), np.float64, len(words)).astype(np.int16)
+                unknown += [words[k] for k in np.flatnonzero(ids == 0).tolist()]
+                out.append(ids.tobytes())
+            if unknown:
+                b = np.frombuffer(b"\0" + b"\0".join(unknown) + b"\0", np.uint8).astype(np.int64)
+                pairs += np.bincount(b[:-1] << 8 | b[1:], minlength=1 << 16)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": out})
+        yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "ids": [pairs.tobytes()]})
+
+    return run
+
+
+def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    n = np.zeros(1 << 16, np.int64)
+    for pdf in batches:
+        for b in pdf["ids"]:
+            n += np.frombuffer(b, np.int64)
+    at = np.flatnonzero(n)
+    yield pd.DataFrame({"at": at, "n": n[at]})
+
+
 def train(documents: DataFrame) -> dict:
+    """The weights, and (of a table with words) the vocabulary: `hashes` and `spelling`."""
     spark = prepare(documents.sparkSession)
     sc = Scratch(spark)
     docs = documents.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(4, -(-chars // SHARD_CHARS))
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHash()
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": [word_ids(t, hashes).astype(np.int16).tobytes() for t in pdf["text"]]})
-
-    words = sc.write(docs.mapInPandas(read, "doc_id long, ids binary")
-                     .withColumn("shard", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(shards)).cast("int")), "words")
+    counts = docs.mapInPandas(_count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    known = counts.orderBy(F.desc("n"), "h").limit(KNOWN).select("h").toPandas()["h"].to_numpy(np.int64)
+    if not len(known):
+        return new_model()
+    hashes = np.sort(known.view(np.uint64))
+    read = sc.write(docs.mapInPandas(_read(spark.sparkContext.broadcast(hashes)), "doc_id long, ids binary")
+                    .withColumn("shard", F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(shards)).cast("int")), "words")
+    words = read.where("doc_id is not null")
+    letters = read.where("doc_id is null").mapInPandas(_pairs, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    spelling = np.full(1 << 16, 0.1)
+    spelling[letters["at"].to_numpy(np.int64)] += letters["n"].to_numpy(float)
+    spelling = spelling.reshape(256, 256)
+    spelling = np.log(spelling / spelling.sum(1, keepdims=True)).astype(np.float32).ravel()
     model = new_model()
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)  # a fixed size
@@ -194,7 +253,7 @@ def train(documents: DataFrame) -> dict:
         if got:
             model = pickle.loads(bytes(got[0]["weights"]))
     sc.drop("words")
-    return model
+    return model | {"hashes": hashes, "spelling": spelling}
 
 
 def score(documents: DataFrame, model: dict) -> DataFrame:
@@ -203,17 +262,18 @@ def score(documents: DataFrame, model: dict) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashes = WordHash()
+        m = shared.value
+        vocabulary = Vocabulary(m.get("hashes", np.empty(0, np.uint64)), m.get("spelling"))
         for texts in batches:
-            ids = [word_ids(t, hashes) for t in texts]
+            ids, spell = zip(*map(vocabulary.ids, texts))
             size = np.array([len(w) for w in ids], np.int64)
-            total = np.zeros(len(ids))
+            total = np.array(spell)
             full = np.flatnonzero(size)
             if len(full):
                 joined = np.concatenate(ids)
                 starts = (np.cumsum(size) - size)[full]
-                p = log_probabilities(shared.value, joined, neighbours(joined, starts))
-                total[full] = np.add.reduceat(p.astype(np.float64), starts)
+                p = log_probabilities(m, joined, neighbours(joined, starts))
+                total[full] += np.add.reduceat(p.astype(np.float64), starts)
             mean = [s / n if n else None for s, n in zip(total, size)]
             yield pd.DataFrame({"n_words": size, "log_prob": total, "mean_log_prob": mean})
 

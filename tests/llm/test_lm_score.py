@@ -62,6 +62,29 @@ def test_every_document_teaches(spark, monkeypatch):
     assert seen.value == M.ROUNDS * 2000
 
 
+def test_words_are_told_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 20000, 2000))) for i in range(60)]  # more words than 64 x 64
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    m = M.train(docs)
+    distinct = sorted({w for _, t in rows for w in t.split()})
+    ids = [int(M.Vocabulary(m["hashes"]).ids(w)[0][0]) for w in distinct]
+    assert 0 not in ids and len(set(ids)) == len(distinct)
+    many = docs.unionByName(spark.createDataFrame([(100, "seldom qqqq"), (101, "seldom seldon")], "doc_id long, text string"))
+    got = {r.doc_id: r for r in M.score(many, m).collect()}
+    assert got[100].log_prob != got[101].log_prob  # unknown words are spelled
+
+
+def test_unknown_words_are_spelled_as_the_corpus_spells_them(spark, monkeypatch):
+    monkeypatch.setattr(M, "KNOWN", 2)  # two known words
+    docs = spark.createDataFrame([(1, "the the the of of abab baba abba")], "doc_id long, text string")
+    m = M.train(docs)
+    assert len(m["hashes"]) == 2
+    v = M.Vocabulary(m["hashes"], m["spelling"])
+    assert v.ids("the")[1] == 0 > v.ids("baab")[1] > v.ids("zzzz")[1]
+    assert np.allclose(np.exp(m["spelling"].reshape(256, 256)).sum(1), 1, atol=1e-3)
+
+
 def test_defined_cases(spark):
     rows = [(1, None), (2, " \n"), (3, "one"), (4, "one two three"), (4, "one two three"), (None, "word " * 50000)]
     df = spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, log_prob int")

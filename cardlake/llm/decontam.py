@@ -6,14 +6,19 @@ floor(`EDITS` * n) word edits (insertions, deletions, substitutions).
 
 The CGK random walk reads a sequence one symbol per step and moves on, or not,
 by a random bit of (step, symbol): sequences at a small edit distance then
-agree at most steps.  Windows of the size of an item start at every word that
-a q-gram count bound allows (d edits leave at least n - 1 - 2 d of an item's
-word pairs, so a window with fewer pairs of any item cannot match); each one
+agree at most steps.  The share of agreeing steps falls with the length, so
+items over `PIECE_WORDS` words are searched by pieces of at most so many: of a
+passage within the item's allowance, one piece at least is within its own
+(edits add up to `EDITS` * n at most, so not every piece can have more than
+`EDITS` of its words).  Windows of the size of a piece start at every word that
+a q-gram count bound allows (d edits leave at least n - 1 - 2 d of a piece's
+word pairs, so a window with fewer pairs of any piece cannot match); each one
 is embedded by `WALKS` independent walks, and every table samples `SAMPLED`
 steps of one walk.  The number of tables follows from the target recall and
 the share of steps on which a passage at the largest distance still agrees
-(`AGREEMENT`, measured in the tests).  Windows and items that meet in a table
-are candidates; the best passage is then found by exact dynamic programming.
+(`AGREEMENT`, of pieces; recall by kind of edit and length is tested).  Windows
+and pieces that meet in a table make their items candidates; the whole item's
+best passage is then found by exact dynamic programming.
 
 Items go to the executors in blocks of at most `BLOCK_CHARS` characters, so
 what is broadcast is bounded whatever the size of the benchmark.
@@ -44,7 +49,9 @@ LEAST_WORDS = 3
 BLOCK_CHARS = 4_000_000
 RECALL, AGREEMENT = 0.995, 0.5
 WALKS, SAMPLED = 8, 3
-#: Items of one class differ in length by this factor at most.
+#: Words of a piece of an item at most.
+PIECE_WORDS = 16
+#: Pieces of one class differ in length by this factor at most.
 CLASS_RATIO = 1.2
 WORD = re.compile(r"\w+")
 _BITS = 20
@@ -67,6 +74,12 @@ def tables_needed() -> int:
     return math.ceil(math.log(1 - RECALL) / math.log(1 - AGREEMENT ** SAMPLED))
 
 
+def pieces(n: int) -> list[tuple[int, int]]:
+    """(first, end) words of the pieces of an item of n words, about equal."""
+    count = -(-n // PIECE_WORDS)
+    return [(n * k // count, n * (k + 1) // count) for k in range(count)]
+
+
 def pair_hashes(w: np.ndarray) -> np.ndarray:
     return mix(w[:-1] * np.uint64(3) + w[1:] * np.uint64(0x9E3779B97F4A7C15))
 
@@ -85,22 +98,24 @@ def walk(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: int,
 
 
 class ItemIndex:
-    """The tables of one block of items, by class of length."""
+    """The tables of one block of items, by class of length of their pieces."""
 
     def __init__(self, items: list[tuple], seed: int = 17):
         hashes = WordHash()
         self.items = [(i, hashes.array(w)) for i, t in items if len(w := words_of(t)) >= LEAST_WORDS]
         self.items.sort(key=lambda x: len(x[1]))
+        #: (item position, first word in the item, words)
+        self.pieces = sorted(((i, a, w[a:b]) for i, (_, w) in enumerate(self.items) for a, b in pieces(len(w))), key=lambda x: len(x[2]))
         self.known = np.zeros(1 << _BITS, np.uint64)  # of each word pair: the classes that have it, as bits
         self.classes = []
         rng = np.random.default_rng(seed)
         k = 0
-        while k < len(self.items):
-            low, first = len(self.items[k][1]), k
-            while k < len(self.items) and len(self.items[k][1]) <= CLASS_RATIO * low:
+        while k < len(self.pieces):
+            low, first = len(self.pieces[k][2]), k
+            while k < len(self.pieces) and len(self.pieces[k][2]) <= CLASS_RATIO * low:
                 k += 1
             bit = np.uint64(1 << min(63, len(self.classes)))
-            for _, w in self.items[first:k]:
+            for _, _, w in self.pieces[first:k]:
                 self.known[self._place(w)] |= bit
             self.classes.append(self._class(first, k, rng) | {"bit": bit})
 
@@ -109,13 +124,13 @@ class ItemIndex:
         return (pair_hashes(w) >> np.uint64(64 - _BITS)).astype(np.int64)
 
     def _class(self, first: int, last: int, rng) -> dict:
-        low, high = len(self.items[first][1]), len(self.items[last - 1][1])
-        need = min(len(w) - 1 - 2 * allowed(len(w)) for _, w in self.items[first:last])
-        steps = 2 * low  # a walk reads half a symbol a step: these steps stay within every item of the class
+        low, high = len(self.pieces[first][2]), len(self.pieces[last - 1][2])
+        need = min(len(w) - 1 - 2 * allowed(len(w)) for _, _, w in self.pieces[first:last])
+        steps = 2 * low  # a walk reads half a symbol a step: these steps stay within every piece of the class
         picks = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(tables_needed())]
         c = {"span": high + allowed(high), "need": max(1, need), "steps": steps, "picks": picks, "tables": [defaultdict(list) for _ in picks]}
-        symbols = np.concatenate([w for _, w in self.items[first:last]])
-        size = np.array([len(w) for _, w in self.items[first:last]])
+        symbols = np.concatenate([w for _, _, w in self.pieces[first:last]])
+        size = np.array([len(w) for _, _, w in self.pieces[first:last]])
         ends = np.cumsum(size)
         for table_no, key in self._keys(c, symbols, ends - size, ends):
             for j, x in enumerate(key.tolist()):
@@ -137,7 +152,8 @@ class ItemIndex:
                 yield t, key
 
     def candidates(self, texts: list[np.ndarray]) -> dict[tuple[int, int], list[list[int]]]:
-        """(text, item position) -> stretches [first, last start] of windows that meet the item in a table."""
+        """(text, item position) -> stretches [first, last start] of passages that the windows stand for
+        which meet a piece of the item in a table (a start before the text's is negative)."""
         size = np.array([len(w) for w in texts], np.int64)
         if not self.items or size.sum() < 2:
             return {}
@@ -163,8 +179,9 @@ class ItemIndex:
             for t, key in self._keys(c, w, starts, stop):
                 rows = c["tables"][t]
                 for k in np.flatnonzero(np.isin(key, c["sorted"][t])).tolist():
-                    for item in rows[int(key[k])]:
-                        found[int(text[k]), item].add(int(from_[k]))
+                    for piece in rows[int(key[k])]:
+                        item, before, _ = self.pieces[piece]
+                        found[int(text[k]), item].add(int(from_[k]) - before)
         out = {}
         for (text, item), at in found.items():
             n, runs = len(self.items[item][1]), []
@@ -184,7 +201,7 @@ class ItemIndex:
             n, d = len(own), allowed(len(own))
             best = None
             for a, b in runs:
-                low, high = max(0, a - d), min(len(w), b + n + 2 * d + 1)
+                low, high = max(0, a - 2 * d), min(len(w), b + n + 3 * d + 1)  # d before the piece, d around its window
                 dist, x, y = nearest_passage(own, w[low:high])
                 if dist <= d and (best is None or (dist, low + x) < best[:2]):
                     best = (dist, low + x, low + y)

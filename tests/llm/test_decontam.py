@@ -69,6 +69,28 @@ def test_recall_of_edited_passages():
     assert hit / total >= 0.98, (hit, total)
 
 
+def test_recall_at_full_edits_by_kind_and_length():
+    from cardlake.llm.common import WordHash
+
+    rng = np.random.default_rng(6)
+    word = lambda: f"w{rng.integers(3000)}"
+    hashes = WordHash()
+    for n in (8, 16, 17, 33, 59, 120, 300):
+        items = [(k, " ".join(word() for _ in range(n))) for k in range(40)]
+        index = ItemIndex(items)
+        place = {i: k for k, (i, _) in enumerate(index.items)}
+        for kind in range(3):
+            docs = []
+            for _, t in items:
+                body = t.split()
+                for e in range(allowed(n)):
+                    at = rng.integers(len(body))
+                    body[at:at + (kind != 1)] = [] if kind == 2 else [f"new{e}"]
+                docs.append(hashes.array([word() for _ in range(30)] + body + [word() for _ in range(30)]))
+            got = {m[:2] for m in index.matches(docs)}
+            assert sum((k, place[k]) in got for k in range(40)) >= 39, (n, kind)
+
+
 def test_rows(spark):
     item = "one two three four five six seven eight nine ten eleven twelve"
     docs = spark.createDataFrame([(1, f"x {item} y", 5), (2, "nothing here", 5), (3, None, 5), (4, "", 5), (None, item.upper(), 5),

@@ -6,6 +6,7 @@ others are tested against brute force, exact round trips or held-out accuracy.
 
 from __future__ import annotations
 
+from cardlake.llm.byte_codec import op13_byte_bpe
 from cardlake.llm.decontam import op1_benchmark_decontamination
 from cardlake.llm.jaccard_trie import op5_ngram_jaccard_join
 from cardlake.llm.langid import op8_language_mixture
@@ -28,6 +29,7 @@ QUERIES = {f.__name__: f for f in (
     op8_language_mixture,
     op9_warc_dictionary,
     op10_lm_pseudo_likelihood,
+    op13_byte_bpe,
 )}
 
 ORACLE: dict[str, str] = {"op3_exact_topk": OP3_SQL, "op9_warc_dictionary": OP9_SQL}

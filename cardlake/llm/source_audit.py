@@ -118,7 +118,7 @@ class Transducer:
         for s in wide:
             marks, at = [b for b, _, _ in edges[s]], start
             while True:
-                if at + 4096 + 256 > len(free):
+                while at + 4096 + 256 > len(free):
                     free = np.r_[free, np.ones(len(free), bool)]
                 fits = free[at + marks[0]:at + marks[0] + 4096].copy()
                 for b in marks[1:]:
@@ -164,18 +164,19 @@ class Transducer:
             who, at, end, state, sums = who[on], at[on], end[on], state[on], sums[on]
         return out
 
-    def term(self, ordinal: int) -> bytes:
-        """The term of an ordinal."""
-        out, state = bytearray(), 0
-        while not (self.final[state] and ordinal == 0):
-            places = self.base[state] + np.arange(256)
-            own = np.flatnonzero(self.owner[places] == state)
-            b = int(own[np.flatnonzero(self.skip[places[own]] <= ordinal)[-1]])
-            place = self.base[state] + b
-            ordinal -= int(self.skip[place])
-            state = int(self.target[place])
-            out.append(b)
-        return bytes(out)
+    def terms(self) -> Iterator[bytes]:
+        """All terms in the order of their ordinals."""
+        places = np.flatnonzero(self.owner >= 0)
+        owners = self.owner[places]
+        edges: dict[int, list[tuple[int, int]]] = {}
+        for p, s, b in zip(places.tolist(), owners.tolist(), (places - self.base[owners]).tolist()):
+            edges.setdefault(s, []).append((b, int(self.target[p])))
+        final, waiting = self.final.tolist(), [(0, b"")]
+        while waiting:
+            state, term = waiting.pop()
+            if final[state]:
+                yield term
+            waiting += [(t, term + bytes((b,))) for b, t in reversed(edges.get(state, ()))]
 
     def dump(self) -> bytes:
         out = io.BytesIO()
@@ -488,6 +489,51 @@ def _numbered(kept: DataFrame, blocks: DataFrame, block_terms: int, sc: Scratch)
         for pdf in batches:
             for lang, offset, terms, raw in zip(pdf["lang"], pdf["offset"], pdf["terms"], pdf["transducer"]):
                 t = Transducer.load(raw)
-                yield pd.DataFrame({"lang": lang, "ordinal": np.arange(offset, offset + terms), "item": [t.term(i).decode() for i in range(terms)]})
+                yield pd.DataFrame({"lang": lang, "ordinal": np.arange(offset, offset + terms), "item": [term.decode() for term in t.terms()]})
 
     return blocks.join(offsets, ["lang", "first"]).select("lang", "offset", "terms", "transducer").mapInPandas(spell, "lang string, ordinal long, item string")
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of sources and the leading terms of every (lang, source)."""
+    return audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents),
+w AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+c AS (SELECT w.lang, source, w.term, count(*) AS n FROM w JOIN kept ON kept.lang = w.lang AND kept.term = w.term GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+total AS (
+  SELECT g.lang, g.source, CAST(coalesce(sum(c.n), 0) AS BIGINT) AS n
+  FROM g LEFT JOIN c ON c.lang = g.lang AND c.source = g.source GROUP BY g.lang, g.source),
+p AS (
+  SELECT total.lang, total.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (total.n + 2 * v.v) AS p
+  FROM total JOIN v ON v.lang = total.lang JOIN kept ON kept.lang = total.lang
+  LEFT JOIN c ON c.lang = total.lang AND c.source = total.source AND c.term = kept.term),
+whole AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM total GROUP BY lang),
+q AS (
+  SELECT c.lang, c.term, 1 + (1000000000 * (CAST(sum(c.n) AS BIGINT) + 2)) // (any_value(whole.n) + 2 * any_value(v.v)) AS p
+  FROM c JOIN v ON v.lang = c.lang JOIN whole ON whole.lang = c.lang GROUP BY c.lang, c.term),
+pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+every_pair AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(pair.value, 0) AS value
+  FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+term AS (
+  SELECT p.lang, p.source, p.term AS item, ((p.p - q.p) * (p.p - q.p)) // (p.p + q.p) AS value
+  FROM p JOIN q ON q.lang = p.lang AND q.term = p.term WHERE p.n > 0 AND p.p > q.p),
+ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM every_pair
+  UNION ALL
+  SELECT lang, source, 'term' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM term)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""

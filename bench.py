@@ -57,11 +57,11 @@ def main() -> None:
     w = store.write
     TR, CU = P.TRANSFORMATION, P.CURATED
     users = timed("build_clean_users",
-                  lambda: w(T.clean_users(raw["users_data"], P.DEFAULT_AS_OF), TR, "users_data", "id"))
-    cards = timed("build_clean_cards", lambda: w(T.clean_cards(raw["cards_data"]), TR, "cards_data", "id"))
+                  lambda: P.split_tables(raw, store, names=("users_data",))["users_data"][0])
+    cards = timed("build_clean_cards", lambda: P.split_tables(raw, store, names=("cards_data",))["cards_data"][0])
     mcc = timed("build_clean_mcc", lambda: w(T.clean_mcc(raw["mcc_data"]), TR, "mcc_data", "code"))
     tx = timed("build_clean_transactions",
-               lambda: w(T.clean_transactions(raw["transactions_data"]), TR, "transactions_data", "id"))
+               lambda: P.split_tables(raw, store, names=("transactions_data",))["transactions_data"][0])
     timed("build_rejects", lambda: P.reject_table(raw, store))
     dc = timed("build_dim_customers", lambda: w(C.build_dim_customers(users), CU, "dim_customers", "customer_key"))
     dk = timed("build_dim_cards", lambda: w(C.build_dim_cards(cards), CU, "dim_cards", "card_key"))

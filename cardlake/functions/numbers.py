@@ -37,8 +37,8 @@ def in_range(x: Column, lo, hi) -> Column:
 
 
 def round_to_long(x: Column) -> Column:
-    """Round half away from zero to a whole number, as BIGINT (x is decimal)."""
-    return F.round(x, 0).cast("bigint")
+    """Round half away from zero to a whole number, as BIGINT (x is decimal; NULL when out of range)."""
+    return F.round(x, 0).try_cast("bigint")
 
 
 def div_round(num: Column, den: Column, digits: int) -> Column:
@@ -71,20 +71,30 @@ def user_money(s: Column) -> Column:
     absolute value.
     """
     low = F.lower(s)
-    bare = strip_ws(F.regexp_replace(s, r"[$,]", ""))
-    k_head = F.regexp_extract(bare, r"^(.*)[kK]$", 1)
-    value = F.when(F.lower(bare).endswith("k"), try_number(k_head, MONEY_PARSE) * F.lit(1000)) \
-             .otherwise(try_number(bare, MONEY_PARSE))
+    value = _user_money_number(s, MONEY_PARSE)
     text_value = lookup(low, {k: str(v) for k, v in V.USER_TEXT_MONEY.items()}).cast(MONEY_PARSE)
     return (
         F.when(s.isNull() | (s == ""), F.lit(None))
         .when(text_value.isNotNull(), text_value)
         .when(low.isin(V.MONEY_TEXT_ERRORS), F.lit(None))
         .otherwise(F.abs(value))
-        .cast(MONEY_PARSE)
+        .try_cast(MONEY_PARSE)
     )
 
 
+def _user_money_number(s: Column, to: str) -> Column:
+    """The signed number of a money text without `$` and `,`, `k` suffix x1000."""
+    bare = strip_ws(F.regexp_replace(s, r"[$,]", ""))
+    k_head = F.regexp_extract(bare, r"^(.*)[kK]$", 1)
+    return F.when(F.lower(bare).endswith("k"), F.try_multiply(try_number(k_head, to), F.lit(1000))).otherwise(try_number(bare, to))
+
+
+def user_money_overflows(s: Column) -> Column:
+    """Is the (normalised) text a number that no BIGINT holds?"""
+    huge = F.abs(_user_money_number(s, "double")) > F.lit(1e18)
+    return F.coalesce(huge, F.lit(False)) & round_to_long(user_money(s)).isNull()
+
+
 def card_money_text(c: Column | str) -> Column:
     """lower + trim (NULL stays NULL)."""
     return strip_ws(F.lower(col_(c)))

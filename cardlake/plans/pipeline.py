@@ -52,23 +52,38 @@ class Layers:
         return C.Dims(self.dim_customers, self.dim_cards, self.dim_merchants, self.dim_mcc, self.dim_date)
 
 
-def reject_table(raw: dict[str, DataFrame], store: LayerStore) -> DataFrame:
+#: Staged tables: their cleaned rows and their rejects come from one write.
+SPLIT = ("users_data", "cards_data", "transactions_data")
+
+
+def split_tables(raw: dict[str, DataFrame], store: LayerStore, as_of: str | _dt.date = DEFAULT_AS_OF,
+                 names: tuple[str, ...] = SPLIT) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """name -> (cleaned rows, rejected rows), each table staged and written once."""
+    stage = {"users_data": lambda df: T.stage_users(df, as_of), "cards_data": T.stage_cards, "transactions_data": T.stage_transactions}
+    return {n: store.get_or_build_split(TRANSFORMATION, n, lambda n=n: stage[n](raw[n]), "id") for n in names}
+
+
+def reject_table(raw: dict[str, DataFrame], store: LayerStore, as_of: str | _dt.date = DEFAULT_AS_OF) -> DataFrame:
     """(table_name, reason, id) of the raw rows that no cleaned table can hold."""
-    tx = T.rejected_transactions(raw["transactions_data"]).select(F.lit("transactions_data").alias("table_name"), "reason", "id")
+    parts = [T.reject_rows(rejects, name) for name, (_, rejects) in split_tables(raw, store, as_of).items()]
+    return _write_rejects(raw, store, parts)
+
+
+def _write_rejects(raw: dict[str, DataFrame], store: LayerStore, parts: list[DataFrame]) -> DataFrame:
     mcc = T.rejected_mcc(raw["mcc_data"]).select(F.lit("mcc_data").alias("table_name"), "reason", "id")
-    return store.get_or_build(TRANSFORMATION, "rejects", lambda: tx.unionByName(mcc))
+    for part in parts:
+        mcc = mcc.unionByName(part)
+    return store.get_or_build(TRANSFORMATION, "rejects", lambda: mcc)
 
 
 def build_layers(spark: SparkSession, raw: dict[str, DataFrame], store: LayerStore,
                  as_of: str | _dt.date = DEFAULT_AS_OF) -> Layers:
     """Transformation and curated layers, built once per store."""
     g = store.get_or_build
-    users = g(TRANSFORMATION, "users_data", lambda: T.clean_users(raw["users_data"], as_of), "id")
-    cards = g(TRANSFORMATION, "cards_data", lambda: T.clean_cards(raw["cards_data"]), "id")
+    split = split_tables(raw, store, as_of)
+    users, cards, tx = (split[name][0] for name in SPLIT)
     mcc = g(TRANSFORMATION, "mcc_data", lambda: T.clean_mcc(raw["mcc_data"]), "code")
-    tx = g(TRANSFORMATION, "transactions_data", lambda: T.clean_transactions(raw["transactions_data"]), "id")
-
-    rejects = reject_table(raw, store)
+    rejects = _write_rejects(raw, store, [T.reject_rows(rejected, name) for name, (_, rejected) in split.items()])
 
     dim_customers = g(CURATED, "dim_customers", lambda: C.build_dim_customers(users), "customer_key")
     dim_cards = g(CURATED, "dim_cards", lambda: C.build_dim_cards(cards), "card_key")
@@ -159,7 +174,8 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         out[name] = store.read(MARTS, name)
     for layer, names in STORED.items():
         for name in names:
-            store.read(layer, name).createOrReplaceTempView(name)
+            held = store.read_split(layer, name, False) if name in SPLIT else store.read(layer, name)
+            held.createOrReplaceTempView(name)
     for name, df in out.items():
         df.createOrReplaceTempView(name)
     return out

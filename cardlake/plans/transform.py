@@ -18,7 +18,7 @@ from cardlake.functions.dates import day_name, month_year, parse_timestamp
 from cardlake.functions.fuzzy import fuzzy_table_by_field
 from cardlake.functions.numbers import (TX_AMOUNT_PARSE, card_money, card_money_number_text, card_money_text,
                                         in_range, round_to_long, trunc_to_long, try_integer_text, try_number,
-                                        tx_amount_text, user_money, user_money_text, whole_number_text)
+                                        tx_amount_text, user_money, user_money_overflows, user_money_text, whole_number_text)
 from cardlake.functions.text import (WS, as_text, capitalize_first, collapse_ws, lookup, nullif_blank,
                                      nullif_in, py_title, squeeze_ws, strip_chars, strip_ws)
 from cardlake.operators.dedup import keep_first
@@ -62,6 +62,17 @@ def _null(t: str = "string") -> Column:
     return F.lit(None).cast(t)
 
 
+def stored_rows(staged: DataFrame) -> DataFrame:
+    """The rows of a staged table that its cleaned table holds."""
+    return staged.where("_reason is null").drop("_reason", "_raw_id")
+
+
+def reject_rows(staged: DataFrame, table: str) -> DataFrame:
+    """(table_name, reason, id) of a staged table's rejected rows; id is the raw text."""
+    return staged.where("_reason is not null").select(F.lit(table).alias("table_name"), F.col("_reason").alias("reason"),
+                                                      F.col("_raw_id").alias("id"))
+
+
 def _carried(carry) -> list[Column]:
     """Raw input columns passed through unchanged as `raw_<name>` (for
     raw -> cleaned value reports; empty in the pipeline)."""
@@ -135,7 +146,13 @@ def fuzzy_matches(raw_users: DataFrame) -> DataFrame:
 
 
 def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()) -> DataFrame:
-    """Cleaned users (one row per id, first arrival wins)."""
+    """Cleaned users (one row per id, first arrival wins) without the rejected ones."""
+    return stored_rows(stage_users(raw, as_of, carry))
+
+
+def stage_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()) -> DataFrame:
+    """Cleaned users with `_reason` (why a row cannot be stored: an amount of
+    money that no BIGINT holds) and `_raw_id`."""
     as_of = _dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     df = _seq_or_default(raw)
 
@@ -152,6 +169,8 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()
     df = df.withColumns({f"_{c}": user_money_text(c) for c in ("per_capita_income", "yearly_income", "total_debt")})
     df = df.withColumn("_yearly", user_money(F.col("_yearly_income")))
     yearly = F.col("_yearly")
+    overflow = (user_money_overflows(F.col("_per_capita_income")) | user_money_overflows(F.col("_yearly_income"))
+                | user_money_overflows(F.col("_total_debt")))
     df = df.select(
         trunc_to_long(F.col("id").cast("double")).alias("id"),
         F.col(SEQ),
@@ -170,6 +189,8 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()
                trunc_to_long(F.col("num_credit_cards").cast("double"))).cast("int").alias("num_credit_cards"),
         F.col("employment_status"),
         F.col("education_level"),
+        F.when(overflow, "money_overflow").alias("_reason"),
+        F.col("id").cast("string").alias("_raw_id"),
         *_carried(carry),
     )
     # age from cleaned birth year / month at the as-of date, then bounded
@@ -182,7 +203,7 @@ def clean_users(raw: DataFrame, as_of: _dt.date | str, carry: Sequence[str] = ()
         df = _label_columns(df, name, aliases, canonical)
     df = _resolve_labels(df)
     df = keep_first(df, ["id"], [SEQ])
-    return df.select(*USERS_COLUMNS, *_carried_names(carry))
+    return df.select(*USERS_COLUMNS, "_reason", "_raw_id", *_carried_names(carry))
 
 
 # ====================================================================== cards
@@ -212,7 +233,17 @@ def _bank_state(s: Column) -> Column:
 
 
 def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT, carry: Sequence[str] = ()) -> DataFrame:
-    """Cleaned cards; keep-first by id happens before cleaning."""
+    """Cleaned cards without the rejected ones."""
+    return stored_rows(stage_cards(raw, null_text, carry))
+
+
+#: Whole-number columns of cards and their stored types.
+CARD_NUMBERS = {"id": "long", "client_id": "long", "num_cards_issued": "int", "year_pin_last_changed": "int"}
+
+
+def stage_cards(raw: DataFrame, null_text: str = V.NULL_TEXT, carry: Sequence[str] = ()) -> DataFrame:
+    """Cleaned cards with `_reason` (the first number that its column cannot
+    hold) and `_raw_id`; keep-first by id happens before cleaning."""
     df = keep_first(_seq_or_default(raw), ["id"], [SEQ])
     df = df.withColumns({
         "_limit_s": card_money_text("credit_limit"),
@@ -223,24 +254,27 @@ def clean_cards(raw: DataFrame, null_text: str = V.NULL_TEXT, carry: Sequence[st
     }).withColumn("_limit_t", card_money_number_text(F.col("_limit_s")))
     bank_text = F.col("_bank_s")
     cvv = trunc_to_long(F.col("cvv").cast("double"))
+    reason = F.coalesce(*[F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), f"bad_{c}") for c, t in CARD_NUMBERS.items()])
     return df.select(
-        F.col("id").cast("long").alias("id"),
-        F.col("client_id").cast("long").alias("client_id"),
+        F.col("id").try_cast("long").alias("id"),
+        F.col("client_id").try_cast("long").alias("client_id"),
         _mapped("card_brand", V.BRAND_MAPPING, V.OTHER, collapse=True).alias("card_brand"),
         _mapped("card_type", V.TYPE_MAPPING, V.OTHER, collapse=True).alias("card_type"),
         _card_number("card_number").alias("card_number"),
         month_year(F.col("_expires_s")).alias("expires"),
         in_range(cvv, *V.CVV_RANGE).cast("int").alias("cvv"),
         _yes_no("has_chip").alias("has_chip"),
-        F.col("num_cards_issued").cast("int").alias("num_cards_issued"),
+        F.col("num_cards_issued").try_cast("int").alias("num_cards_issued"),
         card_money(F.col("_limit_s"), F.col("_limit_t")).alias("credit_limit"),
         month_year(F.col("_open_s")).alias("acct_open_date"),
-        F.col("year_pin_last_changed").cast("int").alias("year_pin_last_changed"),
+        F.col("year_pin_last_changed").try_cast("int").alias("year_pin_last_changed"),
         _yes_no("card_on_dark_web").alias("card_on_dark_web"),
         F.coalesce(lookup(F.lower(bank_text), V.BANK_NAME_MAPPING), py_title(bank_text)).alias("issuer_bank_name"),
         _bank_state(F.col("_state_s")).alias("issuer_bank_state"),
         _mapped("issuer_bank_type", V.BANK_TYPE_MAPPING, V.OTHER).alias("issuer_bank_type"),
         _mapped("issuer_risk_rating", V.RISK_RATING_MAPPING, V.RISK_DEFAULT).alias("issuer_risk_rating"),
+        reason.alias("_reason"),
+        F.col("id").cast("string").alias("_raw_id"),
         *_carried(carry),
     )
 
@@ -338,15 +372,26 @@ def rejected_transactions(raw: DataFrame) -> DataFrame:
     """(reason, id) of raw transactions that cannot be stored: no number as id,
     an amount beyond DECIMAL(10,2), a merchant or category code that is no
     whole number.  `id` is the raw text."""
-    no_id = raw.where(try_integer_text(F.col("id"), "bigint").isNull()).select(F.lit("bad_id").alias("reason"), "id")
-    rest = _staged_transactions(raw, True).where("_reason is not null").select(F.col("_reason").alias("reason"), F.col("_raw_id").alias("id"))
-    return no_id.unionByName(rest)
+    return reject_rows(stage_transactions(raw), "transactions_data").drop("table_name")
 
 
 def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Cleaned transactions, ids unique and never NULL; rows that cannot be
     stored are in `rejected_transactions`."""
-    df = _staged_transactions(raw, dedup).where("_reason is null")
+    return stored_rows(_cleaned_transactions(_staged_transactions(raw, dedup).where("_reason is null"), carry))
+
+
+def stage_transactions(raw: DataFrame, dedup: bool = True) -> DataFrame:
+    """Cleaned transactions with `_reason` and `_raw_id`, rejected rows (also
+    those without a number as id) included: written once, it yields the
+    cleaned table and its rejects from one shuffle of the feed."""
+    staged = _cleaned_transactions(_staged_transactions(raw, dedup), ())
+    no_id = raw.where(try_integer_text(F.col("id"), "bigint").isNull()).select(F.col("id").alias("_raw_id"), F.lit("bad_id").alias("_reason"))
+    return staged.unionByName(no_id, allowMissingColumns=True)
+
+
+def _cleaned_transactions(df: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """Cleaned columns of `_staged_transactions` rows, with `_reason` and `_raw_id`."""
 
     df = df.withColumns({
         "_ts": parse_timestamp(F.col("date")),
@@ -365,8 +410,8 @@ def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str]
         ts.alias("date"),
         F.col("client_id").cast("long").alias("client_id"),
         F.col("card_id").cast("long").alias("card_id"),
-        F.round(F.abs(F.col("_amount")), 2).cast("decimal(10,2)").alias("amount"),
-        F.when(F.col("_amount") < 0, F.round(-F.col("_amount"), 2)).cast("decimal(10,2)").alias("refund_amount"),
+        F.round(F.abs(F.col("_amount")), 2).try_cast("decimal(10,2)").alias("amount"),
+        F.when(F.col("_amount") < 0, F.round(-F.col("_amount"), 2)).try_cast("decimal(10,2)").alias("refund_amount"),
         use_chip.alias("use_chip"),
         try_integer_text(F.col("merchant_id"), "bigint").alias("merchant_id"),
         F.when(online, F.lit(V.ONLINE_CITY)).otherwise(city).alias("merchant_city"),
@@ -381,6 +426,7 @@ def clean_transactions(raw: DataFrame, dedup: bool = True, carry: Sequence[str]
         F.quarter(ts).alias("transaction_quarter"),
         F.hour(ts).alias("transaction_hour"),
         day_name(ts).alias("day_of_week"),
+        "_reason", "_raw_id",
         *_carried(carry),
     )
-    return df.select(*TRANSACTIONS_COLUMNS, *_carried_names(carry))
+    return df.select(*TRANSACTIONS_COLUMNS, "_reason", "_raw_id", *_carried_names(carry))

@@ -31,6 +31,11 @@ FROM {customer}
 UNION ALL
 -- extra rows, not a subset: late re-deliveries of every 50th customer id, which keep-first must drop
 SELECT 1000000000 + c_custkey, c_custkey, 1, 1, 1980, 6, 'M', 'dup', 0.0, 0.0, '1', '1', '1', 700, 1, 'Student', 'hs' FROM {customer} WHERE c_custkey % 50 = 0
+UNION ALL
+-- extra rows, not a subset: an amount of money that no BIGINT holds, to be rejected
+SELECT 2000000000 + c_custkey, 500000000 + c_custkey, 1, 1, 1980, 6, 'F', 'huge', 0.0, 0.0,
+  CASE c_custkey % 3 WHEN 0 THEN '1e25' ELSE '$5' END, CASE c_custkey % 3 WHEN 1 THEN '$9,300,000,000,000,000,000' ELSE '5' END,
+  CASE c_custkey % 3 WHEN 2 THEN '1e30k' ELSE '5' END, 700, 1, 'Student', 'hs' FROM {customer} WHERE c_custkey % 61 = 0
 """
 
 CARDS_SQL = """

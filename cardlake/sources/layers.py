@@ -9,6 +9,7 @@ job idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardlake.operators.sinks import write_table
 
@@ -38,6 +39,23 @@ class LayerStore:
         write_table(out, self.path(layer, name))
         return self.read(layer, name)
 
+    def write_split(self, staged: DataFrame, layer: str, name: str, sort_by: str) -> None:
+        """A staged table (cleaned rows and rejects, told apart by `_reason`) in
+        one write, its rejects in a folder of their own."""
+        split = staged.withColumn("rejected", F.col("_reason").isNotNull()).sortWithinPartitions("rejected", sort_by)
+        write_table(split, self.path(layer, f"{name}_staged"), partition_by="rejected")
+
+    def read_split(self, layer: str, name: str, rejected: bool) -> DataFrame:
+        """The cleaned rows of a staged table, or its rejects: the filter is on the partition column."""
+        rows = self.read(layer, f"{name}_staged").where(F.col("rejected") == rejected).drop("rejected")
+        return rows if rejected else rows.drop("_reason", "_raw_id")
+
+    def get_or_build_split(self, layer: str, name: str, build, sort_by: str) -> tuple[DataFrame, DataFrame]:
+        """(cleaned rows, rejects) of a staged table."""
+        if self.refresh or not self.has(layer, f"{name}_staged"):
+            self.write_split(build(), layer, name, sort_by)
+        return self.read_split(layer, name, False), self.read_split(layer, name, True)
+
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 

@@ -3,8 +3,8 @@
 The source reads raw transactions in 300,000-row chunks and inserts each
 cleaned chunk with "ON CONFLICT (id) DO NOTHING".  Here: a file stream over
 the landing folder, whose micro-batches are sized in bytes; `foreachBatch`
-cleans each one (keep-first by the id as a number, rows without one left
-out), anti-joins it against the ids already in the target and appends the
+cleans each one (keep-first by the id as a number; rows that cannot be stored
+go to a reject folder, keyed by the batch), anti-joins it against the ids already in the target and appends the
 rest.  The target is laid out by ranges of ids (`id_bucket`), and only the
 buckets that a batch touches are read.  The checkpoint records which files
 were processed; if a batch is re-run after a failure the anti-join makes the
@@ -22,7 +22,7 @@ from pyspark.sql.utils import AnalysisException
 
 from cardlake.functions.numbers import try_integer_text
 from cardlake.operators.sinks import insert_if_absent, write_table
-from cardlake.plans.transform import clean_transactions
+from cardlake.plans.transform import reject_rows, stage_transactions, stored_rows
 from cardlake.sources import csv_io
 
 RAW_TX_SCHEMA = T.StructType([
@@ -39,7 +39,9 @@ RAW_TX_SCHEMA = T.StructType([
 def _existing(spark: SparkSession, target_path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(target_path)
-    except AnalysisException:
+    except AnalysisException as e:  # no target yet, or one without a row; anything else is an error
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return None
 
 
@@ -65,20 +67,29 @@ def touched(target: DataFrame, batch: DataFrame) -> DataFrame:
     return target.where(F.col(BUCKET).between(lo, hi))
 
 
-def load_batch(batch: DataFrame, target_path: str, bucket_ids: int = BUCKET_IDS) -> None:
-    """Clean one micro-batch and append the ids the target does not hold."""
+def rejects_of(target_path: str) -> str:
+    """Where the load into `target_path` keeps its rejected rows."""
+    return f"{target_path.rstrip('/')}_rejects"
+
+
+def load_batch(batch: DataFrame, target_path: str, bucket_ids: int = BUCKET_IDS, batch_id: int = 0) -> None:
+    """Clean one micro-batch and append the ids the target does not hold.  Rows
+    that cannot be stored go to `rejects_of(target_path)`, as the folder of this
+    batch: a replay of the batch writes the same folder again."""
     spark = batch.sparkSession
     if "_place" in batch.columns:
         batch = csv_io.arrival_of_place(batch)
-    cleaned = with_bucket(clean_transactions(batch), bucket_ids).persist(StorageLevel.MEMORY_AND_DISK)
+    staged = stage_transactions(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        reject_rows(staged, "transactions_data").write.mode("overwrite").parquet(f"{rejects_of(target_path)}/batch_id={batch_id}")
+        cleaned = with_bucket(stored_rows(staged), bucket_ids)
         target = _existing(spark, target_path)
         if target is not None:
             target = touched(target, cleaned)
         fresh = insert_if_absent(cleaned, target, "id", order=None)
         write_table(fresh.sortWithinPartitions(BUCKET, "id"), target_path, "append", BUCKET)
     finally:
-        cleaned.unpersist()
+        staged.unpersist()
 
 
 def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, checkpoint_dir: str,
@@ -104,7 +115,7 @@ def stream_tx_load(spark: SparkSession, landing_dir: str, target_path: str, chec
     if "_seq" not in schema.fieldNames():
         stream = csv_io.with_place(stream)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, epoch: load_batch(df, target_path, bucket_ids))
+              .foreachBatch(lambda df, epoch: load_batch(df, target_path, bucket_ids, epoch))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()

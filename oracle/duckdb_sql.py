@@ -136,11 +136,11 @@ def _bounded(col: str, lo, hi) -> str:
     return f"CASE WHEN {col} BETWEEN {lo} AND {hi} THEN {col} END"
 
 
-cte("t_users", ("raw_users",), f"""
+cte("users_staged", ("raw_users",), f"""
 SELECT id, current_age, retirement_age, birth_year, birth_month, gender, address, latitude, longitude,
        per_capita_income,
-       CASE WHEN yearly_income_raw < 100 THEN 0 ELSE CAST(round(yearly_income_raw) AS BIGINT) END AS yearly_income,
-       total_debt, credit_score, num_credit_cards, employment_status, education_level
+       CASE WHEN yearly_income_raw < 100 THEN 0 ELSE TRY_CAST(round(yearly_income_raw) AS BIGINT) END AS yearly_income,
+       total_debt, credit_score, num_credit_cards, employment_status, education_level, overflow
 FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY _seq) AS rn FROM (
     SELECT _seq, CAST(id AS BIGINT) AS id,
@@ -155,9 +155,10 @@ FROM (
       CASE WHEN {collapse('address')} = '' THEN NULL ELSE {title(collapse('address'))} END AS address,
       {_bounded('latitude', -90, 90)} AS latitude,
       {_bounded('longitude', -180, 180)} AS longitude,
-      CAST(round({_user_money('per_capita_income')}) AS BIGINT) AS per_capita_income,
+      TRY_CAST(round({_user_money('per_capita_income')}) AS BIGINT) AS per_capita_income,
+      coalesce(greatest({_user_money('per_capita_income')}, {_user_money('yearly_income')}, {_user_money('total_debt')}) >= 9223372036854775808, false) AS overflow,
       {_user_money('yearly_income')} AS yearly_income_raw,
-      CAST(round({_user_money('total_debt')}) AS BIGINT) AS total_debt,
+      TRY_CAST(round({_user_money('total_debt')}) AS BIGINT) AS total_debt,
       {_bounded('credit_score', 300, 850)} AS credit_score,
       CASE WHEN num_credit_cards >= 0 THEN num_credit_cards END AS num_credit_cards,
       {_label('employment_status', V.EMPLOYMENT_ALIASES, V.EMPLOYMENT_CANONICAL)} AS employment_status,
@@ -168,6 +169,8 @@ FROM (
 ) WHERE rn = 1
 """)
 
+cte("t_users", ("users_staged",), "SELECT * EXCLUDE (overflow) FROM users_staged WHERE NOT overflow")
+
 
 def _month_year(col: str) -> str:
     s = strip(col)
@@ -301,7 +304,9 @@ SELECT id, ts AS date, client_id, card_id,
 FROM tx_staged WHERE reason IS NULL
 """)
 
-cte("rejects", ("raw_tx", "tx_staged", "raw_mcc"), f"""
+cte("rejects", ("raw_tx", "tx_staged", "raw_mcc", "users_staged"), f"""
+SELECT 'users_data' AS table_name, 'money_overflow' AS reason, CAST(id AS VARCHAR) AS id FROM users_staged WHERE overflow
+UNION ALL
 SELECT 'transactions_data' AS table_name, 'bad_id' AS reason, id FROM raw_tx WHERE id IS NULL OR {int_text('id')} IS NULL
 UNION ALL
 SELECT 'transactions_data', reason, raw_id FROM tx_staged WHERE reason IS NOT NULL

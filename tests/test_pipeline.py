@@ -306,13 +306,51 @@ def test_replay_with_bad_ids_adds_nothing(spark, scratch):
         assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [7, 10]
 
 
+def test_stream_keeps_its_rejects_once(spark, scratch):
+    from cardlake.plans.transform import rejected_transactions
+    from cardlake.sources.fixtures import raw_table
+    from cardlake.streaming import incremental as INC
+    base = f"{scratch}/test-rejects-{uuid.uuid4().hex[:8]}"
+    raw = raw_table(spark, SF_SMALL, "transactions_data")
+    INC.land_raw_transactions(raw, f"{base}/landing")
+    wanted = sorted((r["reason"], str(r["id"])) for r in rejected_transactions(raw).collect())
+    assert {r for r, _ in wanted} >= {"bad_id", "amount_overflow"}
+    for ckpt in ("c1", "c2"):  # a fresh checkpoint replays every file
+        INC.stream_tx_load(spark, f"{base}/landing", f"{base}/target", f"{base}/{ckpt}").awaitTermination()
+        got = spark.read.parquet(INC.rejects_of(f"{base}/target"))
+        assert sorted((r["reason"], str(r["id"])) for r in got.collect()) == wanted
+
+
+def test_an_unreadable_target_is_an_error(spark, scratch):
+    from cardlake.streaming.incremental import _existing
+    assert _existing(spark, f"{scratch}/no-such-target-{uuid.uuid4().hex[:8]}") is None
+    spark.range(3).write.csv(f"{scratch}/test-target-{(tag := uuid.uuid4().hex[:8])}")
+    with pytest.raises(Exception):
+        _existing(spark, f"{scratch}/test-target-{tag}").collect()
+
+
+def test_users_and_cards_that_no_column_holds_are_rejected(spark):
+    from cardlake.plans import transform as T
+    users = raw_frame(spark, "users_data", [dict(_seq=i, id=i, yearly_income=v) for i, v in enumerate(
+        ["1e25", "9223372036854775807", "$9,223,372,036,854,775,808", "5", "1e400", "9e33k", None, "-1e19"])])
+    assert {r["id"]: r["yearly_income"] for r in T.clean_users(users, "2025-06-15").collect()} == {1: 9223372036854775807, 3: 0, 6: None}
+    got = T.reject_rows(T.stage_users(users, "2025-06-15"), "users_data").collect()
+    assert sorted((r["reason"], r["id"]) for r in got) == [("money_overflow", str(i)) for i in (0, 2, 4, 5, 7)]
+    cards = raw_frame(spark, "cards_data", [dict(_seq=i, id=i) for i in range(4)])
+    cards = cards.withColumn("id", F.when(F.col("id") == 1, "x1").otherwise(F.col("id").cast("string")))
+    cards = cards.withColumn("num_cards_issued", F.when(F.col("id") == "2", 1 << 40).otherwise(3))
+    assert sorted(r["id"] for r in T.clean_cards(cards).collect()) == [0, 3]
+    assert sorted((r["reason"], r["id"]) for r in T.reject_rows(T.stage_cards(cards), "cards_data").collect()) == [("bad_id", "x1"), ("bad_num_cards_issued", "2")]
+
+
 def test_load_reads_only_the_buckets_it_touches(spark, scratch):
+    from cardlake.plans.transform import clean_transactions
     from cardlake.streaming import incremental as INC
     target = f"{scratch}/test-buckets-{uuid.uuid4().hex[:8]}"
     row = lambda i: dict(_seq=i, id=str(i), amount="$1.00", date="2020-01-01", client_id=1, card_id=1, merchant_id="1", mcc="1")
     first = raw_frame(spark, "transactions_data", [row(i) for i in range(1, 100)])
     INC.load_batch(first, target, bucket_ids=10)
-    batch = INC.with_bucket(INC.clean_transactions(raw_frame(spark, "transactions_data", [row(i) for i in (95, 101)])), 10)
+    batch = INC.with_bucket(clean_transactions(raw_frame(spark, "transactions_data", [row(i) for i in (95, 101)])), 10)
     read = INC.touched(spark.read.parquet(target), batch)
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "id_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
@@ -330,7 +368,7 @@ def test_a_changed_input_is_read_again(spark, scratch):
     folder = f"{scratch}/test-changed-{uuid.uuid4().hex[:8]}".removeprefix("file:")
     os.makedirs(folder)
     for t in ("customer", "part", "orders", "lineitem"):
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", f"{folder}/{t}.parquet")
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", f"{folder}/{t}.parquet")
     before = Q["clean_users"](spark, folder).count()
     import pyarrow.parquet as pq
     pq.write_table(pq.read_table(f"{folder}/customer.parquet").slice(0, 50), f"{folder}/customer.parquet")

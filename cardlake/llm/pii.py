@@ -70,6 +70,12 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(digits: str) -> bool:
+    """At most 255, however many zeros lead."""
+    least = digits.lstrip("0")
+    return len(least) <= 3 and int(least or "0") <= 255
+
+
 def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the base patterns in a whole text, by start, then kind as listed."""
     if not text:
@@ -77,7 +83,7 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     out = [("email", a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         if "." in text:
-            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_octet, m[0].split(".")))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and _luhn(digits):
@@ -311,7 +317,7 @@ def _plausible(kind: str, found: str) -> bool:
     if kind == "card":
         return 12 <= len(digits) <= 19 and _luhn("".join(digits))
     if kind == "ip":
-        return all(int(p) <= 255 for p in re.findall("[0-9]+", found))
+        return all(map(_octet, re.findall("[0-9]+", found)))
     return 9 <= len(digits) <= 15 if kind == "phone" else "@" in found
 
 

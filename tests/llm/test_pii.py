@@ -118,3 +118,11 @@ def test_query(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in base) for k in P.KINDS)
         assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(filter(None, r.spans.split(",")))
+
+
+def test_octets_of_any_length():
+    from cardlake.llm.pii import _plausible, base_spans
+    zeros = "0" * 5000
+    assert base_spans(f"{zeros}.1.2.3") == [("ip", 0, 5006)]
+    assert base_spans(f"{zeros}256.1.2.3") == [] and base_spans("9" * 5000 + ".1.2.3") == []
+    assert _plausible("ip", f"1.2.3.{zeros}9") and not _plausible("ip", "1.2.3." + "9" * 5000)

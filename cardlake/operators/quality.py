@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 FACT_KEYS = ("customer_key", "card_key", "merchant_key", "mcc_key", "date_key")
@@ -72,6 +72,39 @@ def check_schema_limits(df: DataFrame, table: str, max_lengths: Mapping[str, int
                        parts[1].alias("check_name"), "violating_rows")
 
 
+class QualityError(RuntimeError):
+    """A finished write breaks a check that must hold."""
+
+
+def write_metrics(columns: Sequence[str], key: str | None, lengths: Mapping[str, int], stored: Column | None = None) -> list[Column]:
+    """Aggregates that a running write observes (no scan of their own), named
+    `check|column`: rows, rejected rows, NULLs of the key and of every
+    `*_key` column, texts over their declared length.  `stored` tells the
+    stored rows of a staged table from its rejects."""
+    kept = F.lit(True) if stored is None else stored
+    out = [F.count_if(kept).alias("rows|")]
+    if stored is not None:
+        out.append(F.count_if(~kept).alias("rejected|"))
+    keys = dict.fromkeys([*([key] if key else []), *[c for c in columns if c.endswith("_key")]])
+    out += [F.count_if(kept & F.col(c).isNull()).alias(f"{'null_key' if c == key else 'missing'}|{c}") for c in keys]
+    out += [F.count_if(kept & (F.length(F.col(c)) > n)).alias(f"over_length|{c}") for c, n in lengths.items() if c in columns]
+    return out
+
+
+def violations(metrics: Sequence[tuple[str, str, str, int]], max_missing: float) -> list[str]:
+    """What must stop a run: a NULL key of a curated or mart table, and a
+    reference that misses its dimension in more than `max_missing` of the rows.
+    Over-long texts are reported, not fatal."""
+    rows = {table: n for table, check, _, n in metrics if check == "rows"}
+    out = []
+    for table, check, column, n in metrics:
+        if check == "null_key" and n and not table.startswith("transformation."):
+            out.append(f"{table}.{column}: {n} NULL keys")
+        if check == "missing" and n > max_missing * rows[table]:
+            out.append(f"{table}.{column}: {n} of {rows[table]} rows without a reference")
+    return out
+
+
 def schema_limit_rejects(df: DataFrame, max_lengths: Mapping[str, int]) -> DataFrame:
     """Rows that break any declared length (the reject table)."""
     bad = None

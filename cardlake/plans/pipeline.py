@@ -20,9 +20,11 @@ from cardlake.plans import customer as CU
 from cardlake.plans import finance as FI
 from cardlake.plans import merchant as ME
 from cardlake.plans import transform as T
+from cardlake.plans.limits import LENGTHS
 from cardlake.session import checkpoint_root, ensure_conf, input_signature, input_size_bytes, size_shuffle_partitions
 from cardlake.sources.fixtures import RAW_INPUTS, raw_tables
 from cardlake.sources import csv_io
+from cardlake.operators.quality import QualityError, violations
 from cardlake.operators.sinks import write_table
 from cardlake.sources.layers import LayerStore
 
@@ -31,6 +33,10 @@ DEFAULT_AS_OF = "2025-06-15"
 TRANSFORMATION = "transformation"
 CURATED = "curated"
 MARTS = "marts"
+CHECKS = "checks"
+
+#: Part of a fact's rows that may miss a dimension before a run ends with an error.
+MAX_MISSING = 0.5
 
 
 @dataclass
@@ -154,19 +160,31 @@ STORED = {
 
 
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
-               as_of: str | _dt.date = DEFAULT_AS_OF, input_bytes: int = 0) -> dict[str, DataFrame]:
+               as_of: str | _dt.date = DEFAULT_AS_OF, input_bytes: int = 0, max_missing: float = MAX_MISSING) -> dict[str, DataFrame]:
     """Full refresh of every layer under `out_root` from the four raw tables.
 
     Transformation, curated and mart tables are written as Parquet, and so
     are all mart outputs.  The layer tables and every mart output are also
     registered as temporary views under their names, so SQL reaches them; the
     mart outputs are returned too (name -> DataFrame).
+
+    Every write of a layer table observes its row count, rejects, NULL keys,
+    missing references and over-long texts; they are written as
+    `checks/write_metrics` (also a view), and a NULL key or more than
+    `max_missing` of a fact's references missing ends the run with
+    `QualityError` before any mart output is written.
     """
     ensure_conf(spark)
     size_shuffle_partitions(spark, input_bytes)
-    store = LayerStore(spark, out_root, refresh=True)
+    store = LayerStore(spark, out_root, refresh=True, lengths=LENGTHS)
     layers = build_layers(spark, raw, store, as_of)
     marts = build_mart_tables(layers)
+    metrics = spark.createDataFrame(store.metrics, "table_name string, check_name string, column_name string, rows long")
+    write_table(metrics.coalesce(1), store.path(CHECKS, "write_metrics"))
+    store.read(CHECKS, "write_metrics").createOrReplaceTempView("write_metrics")
+    broken = violations(store.metrics, max_missing)
+    if broken:
+        raise QualityError("; ".join(broken))
     views = mart_views(layers, marts)
     out = {}
     for name, df in views.items():

@@ -8,17 +8,25 @@ job idempotent.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.operators.quality import write_metrics
 from cardlake.operators.sinks import write_table
 
 
 class LayerStore:
     """`refresh=True` rewrites every table on each build (a full-refresh run);
-    `refresh=False` reuses complete tables (a cache keyed by its root)."""
+    `refresh=False` reuses complete tables (a cache keyed by its root).  With
+    `lengths` (table -> key and declared text lengths) every write also
+    observes its checks, kept in `metrics` as (table, check, column, rows)."""
 
-    def __init__(self, spark: SparkSession, root: str, refresh: bool = False):
+    def __init__(self, spark: SparkSession, root: str, refresh: bool = False,
+                 lengths: Mapping[str, tuple[str, Mapping[str, int]]] | None = None):
+        self.lengths = lengths
+        self.metrics: list[tuple[str, str, str, int]] = []
         self.spark = spark
         self.root = root.rstrip("/")
         self.refresh = refresh
@@ -36,14 +44,25 @@ class LayerStore:
         """Full refresh of one table; rows sorted by `sort_by` inside each file
         (tight min/max statistics for key lookups), no global sort."""
         out = df.sortWithinPartitions(sort_by) if sort_by else df
-        write_table(out, self.path(layer, name))
+        self._write_observed(out, layer, name, name, sort_by)
         return self.read(layer, name)
 
+    def _write_observed(self, df: DataFrame, layer: str, name: str, folder: str, key: str | None, stored: Column | None = None,
+                        partition_by: str | None = None) -> None:
+        if self.lengths is None:
+            write_table(df, self.path(layer, folder), partition_by=partition_by)
+            return
+        table = f"{layer}.{name}"
+        _, lengths = self.lengths.get(table, (key, {}))
+        seen = Observation()
+        write_table(df.observe(seen, *write_metrics(df.columns, key, lengths, stored)), self.path(layer, folder), partition_by=partition_by)
+        self.metrics += [(table, *check.split("|"), n) for check, n in seen.get.items()]
+
     def write_split(self, staged: DataFrame, layer: str, name: str, sort_by: str) -> None:
         """A staged table (cleaned rows and rejects, told apart by `_reason`) in
         one write, its rejects in a folder of their own."""
         split = staged.withColumn("rejected", F.col("_reason").isNotNull()).sortWithinPartitions("rejected", sort_by)
-        write_table(split, self.path(layer, f"{name}_staged"), partition_by="rejected")
+        self._write_observed(split, layer, name, f"{name}_staged", sort_by, ~F.col("rejected"), "rejected")
 
     def read_split(self, layer: str, name: str, rejected: bool) -> DataFrame:
         """The cleaned rows of a staged table, or its rejects: the filter is on the partition column."""

@@ -92,6 +92,36 @@ def test_run_pipeline_writes_layers_and_marts(spark, scratch):
             assert spark.sql(f"SELECT COUNT(*) AS n FROM {name}").first()["n"] > 0, name
 
 
+def test_writes_observe_their_checks(spark, scratch):
+    from cardlake.operators.quality import QualityError, fact_missing_keys
+    from cardlake.plans.pipeline import run_layers
+    from cardlake.sources.fixtures import raw_tables
+    out = f"{scratch}/test-observe-{uuid.uuid4().hex[:8]}"
+    raw = raw_tables(spark, SF_SMALL)
+    with pytest.raises(QualityError, match="curated.fact_transactions.card_key"):
+        run_layers(spark, raw, out, max_missing=0.0)
+    got = {(r["table_name"], r["check_name"], r["column_name"]): r["rows"] for r in spark.read.parquet(f"{out}/checks/write_metrics").collect()}
+    fact = spark.read.parquet(f"{out}/curated/fact_transactions")
+    wanted = fact_missing_keys(fact).first().asDict()
+    assert got["curated.fact_transactions", "rows", ""] == wanted["fact_rows"]
+    for c, n in wanted.items():
+        if c != "fact_rows":
+            assert got["curated.fact_transactions", "missing", c.removeprefix("missing_")] == n
+    rejects = spark.read.parquet(f"{out}/transformation/rejects").groupBy("table_name").count().collect()
+    for r in rejects:
+        if r["table_name"] != "mcc_data":
+            assert got[f"transformation.{r['table_name']}", "rejected", ""] == r["count"]
+    cards = spark.read.parquet(f"{out}/transformation/cards_data_staged")
+    assert got["transformation.cards_data", "over_length", "issuer_bank_name"] == cards.where("length(issuer_bank_name) > 100").count() > 0
+
+
+def test_an_empty_table_is_observed(spark, scratch):
+    from cardlake.sources.layers import LayerStore
+    store = LayerStore(spark, f"{scratch}/test-empty-{uuid.uuid4().hex[:8]}", refresh=True, lengths={})
+    store.write(spark.createDataFrame([], "id long, a_key long"), "curated", "t", "id")
+    assert sorted(store.metrics) == [("curated.t", "missing", "a_key", 0), ("curated.t", "null_key", "id", 0), ("curated.t", "rows", "", 0)]
+
+
 def test_run_pipeline_is_a_full_refresh(spark, scratch):
     """A second run into the same folder with other input replaces every table."""
     from cardlake.plans.pipeline import run_pipeline

@@ -13,7 +13,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from cardlake.plans.pipeline import DEFAULT_AS_OF, run_pipeline, run_pipeline_from_csv
+from cardlake.plans.pipeline import DEFAULT_AS_OF, run_pipeline, run_pipeline_from_csv, stored_table
 from cardlake.sources.layers import LayerStore
 
 
@@ -42,7 +42,8 @@ def main(argv=None) -> None:
         for table_status in sorted(fs.listStatus(layer_status.getPath()), key=lambda x: x.getPath().getName()):
             table = table_status.getPath().getName()
             if store.has(layer, table):
-                print(f"{layer}.{table}\t{store.read(layer, table).count()}")
+                name = table.removesuffix("_staged")  # a staged table counts without its rejects
+                print(f"{layer}.{name}\t{stored_table(store, layer, name).count()}")
 
 
 if __name__ == "__main__":

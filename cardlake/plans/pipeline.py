@@ -159,6 +159,11 @@ STORED = {
 }
 
 
+def stored_table(store: LayerStore, layer: str, name: str) -> DataFrame:
+    """A table of `STORED`, read back."""
+    return store.read_split(layer, name, False) if name in SPLIT else store.read(layer, name)
+
+
 def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
                as_of: str | _dt.date = DEFAULT_AS_OF, input_bytes: int = 0, max_missing: float = MAX_MISSING) -> dict[str, DataFrame]:
     """Full refresh of every layer under `out_root` from the four raw tables.
@@ -192,8 +197,7 @@ def run_layers(spark: SparkSession, raw: dict[str, DataFrame], out_root: str,
         out[name] = store.read(MARTS, name)
     for layer, names in STORED.items():
         for name in names:
-            held = store.read_split(layer, name, False) if name in SPLIT else store.read(layer, name)
-            held.createOrReplaceTempView(name)
+            stored_table(store, layer, name).createOrReplaceTempView(name)
     for name, df in out.items():
         df.createOrReplaceTempView(name)
     return out

@@ -18,8 +18,12 @@ The global order of n-grams is (document frequency, hash), rarest first:
 4. Each block's sets go into a prefix tree, which every set of the block
    traverses; shared beginnings are matched once, subtrees are left when the
    matches so far plus the rest that remains cannot reach the threshold.  A
-   block over `TILE` documents is dealt out as pairs of chunks, each pair a
-   bounded task; nothing is capped.
+   block over `TILE` documents is dealt out as chunks, each of which also meets
+   `PIVOTS` documents of the block: one pass, linear in the block's size, that
+   leaves few classes of a group of near copies.  Then only documents with a
+   prefix n-gram that two classes share are compared again, as pairs of chunks
+   of near sizes and different classes.  Each pair is a bounded tile, which
+   returns one link at most for two classes it joins; nothing is capped.
 5. Links give classes (connected components).
 
 Defined cases: a null text is empty; an empty document has 0 n-grams and
@@ -35,14 +39,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardlake.llm.common import Scratch, WordHash, components, mix, prepare, table
 from cardlake.operators.joins import broadcast_if_bounded
 
-#: Documents of a block's chunk; a task holds two chunks at most.
+#: Documents of a block's chunk; a tile holds two chunks, or one and the block's pivots.
 TILE = 128
+#: Documents of a large block that all others of it are compared with first.
+PIVOTS = 16
 #: n-grams that a map task packs before it sends them on.
 FLUSH = 4_000_000
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -72,6 +78,11 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
+def home_of(ids: np.ndarray, homes: int) -> np.ndarray:
+    """Group of each document, whatever the stride of the ids."""
+    return (mix(ids.astype(np.uint64)) % np.uint64(homes)).astype(np.int64)
+
+
 _PACKED = "bucket int, docs binary, counts binary, grams binary, sizes binary"
 
 
@@ -87,7 +98,7 @@ def _pack(n: int, buckets: int):
         b = ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(b, kind="stable")
         b, owner, grams = b[order], owner[order], grams[order]
-        home = ids % buckets
+        home = home_of(ids, buckets)
         cut = np.searchsorted(b, np.arange(buckets + 1))
         for k in range(buckets):
             own = owner[cut[k]:cut[k + 1]]
@@ -143,7 +154,7 @@ def _share(homes: int):
         owner, grams, each = owner[keep], grams[keep], each[keep]
         count = np.bincount(owner, minlength=len(docs)).astype(np.uint32)
         used = (count > 0) | (sizes >= 0)
-        home = docs % homes
+        home = home_of(docs, homes)
         by_doc = np.lexsort((docs, home))
         by_doc = by_doc[used[by_doc]]
         place = np.empty(len(docs), np.int64)
@@ -288,11 +299,15 @@ class PrefixTree:
 
 
 def link_tile(docs: list[tuple], percent: int, cross: bool) -> list[tuple]:
-    """Spanning links of a tile: docs = (id, n, ordered shared n-grams, chunk).
-    `cross`: only pairs of different chunks count here."""
-    parent = {d[0]: d[0] for d in docs}
+    """Spanning links of a tile: docs = (id, n, ordered shared n-grams, side, label); documents
+    of one label are linked already.  `cross`: only pairs of different sides count here."""
+    parent = {d[4]: d[4] for d in docs}
+    if len(parent) == 1:
+        return []
+    label = {d[0]: d[4] for d in docs}
 
     def find(x):
+        x = label[x]
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
@@ -300,53 +315,136 @@ def link_tile(docs: list[tuple], percent: int, cross: bool) -> list[tuple]:
 
     docs = sorted(docs, key=lambda d: (d[3], d[1], d[0]))
     out, tree = [], PrefixTree()
-    for i, n, seq, chunk in docs:
-        if not cross or chunk != docs[0][3]:
+    for i, n, seq, side, _ in docs:
+        if not cross or side != docs[0][3]:
             hits = tree.partners(frozenset(seq), n, len(seq), percent, lambda j: find(j) == find(i))
             for j in hits:
                 parent[find(i)] = find(j)
                 out.append((i, j))
-        if not cross or chunk == docs[0][3]:
+        if not cross or side == docs[0][3]:
             tree.add(tuple(seq), n, (i, n))
     return out
 
 
 def _tiles(percent: int):
-    def links(key, docs):
-        return link_tile([(i, n, np.frombuffer(g, np.uint64).tolist(), c) for i, n, g, c in docs], percent, key[1] != key[2])
+    """Rows of tiles, those of a tile together -> its links."""
+
+    def links(docs, cross):
+        return link_tile([(i, n, np.frombuffer(g, np.uint64).tolist(), s, k) for i, n, g, s, k in docs], percent, cross)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, docs = None, []
+        key, docs, crossed = None, [], False
         for pdf in batches:
             found = []
-            for b, x, y, i, n, g, c in zip(pdf["block"], pdf["a"], pdf["b"], pdf["doc_id"], pdf["n"], pdf["grams"], pdf["chunk"]):
-                if (b, x, y) != key:
+            for t, x, i, n, g, s, k in zip(pdf["tile"], pdf["cross"], pdf["doc_id"], pdf["n"], pdf["grams"], pdf["side"], pdf["label"]):
+                if t != key:
                     if docs:
-                        found += links(key, docs)
-                    key, docs = (b, x, y), []
-                docs.append((i, n, g, c))
+                        found += links(docs, crossed)
+                    key, docs, crossed = t, [], x
+                docs.append((i, n, g, s, k))
             if found:
                 yield pd.DataFrame(found, columns=["src", "dst"])
-        if docs and (found := links(key, docs)):
+        if docs and (found := links(docs, crossed)):
             yield pd.DataFrame(found, columns=["src", "dst"])
 
     return run
 
 
+def _link(tiles: DataFrame, percent: int) -> DataFrame:
+    """Links of tiles (tile, cross, doc_id, n, grams, side, label)."""
+    parts = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(parts, "tile").sortWithinPartitions("tile").mapInPandas(_tiles(percent), "src long, dst long")
+
+
+def _chunk_links(placed: DataFrame, percent: int) -> DataFrame:
+    """First pass, linear in a block's size: links inside each chunk of a block,
+    and of every document of a large block with the block's pivots.
+
+    placed: doc_id, n, grams, block, k (chunks of the block)."""
+    chunk = F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int")
+    large = placed.where("k > 1")
+    pivot = (large.groupBy("block", "k", F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(PIVOTS)).alias("slot"))
+             .agg(F.min(F.struct(F.xxhash64(F.lit(5), "doc_id").alias("h"), "doc_id")).alias("p"))
+             .select(F.col("p.doc_id").alias("doc_id"), "block", "k"))
+    guests = (large.select("doc_id", "n", "grams").join(pivot, "doc_id")
+              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).drop("k"))
+    rows = placed.withColumn("chunk", chunk).drop("k").unionByName(guests)
+    return _link(rows.select(F.struct("block", "chunk").alias("tile"), F.lit(False).alias("cross"), "doc_id", "n", "grams",
+                             F.lit(0).alias("side"), F.col("doc_id").alias("label")), percent)
+
+
+def _prefixes(percent: int):
+    """Sets -> (gram, doc_id, label) of their prefix n-grams."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            takes, grams = [], [np.empty(0, np.uint64)]
+            for n, alone, b in zip(pdf["n"], pdf["alone"], pdf["grams"]):
+                grams.append(np.frombuffer(b, np.uint64)[:max(0, n - needed(n, percent) + 1 - alone)])
+                takes.append(len(grams[-1]))
+            yield pd.DataFrame({"gram": np.concatenate(grams).view(np.int64), "doc_id": np.repeat(pdf["doc_id"].to_numpy(), takes),
+                                "label": np.repeat(pdf["label"].to_numpy(), takes)})
+
+    return run
+
+
+def _cross_links(spark: SparkSession, sc: Scratch, large: DataFrame, percent: int) -> DataFrame:
+    """Second pass over large blocks: links between documents that the first pass left in different classes.
+
+    Only prefix n-grams that two classes share matter, so a document without
+    any takes no part, and blocks are formed anew from these n-grams.  Sizes
+    of partners are in the same or the next band, so chunks are of one band;
+    two chunks of one class do not meet.
+
+    large: doc_id, n, alone, grams, label (class of the first pass)."""
+    rows = sc.write(large.mapInPandas(_prefixes(percent), "gram long, doc_id long, label long"), "prefixes")
+    mixed = (rows.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("doc_id").alias("dst"))
+             .where("low != high").select("gram", "dst"))
+    near = rows.join(mixed, "gram").where("doc_id != dst").select(F.col("doc_id").alias("src"), "dst").distinct()
+    blocks = components(spark, near, "cross").withColumnRenamed("label", "block").withColumnRenamed("node", "doc_id")
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) * (1 - 1e-9)).cast("int")  # partners: bands differ by 1 at most
+    docs = sc.write(large.select("doc_id", "n", "grams", "label").join(blocks, "doc_id").withColumn("band", band), "cross-docs")
+    own = docs.groupBy("block", "band", "label").agg(F.count("*").alias("c"))
+    of = sc.write(own.withColumn("pure", F.when(F.col("c") > TILE, F.col("label")))
+                  .withColumn("all", F.sum("c").over(Window.partitionBy("block", "band", "pure")))
+                  .select("block", "band", "label", "pure", F.ceil(F.col("all") / TILE).cast("int").alias("k")), "cross-of")
+    chunks = sc.write(of.select("block", "band", "pure", "k").distinct()
+                      .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+                      .select("block", "band", "pure", "chunk", F.xxhash64("block", "band", "pure", F.col("pure").isNull(), "chunk").alias("id")),
+                      "cross-chunks")
+    x, y = chunks.alias("x"), chunks.alias("y")
+    pairs = sc.write(x.join(y, "block").where("x.band = y.band and x.id <= y.id or x.band + 1 = y.band")
+                     .where("x.pure is null or y.pure is null or x.pure != y.pure")
+                     .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")), "cross-pairs")
+    sides = (pairs.select("a", "b", F.col("a").alias("id"), F.lit(0).alias("side"))
+             .unionByName(pairs.where("a != b").select("a", "b", F.col("b").alias("id"), F.lit(1).alias("side"))))
+    placed = (docs.join(of, ["block", "band", "label"])
+              .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
+              .withColumn("id", F.xxhash64("block", "band", "pure", F.col("pure").isNull(), "chunk")))
+    tiles = placed.join(sides, "id").select(F.struct("a", "b").alias("tile"), (F.col("a") != F.col("b")).alias("cross"),
+                                            "doc_id", "n", "grams", "side", "label")
+    return _link(tiles, percent)
+
+
 def jaccard_classes(documents: DataFrame, n: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document."""
     spark = prepare(documents.sparkSession)
     sc = Scratch(spark)
     text = F.coalesce("text", F.lit(""))
     heads = sc.write(documents.where("doc_id is not null").groupBy("doc_id")
-                     .agg(F.min(F.struct(F.md5(text.cast("binary")).alias("digest"), F.length(text).alias("chars"))).alias("t"))
-                     .select("doc_id", "t.*"), "heads")
+                     .agg(F.min(F.struct(F.md5(text.cast("binary")).alias("digest"), F.length(text).alias("chars"))).alias("t"),
+                          F.max(F.md5(text.cast("binary"))).alias("last"))
+                     .select("doc_id", "t.*", "last"), "heads")
     total = heads.agg(F.sum("chars")).first()[0] or 0
     first = sc.write(heads.groupBy("digest").agg(F.min("doc_id").alias("rep")), "first")
     member = sc.write(heads.select("doc_id", "digest").join(first, "digest").select("doc_id", "rep"), "member")
     copies = member.where("rep != doc_id").select("doc_id")
     texts = (documents.where("doc_id is not null").select("doc_id", "text")
              .join(broadcast_if_bounded(copies), "doc_id", "left_anti"))
+    unequal = heads.where("digest != last").select("doc_id", "digest")
+    if unequal.limit(1).count():
+        texts = (texts.join(broadcast_if_bounded(unequal), "doc_id", "left")
+                 .where(F.col("digest").isNull() | (F.md5(text.cast("binary")) == F.col("digest"))).select("doc_id", "text"))
 
     buckets = bucket_count(total)
     packed = texts.mapInPandas(_pack(n, buckets), _PACKED)
@@ -363,21 +461,20 @@ def jaccard_classes(documents: DataFrame, n: int = 4, percent: int = 85) -> Data
 
     count = sc.write(blocks.groupBy("block").agg(F.count("*").alias("c"))
                      .select("block", F.ceil(F.col("c") / TILE).cast("int").alias("k")).where("k > 1"), "count")
-    placed = (able.select("doc_id", "n", "grams").join(blocks.withColumnRenamed("node", "doc_id"), "doc_id")
-              .join(broadcast_if_bounded(count), "block", "left")
-              .withColumn("k", F.coalesce("k", F.lit(1)))
-              .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("k")).cast("int"))
-              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-              .select("block", F.least("chunk", "other").alias("a"), F.greatest("chunk", "other").alias("b"),
-                      "doc_id", "n", "grams", "chunk"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (placed.repartition(parts, "block", "a", "b").sortWithinPartitions("block", "a", "b")
-             .mapInPandas(_tiles(percent), "src long, dst long"))
+    placed = sc.write(able.join(blocks.withColumnRenamed("node", "doc_id"), "doc_id")
+                      .join(broadcast_if_bounded(count), "block", "left").withColumn("k", F.coalesce("k", F.lit(1))), "placed")
+    links = sc.write(_chunk_links(placed.drop("alone"), percent), "links")
+    if count.limit(1).count():
+        first_classes = components(spark, links, "chunked").withColumnRenamed("node", "doc_id")
+        large = sc.write(placed.where("k > 1").select("doc_id", "n", "alone", "grams").join(first_classes, "doc_id", "left")
+                         .withColumn("label", F.coalesce("label", "doc_id")), "large")
+        links = links.unionByName(sc.write(_cross_links(spark, sc, large, percent), "cross-links"))
     classes = components(spark, links, "class").withColumnRenamed("node", "rep")
 
     of = sets.select(F.col("doc_id").alias("rep"), "n").join(classes, "rep", "left")
     of = sc.write(of.select("rep", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id")), "of")
-    sc.drop("heads", "first", "stars", "sets", "count")
+    sc.drop("heads", "first", "stars", "sets", "count", "placed", "links", "large", "prefixes", "cross-docs", "cross-of",
+            "cross-chunks", "cross-pairs", "cross-links")
     # empty documents link with nothing, not even with other empty ones
     done = member.join(of, "rep").select(
         "doc_id", "n_shingles",

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from cardlake.llm import jaccard_trie as J
-from cardlake.llm.common import components
+from cardlake.llm.common import Scratch, components
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -65,13 +65,44 @@ def test_a_block_of_many_chunks(spark, monkeypatch):
     rows = []
     for i in range(150):
         own = list(base)
-        for at in rng.integers(0, 80, 2):
+        for at in rng.integers(0, 80, 2 + i % 4):
             own[at] = f"x{rng.integers(5)}"
         rows.append((i, " ".join(own)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows, 4, 85)
 
 
+def test_links_of_a_group_stay_linear(spark):
+    """Near copies in chunks: the first pass gives fewer than two links a document and one class, so no chunks meet again."""
+    for size in (512, 2048):
+        rows = [(i, 40, 0, np.arange(40, dtype=np.uint64).tobytes(), 0, size // J.TILE) for i in range(size)]
+        placed = spark.createDataFrame(rows, "doc_id long, n long, alone int, grams binary, block long, k int")
+        links = J._chunk_links(placed.drop("alone"), 85).collect()
+        assert size - 1 <= len(links) < 2 * size
+        sc = Scratch(spark)
+        large = placed.withColumnRenamed("block", "label").drop("k")
+        assert J._cross_links(spark, sc, large, 85).count() == 0
+
+
+def test_a_tile_joins_two_classes_once():
+    seq = list(range(20))
+    docs = [(i, 20, seq, i % 2, i % 2) for i in range(50)]
+    assert len(J.link_tile(docs, 85, True)) == 1
+    assert J.link_tile(docs[::2], 85, False) == []
+
+
+def test_several_texts_under_one_id(spark):
+    a, b = "a b c d e f g h", "m n o p q r s t"
+    rows = [(1, a), (1, b), (2, a), (3, b)]
+    got = {r.doc_id: r.component_id for r in J.jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == 3 and got[2] != got[3] and got[1] == 1 and 1 in (got[2], got[3])
+
+
+def test_homes_do_not_follow_the_stride_of_ids():
+    count = np.bincount(J.home_of(np.arange(10_000, dtype=np.int64) * 1024, 64), minlength=64)
+    assert count.max() < 250
+
+
 def test_defined_cases(spark):
     long = " ".join(f"q{k % 5000}" for k in range(60000))
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one TWO"), (6, "one two three"), (7, "a b c d e f"), (7, "a b c d e f"),

@@ -97,6 +97,15 @@ def walk(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray, steps: int,
     return out
 
 
+def _sample(rng, steps: int) -> np.ndarray:
+    """Sampled steps, at least two apart where there is room: neighbours often read the same word twice."""
+    count = min(SAMPLED, steps)
+    room = steps - count + 1
+    if room < count:
+        return np.sort(rng.choice(steps, count, replace=False))
+    return np.sort(rng.choice(room, count, replace=False)) + np.arange(count)
+
+
 class ItemIndex:
     """The tables of one block of items, by class of length of their pieces."""
 
@@ -107,6 +116,7 @@ class ItemIndex:
         #: (item position, first word in the item, words)
         self.pieces = sorted(((i, a, w[a:b]) for i, (_, w) in enumerate(self.items) for a, b in pieces(len(w))), key=lambda x: len(x[2]))
         self.known = np.zeros(1 << _BITS, np.uint64)  # of each word pair: the classes that have it, as bits
+        self.item_pairs: dict[int, np.ndarray] = {}  # item position -> its word pairs, once needed
         self.classes = []
         rng = np.random.default_rng(seed)
         k = 0
@@ -127,7 +137,7 @@ class ItemIndex:
         low, high = len(self.pieces[first][2]), len(self.pieces[last - 1][2])
         need = min(len(w) - 1 - 2 * allowed(len(w)) for _, _, w in self.pieces[first:last])
         steps = 2 * low  # a walk reads half a symbol a step: these steps stay within every piece of the class
-        picks = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(tables_needed())]
+        picks = [_sample(rng, steps) for _ in range(tables_needed())]
         c = {"span": high + allowed(high), "need": max(1, need), "steps": steps, "picks": picks, "tables": [defaultdict(list) for _ in picks]}
         symbols = np.concatenate([w for _, _, w in self.pieces[first:last]])
         size = np.array([len(w) for _, _, w in self.pieces[first:last]])
@@ -193,16 +203,34 @@ class ItemIndex:
             out[text, item] = runs
         return out
 
+    def _enough_pairs(self, item: int, pairs: np.ndarray) -> bool:
+        """Whether some passage as long as a match can be has the word pairs of the item that d edits leave."""
+        own = self.items[item][1]
+        n, d = len(own), allowed(len(own))
+        if item not in self.item_pairs:
+            self.item_pairs[item] = np.unique(pair_hashes(own))
+        known = self.item_pairs[item]
+        at = np.searchsorted(known, pairs)
+        at[at == len(known)] = 0
+        upto = np.zeros(len(pairs) + 1, np.int64)
+        np.cumsum(known[at] == pairs, out=upto[1:])
+        size = min(len(pairs), n + d - 1)
+        return int((upto[size:] - upto[:len(upto) - size]).max()) >= n - 1 - 2 * d
+
     def matches(self, texts: list[np.ndarray]) -> list[tuple[int, int, int, int, int]]:
         """(text, item position, distance, first word, end word) of each item's best passage within its allowance."""
-        out = []
+        out, pairs = [], (-1, None)
         for (text, item), runs in sorted(self.candidates(texts).items()):
             own, w = self.items[item][1], texts[text]
             n, d = len(own), allowed(len(own))
             best = None
+            if pairs[0] != text:
+                pairs = text, pair_hashes(w)
             for a, b in runs:
                 low, high = max(0, a - 2 * d), min(len(w), b + n + 3 * d + 1)  # d before the piece, d around its window
-                dist, x, y = nearest_passage(own, w[low:high])
+                if not self._enough_pairs(item, pairs[1][low:max(low, high - 1)]):
+                    continue
+                dist, x, y = nearest_passage(own, w[low:high], d)
                 if dist <= d and (best is None or (dist, low + x) < best[:2]):
                     best = (dist, low + x, low + y)
             if best:
@@ -210,23 +238,29 @@ class ItemIndex:
         return out
 
 
-def nearest_passage(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
+def nearest_passage(item: np.ndarray, text: np.ndarray, most: int | None = None) -> tuple[int, int, int]:
     """(distance, start, end) of the passage of text nearest to item by word edits; the first of equals.
-    One row per item word; the insertions of a row are a running minimum."""
+    One row per item word; the insertions of a row are a running minimum.  When no passage is
+    within `most` edits, any distance above it may come back (a row's least value never falls)."""
     m = len(text)
     ramp = np.arange(m + 1)
     row, origin = np.zeros(m + 1, np.int64), ramp.copy()
+    swap, before = np.empty(m + 1, np.int64), np.zeros(m + 1, np.int64)
+    swap[0] = m + len(item) + 9
     for k, x in enumerate(item, 1):
         drop = row + 1
-        swap = np.r_[m + len(item) + 9, row[:-1] + (text != x)]
+        np.add(row[:-1], text != x, out=swap[1:])
         new = np.minimum(drop, swap)
         new[0] = k
-        from_ = np.where(swap <= drop, np.r_[0, origin[:-1]], origin)
+        before[1:] = origin[:-1]
+        from_ = np.where(swap <= drop, before, origin)
         from_[0] = 0
         slack = new - ramp
         run = np.minimum.accumulate(slack)
         at = np.maximum.accumulate(np.where(slack == run, ramp, 0))  # where the running minimum was last reached
         row, origin = run + ramp, from_[at]
+        if most is not None and row.min() > most:
+            break
     end = int(row.argmin())
     return int(row[end]), int(origin[end]), end
 

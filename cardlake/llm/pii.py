@@ -35,8 +35,10 @@ KINDS = ("email", "ip", "card", "phone")
 PER_KIND = 500
 NEGATIVE = 1000
 #: Training window, decoding window and its context on either side, in characters.
-TRAIN_WINDOW, WINDOW, CONTEXT = 96, 512, 32
-#: A span of the tagger has at least so many characters.
+TRAIN_WINDOW, WINDOW, CONTEXT = 96, 768, 32
+#: Characters of the windows that are decoded together.
+CELLS = 1024 * 512
+#: A span that the tagger adds has at least so many characters (base spans may be shorter).
 SHORTEST = 6
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -289,14 +291,15 @@ def decode(model: dict, chars: np.ndarray) -> np.ndarray:
 
 
 def windows_of(length: int) -> list[tuple[int, int, int, int]]:
-    """(start, end, first and last position that takes its tag from it) of a text's windows."""
+    """(start, end, first and last position that takes its tag from it) of a text's
+    windows: of equal length, as few as there can be, just long enough for the text."""
     if length <= WINDOW:
         return [(0, length, 0, length)]
-    step = WINDOW - 2 * CONTEXT
-    count = -(-(length - WINDOW) // step) + 1
-    starts = [min(k * step, length - WINDOW) for k in range(count)]
-    cuts = [0] + [(a + WINDOW + b) // 2 for a, b in zip(starts, starts[1:])] + [length]
-    return [(s, s + WINDOW, cuts[k], cuts[k + 1]) for k, s in enumerate(starts)]
+    count = -(-(length - 2 * CONTEXT) // (WINDOW - 2 * CONTEXT))
+    size = -(-(length + (count - 1) * 2 * CONTEXT) // count)
+    starts = [min(k * (size - 2 * CONTEXT), length - size) for k in range(count)]
+    cuts = [0] + [(a + size + b) // 2 for a, b in zip(starts, starts[1:])] + [length]
+    return [(s, s + size, cuts[k], cuts[k + 1]) for k, s in enumerate(starts)]
 
 
 def spans_of(tags: np.ndarray) -> list[tuple[str, int, int]]:
@@ -321,7 +324,7 @@ def _plausible(kind: str, found: str) -> bool:
     return 9 <= len(digits) <= 15 if kind == "phone" else "@" in found
 
 
-def tag_texts(model: dict | None, texts: list[str | None], base: list | None = None, batch: int = 1024) -> list[list[tuple[str, int, int]]]:
+def tag_texts(model: dict | None, texts: list[str | None], base: list | None = None, cells: int = CELLS) -> list[list[tuple[str, int, int]]]:
     """All spans (base and added) of each text; `base`: its base spans, if known."""
     base = [base_spans(t) for t in texts] if base is None else base
     if model is None:
@@ -330,9 +333,11 @@ def tag_texts(model: dict | None, texts: list[str | None], base: list | None = N
     jobs = [(b - a, d, a, b, x, y) for d, c in enumerate(chars) if len(c) for a, b, x, y in windows_of(len(c))]
     jobs.sort(key=lambda j: j[0])
     found: dict[int, np.ndarray] = {}
-    for k in range(0, len(jobs), batch):
-        part = jobs[k:k + batch]
-        steps = part[-1][0]
+    done = len(jobs)
+    while done:  # longest first
+        steps = jobs[done - 1][0]
+        first = max(0, done - min(1024, max(1, cells // steps)))
+        part, done = jobs[first:done], first
         block = np.full((len(part), steps), PAD, np.uint8)
         for r, (n, d, a, b, _, _) in enumerate(part):
             block[r, :n] = chars[d][a:b]

@@ -66,7 +66,7 @@ def test_viterbi_and_the_margin_proof():
 
 
 def test_windows_cover_every_position():
-    for n in (1, 511, 512, 513, 900, 960, 961, 5000):
+    for n in (1, 511, 767, 768, 769, 1472, 1473, 5000):
         w = P.windows_of(n)
         assert w[0][2] == 0 and w[-1][3] == n
         assert all(x[3] == y[2] for x, y in zip(w, w[1:]))
@@ -74,6 +74,13 @@ def test_windows_cover_every_position():
         assert all((x - a >= P.CONTEXT or a == 0) and (b - y >= P.CONTEXT or b == n) for a, b, x, y in w)
 
 
+def test_windows_read_little_twice():
+    for n in range(769, 6000, 37):
+        w = P.windows_of(n)
+        assert len({b - a for a, b, _, _ in w}) == 1
+        assert sum(b - a for a, b, _, _ in w) < n + (2 * P.CONTEXT + 1) * len(w)
+
+
 def texts(rng, n):
     word = lambda: "".join(rng.choice(list("abcdeilmnorst"), rng.integers(2, 9)))
     out = []

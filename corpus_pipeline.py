@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and reread as the next stage's docs.  All columns of docs
-stay, extra ones too; a document with a null doc_id or text is kept unless a
+stay, extra ones too, up to the last stage, which returns the encoded documents
+(doc_id, lang, source, ids and digests) instead of their texts; a document with a null doc_id or text is kept unless a
 stage finds something in its text.
 """
 
@@ -28,15 +29,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document (the smallest id) of each class of the n-gram Jaccard join
-    (operator 5): five-word shingles, similarity 0.8 or more.  Rows that
-    repeat a doc_id are one document; those with a null doc_id all stay."""
-    classes = jaccard_classes(docs.select("doc_id", "text"), n=5, percent=80)
-    keep = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id")
-    kept = docs.join(keep, "doc_id", "left_semi")
-    repeated = docs.groupBy("doc_id").count().where("doc_id is not null and count > 1").limit(1).count()
-    if repeated:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    (operator 5): five-word shingles, similarity 0.8 or more.  Where a doc_id
+    repeats, each of its texts is a document of its own, known by a hash of id
+    and text; rows equal in both are one.  Rows with a null doc_id all stay."""
+    known = docs.where("doc_id is not null")
+    if known.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        known = known.withColumn("__key", F.xxhash64("doc_id", "text", F.col("text").isNull())).dropDuplicates(["__key"])
+    else:
+        known = known.withColumn("__key", F.col("doc_id"))
+    classes = jaccard_classes(known.select(F.col("__key").alias("doc_id"), "text"), n=5, percent=80)
+    keep = classes.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("__key"))
+    return known.join(keep, "__key", "left_semi").select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

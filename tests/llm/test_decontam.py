@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from cardlake.llm.decontam import ItemIndex, allowed, find_contamination, nearest_passage, words_of
+from cardlake.llm.decontam import ItemIndex, allowed, find_contamination, nearest_passage, pair_hashes, words_of
 
 
 def plain_distance(item, text):
@@ -104,3 +104,21 @@ def test_rows(spark):
     assert (row.start, row.end) == (2, 2 + len(item))
     assert find_contamination(docs.limit(0), bench).count() == 0
     assert find_contamination(docs, bench.limit(0)).count() == 0
+
+
+def test_bounds_before_the_exact_distance_lose_nothing():
+    rng = np.random.default_rng(8)
+    for _ in range(400):
+        n = int(rng.integers(3, 40))
+        item = rng.integers(1, 30, n).astype(np.uint64)
+        own = item.tolist()
+        for _ in range(int(rng.integers(0, allowed(n) + 3))):
+            at = int(rng.integers(len(own) + 1))
+            own[at:at + int(rng.integers(0, 2))] = rng.integers(1, 30, int(rng.integers(0, 2))).tolist()
+        text = np.array([*rng.integers(1, 30, 9), *own, *rng.integers(1, 30, 9)], np.uint64)
+        index = ItemIndex([])
+        index.items = [(0, item)]
+        exact, d = nearest_passage(item, text), allowed(n)
+        short = nearest_passage(item, text, d)
+        assert short == exact if exact[0] <= d else short[0] > d
+        assert index._enough_pairs(0, pair_hashes(text)) or exact[0] > d

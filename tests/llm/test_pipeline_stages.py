@@ -90,3 +90,12 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], docs.schema)
     for _, f in C.STAGES:
         assert f(spark, empty, SF).count() == 0
+
+
+def test_different_texts_under_one_id_are_no_copies(spark):
+    a, b = "a b c d e f g h i j", "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, a), (1, b), (1, b), (2, a), (3, "alone in here"), (None, a)], "doc_id long, text string")
+    kept = C.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == ["doc_id", "text"]
+    rows = [tuple(r) for r in kept.collect()]
+    assert sorted(t for i, t in rows if i) == sorted([a, b, "alone in here"]) and (1, b) in rows and (None, a) in rows

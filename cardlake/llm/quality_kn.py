@@ -1,19 +1,19 @@
 """Quality: interpolated modified Kneser-Ney perplexity, thresholded per language.
 
-A word bigram model is trained on a bounded sample of trusted documents
-(label quality 1, `TRUSTED` at most, in the order of a hash of the id).  Its
-vocabulary are the sample's `VOCABULARY` most frequent words that occur
-twice; every other word, and the place before the first, is the unknown word,
-which a byte-pair model of the sample's words spells out.
-What has the size of the vocabulary (continuation probabilities, back-off
-weights, bigrams with the unknown word) goes to every executor.  The bigram
-counts are sharded by the context word, and the documents' bigrams are joined
-to them by shard: packed, in rows of at most `PIECE` bigrams.  Each row meets
-its shard's one row of counts in a plain join and is summed in a stream, so a
-task holds a few rows, however many a frequent word has, and AQE can split a
-shard's rows over tasks.  Sums return packed to the documents.
-
-Half of the trusted documents (by a hash of the id) may be in the sample.  A
+A word bigram model is trained on all trusted documents (label quality 1) of
+one half, by a hash of the id.  Its vocabulary are their `VOCABULARY` most
+frequent words that occur twice; every other word, and the place before the
+first, is the unknown word, which a byte-pair model of their words spells out.
+Words and bigrams are counted in Spark.  What has the size of the vocabulary
+(continuation probabilities, back-off weights, bigrams with the unknown word)
+goes to every executor.  The bigram counts are sharded by the context word,
+and the documents' bigrams meet them by shard: packed, in rows of at most
+`PIECE` bigrams, sorted behind their shard's counts and summed in a stream,
+so a task holds one shard's counts and a few rows, however many a frequent
+word has.  Above `SLOT_CHARS` characters a shard's rows are dealt to several
+slots, each with its copy of the counts.  Sums return packed to the documents.
+
+A
 document is kept if its perplexity is at most the `QUANTILE` quantile of the
 perplexities of all trusted documents of the other half in its language (in
 all languages if its language has none).
@@ -25,7 +25,6 @@ language of its own; without any trusted document nothing is kept.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,16 +33,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import Scratch, WordHash, hash_order, prepare, table
+from cardlake.llm.common import Scratch, WordHash, prepare, table
 from cardlake.operators.joins import broadcast_if_bounded
 
-TRUSTED = 6000
 VOCAB_BITS = 17
 VOCABULARY = (1 << VOCAB_BITS) - 1
 QUANTILE = 0.995
 #: A shard of the bigram counts for each so many characters of input, at least so many, rounded up to a power of two.
 SHARD_CHARS, LEAST_SHARDS = 256 << 20, 64
+#: Slots of a shard: one for each so many characters of input.
+SLOT_CHARS = 4 << 30
 FLUSH = 3_000_000
+#: Places of byte pairs among the counted keys: behind those of all word pairs.
+SPELLED = 1 << 2 * VOCAB_BITS
 #: Bigrams of one row at most.
 PIECE = 1 << 16
 
@@ -87,7 +89,11 @@ def words_of(text: str | None) -> list[bytes]:
 
 def discounts(counts: np.ndarray) -> np.ndarray:
     """Modified Kneser-Ney discounts for counts 0, 1, 2 and 3 or more, from the counts of counts."""
-    n = [float((counts == k).sum()) for k in (1, 2, 3, 4)]
+    return discounts_of([float((counts == k).sum()) for k in (1, 2, 3, 4)])
+
+
+def discounts_of(n: list[float]) -> np.ndarray:
+    """The same from the numbers of counts 1, 2, 3 and 4."""
     if min(n[:3]) == 0 or n[0] + 2 * n[1] == 0:
         return np.array([0.0, 0.5, 0.75, 0.9])
     y = n[0] / (n[0] + 2 * n[1])
@@ -107,30 +113,38 @@ def kneser_ney(v: np.ndarray, w: np.ndarray, c: np.ndarray, size: int) -> dict:
     has = total > 0
     backoff[has] = np.bincount(v, taken, size)[has] / total[has]
     follow = np.bincount(w, minlength=size)  # different words before w
-    d1 = discounts(follow[follow > 0])
-    taken1 = d1[np.minimum(follow, 3)]
-    n = max(1, follow.sum())
-    lower = (follow - taken1) / n + taken1.sum() / n / size
-    if not len(c):
-        lower = np.full(size, 1.0 / size)
-    return {"seen": seen, "backoff": backoff, "lower": lower}
+    return {"seen": seen, "backoff": backoff, "lower": continuation(follow)}
+
+
+def continuation(follow: np.ndarray) -> np.ndarray:
+    """Different words before each word -> the lower order's probabilities."""
+    size, n = len(follow), follow.sum()
+    if not n:
+        return np.full(size, 1.0 / size)
+    d = discounts(follow[follow > 0])
+    taken = d[np.minimum(follow, 3)]
+    return (follow - taken) / n + taken.sum() / n / size
 
 
 #: One half of the trusted documents may teach the model, the other half sets the thresholds.
 _TAUGHT = "pmod(xxhash64(13, doc_id), 2) = 0"
 
 
+#: So many ids are broadcast at most (long keys); beyond, texts of that half meet them in a shuffle.
+TAUGHT_BROADCAST = 4_000_000
+
+
 def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("q")).where("q = 1").select("doc_id")
 
 
 def train(documents: DataFrame, labels: DataFrame, shards: int) -> dict | None:
-    """The tables of vocabulary size for broadcast, and `shards`: the counts of known pairs by shard, written."""
+    """The tables of vocabulary size for broadcast, and `counts`: the counts of known pairs by shard, written."""
     spark = prepare(documents.sparkSession)
     sc = Scratch(spark)
-    ids = (documents.select("doc_id").join(trusted_ids(labels), "doc_id", "left_semi").where(_TAUGHT).distinct()
-           .orderBy(*hash_order()).limit(TRUSTED))
-    sample = sc.write(documents.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi"), "trusted")
+    ids = sc.write(trusted_ids(labels).where(_TAUGHT), "taught")
+    texts = documents.select("doc_id", "text").where(_TAUGHT).join(broadcast_if_bounded(ids, TAUGHT_BROADCAST), "doc_id", "left_semi")
+    taught = sc.write(texts, "trusted")
 
     def count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHash()
@@ -140,74 +154,86 @@ def train(documents: DataFrame, labels: DataFrame, shards: int) -> dict | None:
                 h, n = np.unique(np.concatenate(h), return_counts=True)
                 yield pd.DataFrame({"h": h.view(np.int64), "n": n})
 
-    words = sample.mapInPandas(count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    words = taught.mapInPandas(count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
     known = words.orderBy(F.desc("n"), "h").limit(VOCABULARY).select("h").toPandas()["h"].to_numpy(np.int64)
     hashes = np.sort(known.view(np.uint64))
     size = len(hashes) + 1
     shared = spark.sparkContext.broadcast(hashes)
 
-    def count_spelling(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(1 << 16, np.int64)
-        for pdf in batches:
-            for word in {w for t in pdf["text"] for w in words_of(t)}:
-                np.add.at(n, spelled(word), 1)
-        at = np.flatnonzero(n)
-        yield pd.DataFrame({"at": at, "n": n[at]})
-
-    letters = sample.mapInPandas(count_spelling, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
-    spelling = np.full(1 << 16, 0.1)
-    spelling[letters["at"].to_numpy(np.int64)] += letters["n"].to_numpy(float)
-    spelling = spelling.reshape(256, 256)
-    spelling = np.log(spelling / spelling.sum(1, keepdims=True)).astype(np.float32).ravel()
-
     def count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = Vocabulary(shared.value)
         for pdf in batches:
-            keys = []
+            keys, spelt = [], set()
             for t in pdf["text"]:
-                w, _ = vocabulary.ids(t)
-                if len(w):
+                words = words_of(t)
+                if words:
+                    w = np.fromiter(map(vocabulary.__getitem__, words), np.float64, len(words)).astype(np.int64)
                     keys.append(np.r_[0, w[:-1]] << VOCAB_BITS | w)
+                    spelt.update(words)
+            if spelt:
+                b = np.frombuffer(b"\0" + b"\0".join(spelt) + b"\0", np.uint8).astype(np.int64)
+                keys.append(SPELLED + (b[:-1] << 8 | b[1:]))
             if keys:
                 k, n = np.unique(np.concatenate(keys), return_counts=True)
                 yield pd.DataFrame({"k": k, "n": n})
 
-    pairs = sample.mapInPandas(count_pairs, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    fitted = sc.write(pairs.repartition(1).mapInPandas(_fit(size, shards), "shard int, keys binary, seen binary"), "counts")  # of TRUSTED documents
-    sc.drop("trusted")
-    tables = fitted.where("shard < 0").collect()  # four numbers a word of the vocabulary
-    if not tables:
+    counted = sc.write(taught.mapInPandas(count_pairs, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "pairs")
+    sc.drop("trusted", "taught")
+    if not counted.limit(1).count():
         return None
-    counts = spark.read.schema(fitted.schema).parquet(sc.paths["counts"]).where("shard >= 0")
-    return {"hashes": hashes, "spelling": spelling, **pickle.loads(bytes(tables[0]["keys"])), "counts": counts}
-
-
-def _fit(size: int, shards: int):
-    """Counts of word pairs of the bounded sample -> the counts by shard, and (shard -1) the tables of vocabulary size."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [(b["k"].to_numpy(np.int64), b["n"].to_numpy(np.int64)) for b in batches if len(b)]
-        if not parts:
-            return
-        k, c = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(k)
-        k, c = k[order], c[order]
-        v, w = k >> VOCAB_BITS, k & VOCABULARY
-        m = kneser_ney(v, w, c, size)
-        before, after = np.zeros(size), np.zeros(size)
-        before[w[v == 0]] = m["seen"][v == 0]
-        after[v[w == 0]] = m["seen"][w == 0]
-        f = lambda a: a.astype(np.float32)
-        tables = {"backoff": f(m["backoff"]), "lower": f(m["lower"]), "before": f(before), "after": f(after)}
-        yield pd.DataFrame({"shard": [-1], "keys": [pickle.dumps(tables)], "seen": [b""]})
-        both = (v > 0) & (w > 0)
-        v, w, seen = v[both], w[both], f(m["seen"][both])
-        shard, key = v % shards, ((v // shards) << VOCAB_BITS | w).astype(np.uint32)
-        order = np.lexsort((key, shard))
-        shard, key, seen = shard[order], key[order], seen[order]
-        cut = np.searchsorted(shard, np.arange(shards + 1))
-        yield pd.DataFrame([(s, key[cut[s]:cut[s + 1]].tobytes(), seen[cut[s]:cut[s + 1]].tobytes()) for s in range(shards)],
-                           columns=["shard", "keys", "seen"])
+    letters = counted.where(F.col("k") >= SPELLED).toPandas()  # at most 65,536
+    spelling = np.full(1 << 16, 0.1)
+    spelling[letters["k"].to_numpy(np.int64) - SPELLED] += letters["n"].to_numpy(float)
+    spelling = spelling.reshape(256, 256)
+    spelling = np.log(spelling / spelling.sum(1, keepdims=True)).astype(np.float32).ravel()
+    pairs = counted.where(F.col("k") < SPELLED).select(F.expr(f"k div {1 << VOCAB_BITS}").alias("v"), F.expr(f"k % {1 << VOCAB_BITS}").alias("w"), "n")
+    tables = _tables(pairs, size)
+    d, total = tables.pop("discounts"), tables.pop("total")
+    packed = (pairs.where("v > 0 and w > 0").withColumn("shard", (F.col("v") % shards).cast("int"))
+              .groupBy("shard").applyInPandas(_pack(spark.sparkContext.broadcast((d, total)), shards), "shard int, keys binary, seen binary"))
+    counts = sc.write(packed, "counts")
+    sc.drop("pairs")
+    return {"hashes": hashes, "spelling": spelling, **tables, "counts": counts}
+
+
+def _tables(pairs: DataFrame, size: int) -> dict:
+    """Counts of all word pairs (v, w, n) -> the model's tables, each of vocabulary size; no table of pairs leaves Spark."""
+    classes = [F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    d = discounts_of([float(x or 0) for x in pairs.agg(*classes).first()])
+
+    def by(df: DataFrame, col: str, **columns) -> list[np.ndarray]:
+        got = df.groupBy(col).agg(*[c.alias(k) for k, c in columns.items()]).toPandas()
+        out = []
+        for k in columns:
+            a = np.zeros(size, np.int64)
+            a[got[col].to_numpy(np.int64)] = got[k].to_numpy(np.int64)
+            out.append(a)
+        return out
+
+    total, one, two, more = by(pairs, "v", total=F.sum("n"), one=F.count_if(F.col("n") == 1), two=F.count_if(F.col("n") == 2),
+                               more=F.count_if(F.col("n") > 2))
+    [follow] = by(pairs, "w", follow=F.count(F.lit(1)))
+    [first] = by(pairs.where("v = 0"), "w", n=F.sum("n"))
+    [last] = by(pairs.where("w = 0"), "v", n=F.sum("n"))
+    backoff, has = np.ones(size), total > 0
+    backoff[has] = (one * d[1] + two * d[2] + more * d[3])[has] / total[has]
+    seen = lambda c, n: ((c - d[np.minimum(c, 3)]) / np.maximum(n, 1)).astype(np.float32)
+    return {"backoff": backoff.astype(np.float32), "lower": continuation(follow).astype(np.float32),
+            "before": seen(first, total[0]), "after": seen(last, total), "discounts": d, "total": total}
+
+
+def _pack(shared, shards: int):
+    """Counts of a shard's word pairs -> rows of at most `PIECE` pairs, ascending."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        d, total = shared.value
+        v, w, c = (pdf[x].to_numpy(np.int64) for x in ("v", "w", "n"))
+        seen = ((c - d[np.minimum(c, 3)]) / total[v]).astype(np.float32)
+        key = ((v // shards) << VOCAB_BITS | w).astype(np.uint32)
+        order = np.argsort(key)
+        key, seen = key[order], seen[order]
+        return pd.DataFrame([(int(pdf["shard"].iloc[0]), key[a:a + PIECE].tobytes(), seen[a:a + PIECE].tobytes()) for a in range(0, len(key), PIECE)],
+                            columns=["shard", "keys", "seen"])
 
     return run
 
@@ -272,11 +298,9 @@ _SUMS = "home int, docs binary, logs binary, words binary"
 
 
 def _join(shared, shards: int, homes: int):
-    """Rows of pairs, each beside its shard's counts (`table`, `seen`) -> the documents' sums, packed by home."""
+    """A shard's counts (`table` rows) and behind them its rows of pairs -> the documents' sums, packed by home."""
 
-    def one(m: dict, s, d, n, k, logs, words, table_, seen) -> Iterator[tuple]:
-        table_ = np.r_[np.frombuffer(table_ or b"", np.uint32), np.uint32(0xFFFFFFFF)]  # the last: none
-        seen = np.r_[np.frombuffer(seen or b"", np.float32), np.float32(0)]
+    def one(m: dict, s, table_, seen, d, n, k, logs, words) -> Iterator[tuple]:
         ids, n, key = np.cumsum(np.frombuffer(d, np.int64)), np.frombuffer(n, np.uint32), np.frombuffer(k, np.uint32)
         at = np.searchsorted(table_, key)
         hit = np.where(table_[at] == key, seen[at], 0)
@@ -294,8 +318,21 @@ def _join(shared, shards: int, homes: int):
             yield (h, np.diff(ids[o], prepend=0).tobytes(), total[o].astype(np.float32).tobytes(), size[o].tobytes() if words else b"")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of, pieces, counts = None, [], None
         for pdf in batches:
-            rows = (x for r in pdf.itertuples(index=False, name=None) for x in one(shared.value, *r))
+            rows = []
+            for s, slot, piece, d, n, k, logs, words in pdf.itertuples(index=False, name=None):
+                if (s, slot) != of:
+                    of, pieces, counts = (s, slot), [], None
+                if piece >= 0:
+                    pieces.append((np.frombuffer(k, np.uint32), np.frombuffer(logs, np.float32)))
+                    continue
+                if counts is None:
+                    keys, seen = zip(*pieces) if pieces else ((), ())  # in any order: keys tell theirs
+                    keys, seen = np.concatenate([np.empty(0, np.uint32), *keys]), np.concatenate([np.empty(0, np.float32), *seen])
+                    order, pieces = np.argsort(keys, kind="stable"), []
+                    counts = np.r_[keys[order], np.uint32(0xFFFFFFFF)], np.r_[seen[order], np.float32(0)]  # the last: none
+                rows += one(shared.value, s, *counts, d, n, k, logs, words)
             yield pd.DataFrame(rows, columns=["home", "docs", "logs", "words"])
 
     return run
@@ -324,9 +361,14 @@ def perplexities(documents: DataFrame, labels: DataFrame) -> DataFrame | None:
     counts = model.pop("counts")
     shared = spark.sparkContext.broadcast(model)  # five arrays of the size of the vocabulary
     events = texts.mapInPandas(_deal(shared, shards), _EVENTS)
-    counts = counts.select("shard", F.col("keys").alias("table"), "seen")  # one row a shard
-    joined = events.join(counts.hint("shuffle_hash"), "shard", "left").select(*events.columns, "table", "seen")
-    sums = joined.mapInPandas(_join(shared, shards, shards), _SUMS)
+    slots = max(1, chars // SLOT_CHARS)
+    slot = F.pmod(F.xxhash64("docs"), F.lit(slots)).cast("int")
+    none = F.lit(b"")
+    table_ = counts.select("shard", F.explode(F.sequence(F.lit(0), F.lit(int(slots) - 1))).alias("slot"), F.lit(0).alias("piece"),
+                           none.alias("docs"), none.alias("sizes"), "keys", F.col("seen").alias("logs"), none.alias("words"))
+    dealt = events.select("shard", slot.alias("slot"), F.lit(-1).alias("piece"), "docs", "sizes", "keys", "logs", "words")
+    met = table_.unionByName(dealt).repartition("shard", "slot").sortWithinPartitions("shard", "slot", F.desc("piece"))
+    sums = met.mapInPandas(_join(shared, shards, shards), _SUMS)
     return sc.write(sums.groupBy("home").applyInPandas(lambda pdf: _gather(pdf), "doc_id long, n_words long, perplexity double"), "ppl")
 
 

@@ -92,3 +92,38 @@ def test_decisions(spark, tables):
     none = Q.classify(docs, labels.limit(0))
     assert not any(r.keep for r in none.collect())
     assert Q.classify(docs.limit(0), labels).count() == 0
+
+
+def test_every_trusted_document_of_the_half_teaches(spark):
+    docs = spark.range(15000).selectExpr("id as doc_id", "concat('a b w', id, ' w', id) as text")
+    labels = spark.range(15000).selectExpr("id as doc_id", "1 as quality")
+    model = Q.train(docs, labels, 8)
+    taught = docs.where(Q._TAUGHT).count()
+    assert taught > 6000
+    assert len(model["hashes"]) == taught + 2  # each document's own word occurs twice in it
+    known = sum(len(r["keys"]) // 4 for r in model["counts"].collect())
+    assert known == 1 + 2 * taught  # a b; b w<id>, w<id> w<id>
+
+
+def test_tables_equal_those_of_one_task(spark):
+    rng = np.random.default_rng(4)
+    size, shards = 40, 4
+    k = np.unique(rng.integers(0, size * size, 700))
+    v, w, c = k // size, k % size, rng.geometric(0.4, len(k))
+    m = Q.kneser_ney(v, w, c, size)
+    got = Q._tables(spark.createDataFrame([tuple(map(int, x)) for x in zip(v, w, c)], "v long, w long, n long"), size)
+    assert np.allclose(got["backoff"], m["backoff"]) and np.allclose(got["lower"], m["lower"])
+    for name, pick, at in (("before", v == 0, w), ("after", w == 0, v)):
+        want = np.zeros(size)
+        want[at[pick]] = m["seen"][pick]
+        assert np.allclose(got[name], want)
+
+
+def test_slots_change_nothing(spark, tables, monkeypatch):
+    rows, docs, labels = tables
+    one = {r.doc_id: r.perplexity for r in Q.perplexities(docs, labels).collect()}
+    monkeypatch.setattr(Q, "SLOT_CHARS", 50_000)
+    monkeypatch.setattr(Q, "FLUSH", 3000)
+    many = {r.doc_id: r.perplexity for r in Q.perplexities(docs, labels).collect()}
+    assert one.keys() == many.keys()
+    assert all(one[i] == many[i] or abs(np.log(one[i] / many[i])) < 1e-3 for i in one)

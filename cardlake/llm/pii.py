@@ -263,17 +263,21 @@ def fit(chars: np.ndarray, tags: np.ndarray, epochs: int = 18, batch: int = 128,
 
 def viterbi(emit: np.ndarray, trans: np.ndarray) -> np.ndarray:
     """Best tags of emissions (steps, batch, tags)."""
-    steps, batch, k = emit.shape
-    back = np.empty((steps, batch, k), np.int8)
-    best = emit[0]
+    return _best_tags(np.array(emit.transpose(0, 2, 1), order="C"), trans)
+
+
+def _best_tags(emit: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Best tags of emissions (steps, tags, batch), which become the scores of the
+    best paths to each tag: the way back asks them for the tags on it only."""
+    steps, k, batch = emit.shape
+    all_, step = np.empty((k, k, batch), emit.dtype), trans[:, :, None]
     for t in range(1, steps):
-        all_ = best[:, :, None] + trans[None]
-        back[t] = all_.argmax(1)
-        best = all_.max(1) + emit[t]
+        np.add(emit[t - 1][:, None], step, out=all_)
+        emit[t] += all_.max(0)
     tags = np.empty((steps, batch), np.int8)
-    tags[-1] = best.argmax(1)
+    tags[-1] = emit[-1].argmax(0)
     for t in range(steps - 1, 0, -1):
-        tags[t - 1] = back[t][np.arange(batch), tags[t]]
+        tags[t - 1] = (emit[t - 1] + trans[:, tags[t]]).argmax(0)
     return tags
 
 
@@ -286,7 +290,7 @@ def decode(model: dict, chars: np.ndarray) -> np.ndarray:
     doubt = np.flatnonzero(margin < 2 * max(0.0, float(trans.max() - trans[0, 0])))
     tags = np.zeros(chars.shape, np.int8)
     if len(doubt):
-        tags[:, doubt] = viterbi(emit[:, :, doubt].transpose(0, 2, 1), trans)
+        tags[:, doubt] = _best_tags(emit[:, :, doubt], trans)
     return tags
 
 

@@ -4,9 +4,11 @@ through the whole-table cleaning job, then looked up by id."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import raw_frame
 
@@ -237,3 +239,28 @@ def test_tx_dedup_before_amount_filter(spark):
     rows = [{"id": "1", "amount": "oops"}, {"id": "1", "amount": "$5.00"}, {"id": "2", "amount": "$6.00"}]
     out = clean_transactions(raw_frame(spark, "transactions_data", rows))
     assert sorted(r["id"] for r in out.collect()) == [2]
+
+
+def test_trimming_looks_at_the_ends_only(spark):
+    """Every whitespace character, by `trim` and not by a pattern tried at each place."""
+    from cardlake.functions.dates import day_name, parse_timestamp
+    from cardlake.functions.numbers import try_integer_text, try_number
+    from cardlake.functions.text import WS, WS_CHARS, strip_ws
+
+    white = [chr(c) for c in range(0x10000) if not 0xD800 <= c < 0xE000 and re.match(WS.replace(r"\s", " \t\n\f\r"), chr(c))]
+    assert sorted(white) == sorted(WS_CHARS)
+    rows = [f"{w}+7{v}" for w in white for v in ("", w, "\n")] + [" 7 7 ", "\x007", "7\x00", "+", "", None, "7.5", " 7"]
+    df = spark.createDataFrame([(r,) for r in rows], "s string")
+    got = df.select("s", strip_ws("s").alias("t"), try_integer_text("s").alias("i"), try_number("s").alias("d")).collect()
+    for r in got:
+        assert r.t == (None if r.s is None else r.s.strip(WS_CHARS)), repr(r.s)
+        assert r.i == {"+7": 7, "7": 7}.get(r.t) and r.d == {"+7": 7.0, "7": 7.0, "7.5": 7.5}.get(r.t), repr(r.s)
+    assert "regexp" not in df.select(strip_ws("s"))._jdf.queryExecution().optimizedPlan().toString()
+    times = ["2020-02-29 23:59:59", "2021-02-29 00:00:00", "2020-01-01 24:00:00", "2020-01-01 10:00:60", "0001-01-01 00:00:00", "9999-12-31 23:00:00",
+             "2020-01-05", "2020-1-5 1:1:1", "2020-01-01 00:00:00\n", " 2020-01-01 00:00:00", "2020-01-01T00:00:00", "bad date", None]
+    stamps = spark.createDataFrame([(t,) for t in times], "s string")
+    c = F.col("s")
+    old = F.coalesce(F.try_to_timestamp(c, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(c, F.lit("yyyy-MM-dd"))).cast("timestamp_ntz")
+    for r in stamps.select(parse_timestamp("s").alias("new"), old.alias("old"), day_name(parse_timestamp("s")).alias("day"),
+                           F.date_format(old, "EEEE").alias("name")).collect():
+        assert (r.new, r.day) == (r.old, r.name)

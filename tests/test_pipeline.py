@@ -504,3 +504,32 @@ def test_shuffle_partitions_of_the_layers_hold_a_few_megabytes_of_input(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
         if before is not None:
             spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", before)
+
+
+def _below(plan: str, node: str) -> str:
+    """A plan's text under its first `node`."""
+    at = plan.index(node)
+    return plan[plan.index("\n", at):]
+
+
+def test_rows_are_numbered_before_their_texts_are_made(spark):
+    """The shuffle and the sort of the numbering carry the tables' own columns."""
+    from cardlake.sources.fixtures import raw_table
+
+    plan = raw_table(spark, SF_SMALL, "transactions_data")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Transaction" in plan and "Transaction" not in _below(plan, "Window [")
+
+
+def test_users_and_categories_are_cleaned_after_keep_first(spark):
+    """Cleaning runs on the shuffled rows that stay, not in the few tasks that read a small file."""
+    from cardlake.plans import transform as T
+
+    user = {"birth_year": 1990, "birth_month": 2, "address": " a  b ", "employment_status": "Employed"}
+    users = raw_frame(spark, "users_data", [user | {"id": 1, "gender": "M"}, user | {"id": 1, "gender": "F"}, user | {"id": 2, "gender": "F"}])
+    mcc = raw_frame(spark, "mcc_data", [{"code": "MCC 7", "description": "one  a"}, {"code": "7.0", "description": "two"}, {"code": "x", "description": "three"}])
+    cleaned, codes = T.stage_users(users, "2025-06-15"), T.clean_mcc(mcc)
+    assert {(r.id, r.gender, r.address) for r in cleaned.collect()} == {(1, "Male", "A B"), (2, "Female", "A B")}
+    assert [(r.code, r.description) for r in codes.collect()] == [(7, "One A")]
+    for df in (cleaned, codes):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "regexp_extract_all" in plan and "regexp_extract_all" not in _below(plan, "Aggregate [")

@@ -7,7 +7,7 @@ found by an Aho-Corasick automaton, longest first; a candidate holds if it and
 the last token of the prefix before it are a compatible pair, that is, the
 pair itself is what the merges make of its joined text.  Ids are then read
 backwards from the end.  Words are independent because no piece has a space
-mark after another character (checked when the model is read), so each worker
+mark after another character (checked when the model is read), so each task
 remembers the words it has seen (they part before punctuation and at line ends
 too, where no piece goes across).  Characters outside the vocabulary become
 byte pieces.  Runs of spaces, whose pieces share one score, and texts of a
@@ -33,8 +33,8 @@ from cardlake.llm.common import prepare, table
 
 SPACE = "▁"
 MODEL = "piece_bpe_32k.model"
-#: Words, and pairs of pieces, that a worker remembers before it starts afresh.
-MEMORY = 350_000
+#: Words that a task, and pairs of pieces that a worker remembers before it starts afresh.
+MEMORY = 200_000
 
 
 class PieceCodec:
@@ -187,7 +187,8 @@ class PieceCodec:
 
 
 def _codec(model_path: str | None) -> PieceCodec:
-    """The worker process's codec: it outlives the task, with the words it has seen."""
+    """The worker process's codec: it outlives the task, with its pairs of pieces but without the words seen
+    (`encode_documents`), which would lie beside whatever the process runs next."""
     import sys
     import types
 
@@ -210,15 +211,18 @@ def encode_documents(documents: DataFrame, model_path: str | None = None, digest
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         codec = _codec(model_path)
-        for texts in batches:
-            rows = []
-            for t in texts:
-                row = codec.digest(t)
-                if not digests_only:
-                    ids = codec.encode(t)
-                    row += (ids, codec.decode(ids))
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=[a.split()[0] for a in added])
+        try:
+            for texts in batches:
+                rows = []
+                for t in texts:
+                    row = codec.digest(t)
+                    if not digests_only:
+                        ids = codec.encode(t)
+                        row += (ids, codec.decode(ids))
+                    rows.append(row)
+                yield pd.DataFrame(rows, columns=[a.split()[0] for a in added])
+        finally:
+            codec.seen.clear()
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     coded = F.pandas_udf(run, ", ".join(added))(F.col("text"))

@@ -36,8 +36,8 @@ PER_KIND = 500
 NEGATIVE = 1000
 #: Training window, decoding window and its context on either side, in characters.
 TRAIN_WINDOW, WINDOW, CONTEXT = 96, 768, 32
-#: Characters of the windows that are decoded together.
-CELLS = 1024 * 512
+#: Characters of the windows that are decoded together (some 150 bytes each).
+CELLS = 512 * 512
 #: A span that the tagger adds has at least so many characters (base spans may be shorter).
 SHORTEST = 6
 

@@ -47,3 +47,19 @@ def test_rows(spark):
         assert (r["n_tokens"], list(r["ids"]), r["decoded"]) == (len(ids), ids, LIBRARY.decode(ids))
         assert r["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
     assert encode_documents(df.limit(0), PATH).count() == 0
+
+
+def test_a_worker_keeps_no_words_after_its_task(spark):
+    """Words remembered by one task would lie in the worker's memory under all later work."""
+    import pandas as pd
+
+    docs = spark.createDataFrame([(i, f"plain words and word{i}") for i in range(200)], "doc_id long, text string").repartition(2)
+    encode_documents(docs).agg({"n_tokens": "sum"}).collect()
+
+    def kept(batches):
+        import sys
+        for pdf in batches:
+            codecs = [c for c in vars(sys.modules.get("_piece_codecs", sys)).values() if hasattr(c, "seen")]
+            yield pd.DataFrame({"n": [sum(len(c.seen) for c in codecs)]})
+
+    assert {r.n for r in spark.range(4, numPartitions=4).mapInPandas(kept, "n long").collect()} == {0}

@@ -164,3 +164,16 @@ def test_best_paths_are_found_without_a_table_of_all_steps_back():
     before = emit.copy()
     assert (P.viterbi(emit, trans) == plain(emit, trans)).all() and (emit == before).all()
     assert seconds(lambda: P.viterbi(emit, trans)) < seconds(lambda: plain(emit, trans))
+
+
+def test_tagging_holds_a_bounded_block():
+    import tracemalloc
+
+    model = P.new_model()
+    data = ["some words and 12 of them, " * 1500] * 40  # 1.6 million characters
+    tracemalloc.start()
+    try:
+        P.tag_texts(model, data)
+        assert tracemalloc.get_traced_memory()[1] < 64e6
+    finally:
+        tracemalloc.stop()

@@ -533,3 +533,22 @@ def test_users_and_categories_are_cleaned_after_keep_first(spark):
     for df in (cleaned, codes):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "regexp_extract_all" in plan and "regexp_extract_all" not in _below(plan, "Aggregate [")
+
+
+def test_one_pass_over_the_feed_yields_rows_and_rejects(spark, tmp_path):
+    """Rows without a number as id all stay among the rejects, and the feed is read once for both."""
+    from cardlake.plans.transform import reject_rows, stage_transactions, stored_rows
+
+    row = {"amount": "$5.00", "date": "2020-01-02", "merchant_id": "1", "mcc": "5411"}
+    huge = {**row, "amount": "$123,456,789.00"}
+    raw_frame(spark, "transactions_data", [
+        {**row, "id": "1"}, {**row, "id": "01"}, row, row, {**row, "id": "tx-1"}, {**row, "id": "tx-1"},
+        {**row, "id": "tx-2", "amount": "oops"}, {**huge, "id": " +7 "}, {**huge, "id": "8"},
+    ]).write.parquet(f"{tmp_path}/raw")
+    staged = stage_transactions(spark.read.parquet(f"{tmp_path}/raw"))
+    assert staged._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    got = sorted((str(r.id), r.reason) for r in reject_rows(staged, "transactions_data").collect())
+    assert got == sorted([("None", "bad_id")] * 2 + [("tx-1", "bad_id")] * 2 + [("tx-2", "bad_id"), (" +7 ", "amount_overflow"), ("8", "amount_overflow")])
+    assert [(r.id, float(r.amount)) for r in stored_rows(staged).collect()] == [(1, 5.0)]
+    assert staged.where("_reason = 'bad_id' and (date is not null or amount is not null or is_online is not null)").count() == 0
+    assert staged.where("_reason is null and _raw_id is not null").count() == 0

@@ -29,11 +29,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardlake.llm.common import Scratch, WordHash, prepare, table
-from cardlake.llm.quality_kn import Vocabulary, words_of
+from cardlake.llm.common import Scratch, prepare, table
+from cardlake.llm.quality_kn import Vocabulary  # noqa: F401 - the same ids and spellings, word by word
 
 #: Ids fit 16 bits.
 ROWS, SIDE = 128, 256
@@ -45,8 +48,8 @@ SHARD_CHARS = 32 << 20
 ROUNDS, BATCH, RATE = 2, 512, 1.0
 #: Sets of weights that meet in one task.
 FAN = 16
-#: Words scored together.
-CHUNK = 8192
+#: Words scored together: their logits stay in the processor's cache.
+CHUNK = 512
 #: Words counted together.
 FLUSH = 3_000_000
 
@@ -59,27 +62,15 @@ def new_model(seed: int = 3) -> dict[str, np.ndarray]:
     return {"emb": emb, "row": zero(HIDDEN, ROWS), "col": zero(HIDDEN, SIDE), "row_b": zero(ROWS), "col_b": zero(ROWS, SIDE)}
 
 
-def neighbours(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+def neighbours(ids: np.ndarray, starts: np.ndarray, order: np.ndarray | None = None) -> np.ndarray:
     """(2 * REACH, words): the ids around each word, PAD past its document's ends.
-    `starts`: first words of the documents that ids joins together."""
-    ends = np.r_[starts[1:], len(ids)]
-    first, last = np.repeat(starts, ends - starts), np.repeat(ends, ends - starts)
-    place, out = np.arange(len(ids)), []
-    for shift in (*range(-REACH, 0), *range(1, REACH + 1)):
-        at = place + shift
-        ok = (at >= first) & (at < last)
-        out.append(np.where(ok, ids[np.where(ok, at, 0)], PAD).astype(np.int32))
-    return np.stack(out)
-
-
-def _softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probabilities, and the logarithm of the sum of exponentials."""
-    top = x.max(1, keepdims=True)
-    np.subtract(x, top, out=x)
-    np.exp(x, out=x)
-    total = x.sum(1, keepdims=True)
-    x /= total
-    return x, (np.log(total) + top)[:, 0]
+    `starts`: first words of the documents that ids joins together; `order`: the words asked for."""
+    sizes = np.diff(np.r_[starts, len(ids)])
+    place = np.arange(len(ids)) + np.repeat(np.arange(1, len(starts) + 1) * REACH, sizes)
+    apart = np.full(len(ids) + (len(starts) + 1) * REACH, PAD, np.int32)  # REACH pads between documents
+    apart[place] = ids
+    place = place if order is None else place[order]
+    return np.stack([apart.take(place + shift) for shift in (*range(-REACH, 0), *range(1, REACH + 1))])
 
 
 def _hidden(m: dict, near: np.ndarray) -> np.ndarray:
@@ -89,50 +80,77 @@ def _hidden(m: dict, near: np.ndarray) -> np.ndarray:
     return np.tanh(h, out=h)
 
 
+def _room(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Memory for the logits of n words and for their columns' biases, used again and again."""
+    return np.empty((n, ROWS + SIDE), np.float32), np.empty((n, SIDE), np.float32)
+
+
+_ONES = np.ones(SIDE, np.float32)
+
+
+def _predict(m: dict, ids: np.ndarray, near: np.ndarray, room: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hidden states; e to the power of the row and column logits (in room; over their sum, the softmax);
+    the sums of both; log p of the words."""
+    n, at = len(ids), np.arange(len(ids))
+    r, c = ids // SIDE, ids % SIDE
+    h, x, bias = _hidden(m, near), room[0][:n], room[1][:n]
+    m["col_b"].take(r, 0, out=bias, mode="clip")
+
+    def logits() -> None:
+        np.matmul(h, np.hstack([m["row"], m["col"]]), out=x)
+        x[:, :ROWS] += m["row_b"]
+        x[:, ROWS:] += bias
+
+    def sums() -> np.ndarray:
+        np.exp(x, out=x)
+        return np.stack([x[:, :ROWS] @ _ONES[:ROWS], x[:, ROWS:] @ _ONES])
+
+    logits()
+    hit = x[at, r] + x[at, ROWS + c]
+    with np.errstate(over="ignore"):
+        total = sums()
+    if not (total.min() > 1e-20 and total.max() < 1e30):  # large logits: less the largest of each softmax
+        logits()
+        for part in (x[:, :ROWS], x[:, ROWS:]):
+            top = part.max(1)
+            part -= top[:, None]
+            hit -= top
+        total = sums()
+    return h, x, total, hit - np.log(total).sum(0)
+
+
 def log_probabilities(m: dict, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
     """log p(word | its neighbours) of each word."""
-    out = np.empty(len(ids), np.float32)
+    out, room = np.empty(len(ids), np.float32), _room(min(len(ids), CHUNK))
     for a in range(0, len(ids), CHUNK):
-        w = ids[a:a + CHUNK]
-        r, c, at = w // SIDE, w % SIDE, np.arange(len(w))
-        h = _hidden(m, near[:, a:a + CHUNK])
-        total = np.zeros(len(w), np.float32)
-        for x, y in ((h @ m["row"] + m["row_b"], r), (h @ m["col"] + m["col_b"][r], c)):
-            total += x[at, y]
-            top = x.max(1)
-            x -= top[:, None]
-            np.exp(x, out=x)
-            total -= np.log(x.sum(1)) + top
-        out[a:a + CHUNK] = total
+        out[a:a + CHUNK] = _predict(m, ids[a:a + CHUNK], near[:, a:a + CHUNK], room)[-1]
     return out
 
 
-def gradient_step(m: dict, ids: np.ndarray, near: np.ndarray, rate: float) -> float:
+def _subtract_at(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """A table's rows `at` (some repeat) less `rows`, two floats at a time as a complex number."""
+    half = table.shape[-1] // 2
+    np.subtract.at(table.reshape(-1).view(np.complex64), (at[:, None] * half + np.arange(half)).ravel(), rows.reshape(-1).view(np.complex64))
+
+
+def gradient_step(m: dict, ids: np.ndarray, near: np.ndarray, rate: float, room: tuple | None = None) -> float:
     """One step of gradient descent on a batch; the mean loss before it."""
     n, at = len(ids), np.arange(len(ids))
     r, c = ids // SIDE, ids % SIDE
-    h = _hidden(m, near)
-    x, y = h @ m["row"] + m["row_b"], h @ m["col"] + m["col_b"][r]
-    hit = x[at, r] + y[at, c]
-    p, lx = _softmax(x)
-    q, ly = _softmax(y)
-    loss = float((lx + ly - hit).mean())
-    p[at, r] -= 1
-    q[at, c] -= 1
-    dh = (p @ m["row"].T + q @ m["col"].T) * (1 - h * h)
-    step = rate / n
-    m["row"] -= step * (h.T @ p)
-    m["col"] -= step * (h.T @ q)
-    m["row_b"] -= step * p.sum(0)
-    order = np.argsort(r, kind="stable")
-    first = np.flatnonzero(np.r_[True, np.diff(r[order]) > 0])
-    m["col_b"][r[order][first]] -= 8 * step * np.add.reduceat(q[order], first, 0)
-    flat = (near + np.arange(len(near))[:, None] * (IDS + 1)).ravel()
-    order = np.argsort(flat, kind="stable")
-    who = flat[order]
-    first = np.flatnonzero(np.r_[True, np.diff(who) > 0])
-    m["emb"].reshape(-1, HIDDEN)[who[first]] -= 8 * step * np.add.reduceat(dh[order % n], first, 0)  # few words share an embedding
-    return loss
+    room = room or _room(n)
+    h, x, total, log_p = _predict(m, ids, near, room)
+    x[at, r] -= total[0]
+    x[at, ROWS + c] -= total[1]
+    step, p, q, (a, b) = rate / n, x[:, :ROWS], x[:, ROWS:], 1 / total[:, :, None]  # the logits' gradients: p * a and q * b
+    dh = ((p @ m["row"].T) * a + (q @ m["col"].T) * b) * (1 - h * h)
+    m["row"] -= (p.T @ (step * a * h)).T
+    m["col"] -= (q.T @ (step * b * h)).T
+    m["row_b"] -= step * (a[:, 0] @ p)
+    _subtract_at(m["col_b"], r, np.multiply(q, 8 * step * b, out=room[1][:n]))
+    dh *= 8 * step  # few words share an embedding
+    places = near + np.arange(len(near))[:, None] * (IDS + 1)
+    _subtract_at(m["emb"], places.ravel(), np.broadcast_to(dh, (len(near), *dh.shape)))
+    return float(-log_p.mean())
 
 
 def run_shard(m: dict, texts: list[np.ndarray], rate: float, seed: int) -> tuple[dict, int]:
@@ -143,11 +161,10 @@ def run_shard(m: dict, texts: list[np.ndarray], rate: float, seed: int) -> tuple
         return m, 0
     ids = np.concatenate(texts)
     size = np.array([len(t) for t in texts])
-    near = neighbours(ids, np.cumsum(size) - size)
-    order = np.random.default_rng(seed).permutation(len(ids))
-    for a in range(0, len(order), BATCH):
-        pick = order[a:a + BATCH]
-        gradient_step(m, ids[pick], near[:, pick], rate)
+    order, room = np.random.default_rng(seed).permutation(len(ids)), _room(BATCH)
+    near, ids = neighbours(ids, np.cumsum(size) - size, order), ids[order]
+    for a in range(0, len(ids), BATCH):
+        gradient_step(m, ids[a:a + BATCH], near[:, a:a + BATCH], rate, room)
     return m, len(ids)
 
 
@@ -170,20 +187,45 @@ def _average(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "words": [total], "weights": [pickle.dumps(mean)]})
 
 
+def _words(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The different words (`words_of`) of some texts and their hashes; which of them each word of the texts is; words per text."""
+    text = pc.ascii_trim_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string(), from_pandas=True)))
+    split = pc.ascii_split_whitespace(pc.if_else(pc.equal(text, ""), None, text))
+    seen = split.flatten().dictionary_encode()
+    words = seen.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return words, hashes, seen.indices.to_numpy(), pc.list_value_length(split).fill_null(0).to_numpy()
+
+
+def _ids(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Ids of words by their hashes, 0 for those not among the known ones (sorted)."""
+    if not len(known):
+        return np.zeros(len(hashes), np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at + 1, 0)
+
+
+def _byte_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of some words' byte pairs, their ends included, in a table of 256 x 256 (`spelled`); pairs per word."""
+    b = np.frombuffer(b"\0" + b"\0".join(words) + b"\0", np.uint8).astype(np.int64)
+    return b[:-1] << 8 | b[1:], np.fromiter(map(len, words), np.int64, len(words)) + 1
+
+
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hashes, held, size = WordHash(), [], 0
+    held, counts, size = [], [], 0
 
     def counted() -> pd.DataFrame:
-        h, n = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({"h": h.view(np.int64), "n": n})
+        h, at = np.unique(np.concatenate(held), return_inverse=True)
+        return pd.DataFrame({"h": h.view(np.int64), "n": np.bincount(at, np.concatenate(counts)).astype(np.int64)})
 
     for pdf in batches:
-        for t in pdf["text"]:
-            held.append(hashes.array(words_of(t)))
-            size += len(held[-1])
+        words, hashes, which, _ = _words(pdf["text"])
+        held.append(hashes)
+        counts.append(np.bincount(which, minlength=len(words)))
+        size += len(which)
         if size >= FLUSH:
             yield counted()
-            held, size = [], 0
+            held, counts, size = [], [], 0
     if size:
         yield counted()
 
@@ -192,18 +234,17 @@ def _read(shared):
     """Documents as ids; and one row without a doc_id: the byte pairs of the unknown words, counted."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary, pairs = Vocabulary(shared.value), np.zeros(1 << 16, np.int64)
+        pairs = np.zeros(1 << 16, np.int64)
         for pdf in batches:
-            out, unknown = [], []
-            for t in pdf["text"]:
-                words = words_of(t)
-                ids = np.fromiter(map(vocabulary.__getitem__, words), np.float64, len(words)).astype(np.int16)
-                unknown += [words[k] for k in np.flatnonzero(ids == 0).tolist()]
-                out.append(ids.tobytes())
-            if unknown:
-                b = np.frombuffer(b"\0" + b"\0".join(unknown) + b"\0", np.uint8).astype(np.int64)
-                pairs += np.bincount(b[:-1] << 8 | b[1:], minlength=1 << 16)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": out})
+            words, hashes, which, sizes = _words(pdf["text"])
+            ids = _ids(shared.value, hashes)
+            unknown = np.flatnonzero(ids == 0)
+            if len(unknown):
+                at, each = _byte_pairs(words[unknown])
+                times = np.bincount(which, minlength=len(words))[unknown]
+                pairs += np.bincount(at, np.repeat(times, each), 1 << 16).astype(np.int64)
+            texts = np.split(ids.astype(np.int16)[which], np.cumsum(sizes)[:-1])
+            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "ids": [t.tobytes() for t in texts[:len(pdf)]]})
         yield pd.DataFrame({"doc_id": pd.array([None], "Int64"), "ids": [pairs.tobytes()]})
 
     return run
@@ -245,7 +286,8 @@ def train(documents: DataFrame) -> dict:
         rate = RATE / (1 + k)
 
         kind = "part int, words long, weights binary"
-        sets, left = words.groupBy("shard").applyInPandas(_descend(shared, rate), kind), shards
+        apart = words.repartitionByRange(shards, "shard")  # small shards would share a task
+        sets, left = apart.groupBy("shard").applyInPandas(_descend(shared, rate), kind), shards
         while left > 1:
             left = -(-left // FAN)
             sets = sets.withColumn("part", F.pmod("part", F.lit(left))).groupBy("part").applyInPandas(_average, kind)
@@ -263,17 +305,19 @@ def score(documents: DataFrame, model: dict) -> DataFrame:
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        vocabulary = Vocabulary(m.get("hashes", np.empty(0, np.uint64)), m.get("spelling"))
+        known, spelling = m.get("hashes", np.empty(0, np.uint64)), m.get("spelling")
         for texts in batches:
-            ids, spell = zip(*map(vocabulary.ids, texts))
-            size = np.array([len(w) for w in ids], np.int64)
-            total = np.array(spell)
+            words, hashes, which, size = _words(texts)
+            ids, spell, total = _ids(known, hashes), np.zeros(len(words)), np.zeros(len(texts))
+            unknown = np.flatnonzero(ids == 0)
+            if spelling is not None and len(unknown):
+                at, each = _byte_pairs(words[unknown])
+                spell[unknown] = np.add.reduceat(spelling[at].astype(np.float64), np.cumsum(each) - each)
             full = np.flatnonzero(size)
             if len(full):
-                joined = np.concatenate(ids)
-                starts = (np.cumsum(size) - size)[full]
+                joined, starts = ids[which], (np.cumsum(size) - size)[full]
                 p = log_probabilities(m, joined, neighbours(joined, starts))
-                total[full] += np.add.reduceat(p.astype(np.float64), starts)
+                total[full] = np.add.reduceat(p + spell[which], starts)
             mean = [s / n if n else None for s, n in zip(total, size)]
             yield pd.DataFrame({"n_words": size, "log_prob": total, "mean_log_prob": mean})
 

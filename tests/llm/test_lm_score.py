@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 
 from cardlake.llm import lm_score as M
+from cardlake.llm.quality_kn import words_of
 
 
 def test_probabilities_sum_to_one():
@@ -94,3 +99,75 @@ def test_defined_cases(spark):
     assert got[0].log_prob == 0 and got[0].mean_log_prob is None and got[3].log_prob == got[4].log_prob
     assert abs(got[3].mean_log_prob - np.log(1 / M.IDS)) < 0.01
     assert M.score(df.limit(0), M.train(df.limit(0))).count() == 0
+
+
+def plain_step(m, ids, near, rate):
+    """The weights after a step, one word at a time, in double precision."""
+    m = {k: v.astype(float) for k, v in m.items()}
+    new = {k: v.copy() for k, v in m.items()}
+    for w, around in zip(ids.tolist(), near.T.tolist()):
+        r, c = divmod(w, M.SIDE)
+        h = np.tanh(sum(m["emb"][k][v] for k, v in enumerate(around)))
+        dh = 0
+        for logits, weights, biases, hit, fast in ((h @ m["row"] + m["row_b"], "row", new["row_b"], r, 1), (h @ m["col"] + m["col_b"][r], "col", new["col_b"][r], c, 8)):
+            g = np.exp(logits - logits.max())
+            g /= g.sum()
+            g[hit] -= 1
+            dh = dh + m[weights] @ g
+            new[weights] -= rate / len(ids) * np.outer(h, g)
+            biases -= fast * rate / len(ids) * g
+        for k, v in enumerate(around):
+            new["emb"][k][v] -= 8 * rate / len(ids) * dh * (1 - h * h)
+    return new
+
+
+def test_a_step_equals_one_word_at_a_time():
+    for size in (0.3, 60):  # 60: exponentials overflow unless the largest logit is taken off
+        rng = np.random.default_rng(5)
+        m = M.new_model()
+        for k in ("row", "col", "row_b", "col_b"):
+            m[k] += rng.normal(0, size, m[k].shape).astype(np.float32)
+        ids, near = rng.integers(0, 700, 40), rng.integers(0, 9, (4, 40))  # rows and neighbours repeat
+        want, room = plain_step(m, ids, near, 0.5), M._room(64)
+        M.gradient_step(m, ids, near, 0.5, room)
+        for k in m:
+            assert np.allclose(m[k], want[k], rtol=1e-3, atol=2e-5 * max(size, 1)), (size, k)
+
+
+def test_scoring_holds_the_logits_of_few_words():
+    rng = np.random.default_rng(6)
+    m, ids, near = M.new_model(), rng.integers(0, M.IDS, 20000), rng.integers(0, M.IDS + 1, (4, 20000))
+    tracemalloc.start()
+    try:
+        M.log_probabilities(m, ids, near)
+        assert tracemalloc.get_traced_memory()[1] < 4 << 20  # all logits of 8,192 words are 12 MB
+    finally:
+        tracemalloc.stop()
+
+
+def test_words_are_those_of_the_vocabulary():
+    texts = ["", None, " \n\x0b", "One one\ttwo  ", "\x0cÄ ä\u00a0b\u2003c \x1cd", "a\0b \0 x\x85y", "LAST"]
+    for some in (texts, texts[:3], []):
+        words, hashes, which, sizes = M._words(pd.Series(some, dtype=object))
+        assert words[which].tolist() == [w for t in some for w in words_of(t)]
+        assert sizes.tolist() == [len(words_of(t)) for t in some]
+        v = M.Vocabulary(known := np.sort(hashes[::2]))
+        assert M._ids(known, hashes).tolist() == [int(v[w]) for w in words]
+    near = M.neighbours(np.arange(10), np.array([0, 3, 4]))
+    order = np.random.default_rng(7).permutation(10)
+    assert (M.neighbours(np.arange(10), np.array([0, 3, 4]), order) == near[:, order]).all()
+
+
+def test_every_shard_has_its_own_task(spark, monkeypatch):
+    monkeypatch.setattr(M, "SHARD_CHARS", 1000)
+    monkeypatch.setattr(M, "ROUNDS", 1)
+    tasks, run = spark.sparkContext.accumulator(0), M.run_shard
+
+    def count(m, texts, rate, seed):
+        tasks.add(1 << 8 * TaskContext.get().partitionId())
+        return run(m, texts, rate, seed)
+
+    monkeypatch.setattr(M, "run_shard", count)
+    M.train(spark.createDataFrame([(i, f"w{i} " * 10) for i in range(160)], "doc_id long, text string"))
+    shards = [b for b in tasks.value.to_bytes(64, "little") if b]
+    assert len(shards) > 4 and max(shards) == 1

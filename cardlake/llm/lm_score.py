@@ -286,7 +286,7 @@ def train(documents: DataFrame) -> dict:
         rate = RATE / (1 + k)
 
         kind = "part int, words long, weights binary"
-        apart = words.repartitionByRange(shards, "shard")  # small shards would share a task
+        apart = words.repartitionById(shards, "shard")  # each shard in a task of its own
         sets, left = apart.groupBy("shard").applyInPandas(_descend(shared, rate), kind), shards
         while left > 1:
             left = -(-left // FAN)

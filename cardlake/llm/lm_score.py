@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardlake.llm import graph as G
 from cardlake.llm.common import Scratch, prepare, table
 from cardlake.llm.quality_kn import Vocabulary  # noqa: F401 - the same ids and spellings, word by word
 
@@ -73,11 +75,15 @@ def neighbours(ids: np.ndarray, starts: np.ndarray, order: np.ndarray | None = N
     return np.stack([apart.take(place + shift) for shift in (*range(-REACH, 0), *range(1, REACH + 1))])
 
 
-def _hidden(m: dict, near: np.ndarray) -> np.ndarray:
+def _sums(m: dict, near: np.ndarray) -> np.ndarray:
     h = m["emb"][0].take(near[0], 0)
     for k in range(1, len(near)):
         h += m["emb"][k].take(near[k], 0)
-    return np.tanh(h, out=h)
+    return h
+
+
+def _hidden(m: dict, near: np.ndarray) -> np.ndarray:
+    return np.tanh(h := _sums(m, near), out=h)
 
 
 def _room(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,11 +125,52 @@ def _predict(m: dict, ids: np.ndarray, near: np.ndarray, room: tuple) -> tuple[n
     return h, x, total, hit - np.log(total).sum(0)
 
 
+_READ = {"sum": (G.FLOAT, 2), "at_r": (G.LONG, 2), "at_c": (G.LONG, 2), "row": (G.FLOAT, 2), "row_b": (G.FLOAT, 1), "col": (G.FLOAT, 2), "bias": (G.FLOAT, 2)}
+
+
+def _softmaxes(op: str) -> list[bytes]:
+    """Hidden states h and both softmaxes (p, q), as nodes of a graph."""
+    return [G.node("Tanh", ["sum"], "h"), G.node("Gemm", ["h", "row", "row_b"], "x"), G.node("Gemm", ["h", "col", "bias"], "y"),
+            G.node(op, ["x"], "p", axis=-1), G.node(op, ["y"], "q", axis=-1)]
+
+
+@cache
+def _score_graph():
+    """log p of the words."""
+    nodes = [*_softmaxes("LogSoftmax"), G.node("GatherElements", ["p", "at_r"], "p_hit", axis=1), G.node("GatherElements", ["q", "at_c"], "q_hit", axis=1),
+             G.node("Add", ["p_hit", "q_hit"], "log_p")]
+    return G.session(nodes, _READ, {"log_p": 2})
+
+
+#: What _step_graph returns, with the ranks.
+_STEP = {"h": 2, "dh": 2, "d_row": 2, "d_col": 2, "d_row_b": 2, "d_col_b": 2}
+
+
+@cache
+def _step_graph():
+    """Hidden states; the logits' gradients (softmaxes, less 1 at the words themselves) times the weights (dh) and
+    times the hidden states (d_row and d_col, a row for each logit), and their sums (d_row_b, d_col_b)."""
+    less = [G.node("ScatterElements", [x, at, "less"], f"d{x}", axis=1, reduction="add") for x, at in (("p", "at_r"), ("q", "at_c"))]
+    nodes = [*_softmaxes("Softmax"), *less,
+             G.node("Gemm", ["dp", "row"], "dh_row", transB=1), G.node("Gemm", ["dq", "col", "dh_row"], "dh", transB=1),
+             G.node("Gemm", ["dp", "h"], "d_row", transA=1), G.node("Gemm", ["dq", "h"], "d_col", transA=1),
+             G.node("MatMul", ["ones", "dp"], "d_row_b"), G.node("ScatterND", ["zeros", "at_r", "dq"], "d_col_b", reduction="add")]
+    return G.session(nodes, _READ | {"less": (G.FLOAT, 2), "ones": (G.FLOAT, 2), "zeros": (G.FLOAT, 2)}, _STEP)
+
+
+def _feed(m: dict, ids: np.ndarray, near: np.ndarray, bias: np.ndarray) -> dict[str, np.ndarray]:
+    """What both graphs read. bias: memory for the columns' biases."""
+    r, c = np.divmod(ids.astype(np.int64, copy=False), SIDE)
+    m["col_b"].take(r, 0, out=bias[:len(ids)], mode="clip")
+    return {"sum": _sums(m, near), "at_r": r[:, None], "at_c": c[:, None], "row": m["row"], "row_b": m["row_b"], "col": m["col"], "bias": bias[:len(ids)]}
+
+
 def log_probabilities(m: dict, ids: np.ndarray, near: np.ndarray) -> np.ndarray:
     """log p(word | its neighbours) of each word."""
     out, room = np.empty(len(ids), np.float32), _room(min(len(ids), CHUNK))
     for a in range(0, len(ids), CHUNK):
-        out[a:a + CHUNK] = _predict(m, ids[a:a + CHUNK], near[:, a:a + CHUNK], room)[-1]
+        some = ids[a:a + CHUNK], near[:, a:a + CHUNK]
+        out[a:a + CHUNK] = _score_graph().run(["log_p"], _feed(m, *some, room[1]))[0][:, 0] if G.onnxruntime else _predict(m, *some, room)[-1]
     return out
 
 
@@ -133,24 +180,41 @@ def _subtract_at(table: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
     np.subtract.at(table.reshape(-1).view(np.complex64), (at[:, None] * half + np.arange(half)).ravel(), rows.reshape(-1).view(np.complex64))
 
 
-def gradient_step(m: dict, ids: np.ndarray, near: np.ndarray, rate: float, room: tuple | None = None) -> float:
-    """One step of gradient descent on a batch; the mean loss before it."""
+def _plain_step(m: dict, ids: np.ndarray, near: np.ndarray, room: tuple) -> tuple[np.ndarray, ...]:
+    """What _step_graph returns, without it."""
     n, at = len(ids), np.arange(len(ids))
     r, c = ids // SIDE, ids % SIDE
-    room = room or _room(n)
-    h, x, total, log_p = _predict(m, ids, near, room)
+    h, x, total, _ = _predict(m, ids, near, room)
     x[at, r] -= total[0]
     x[at, ROWS + c] -= total[1]
-    step, p, q, (a, b) = rate / n, x[:, :ROWS], x[:, ROWS:], 1 / total[:, :, None]  # the logits' gradients: p * a and q * b
-    dh = ((p @ m["row"].T) * a + (q @ m["col"].T) * b) * (1 - h * h)
-    m["row"] -= (p.T @ (step * a * h)).T
-    m["col"] -= (q.T @ (step * b * h)).T
-    m["row_b"] -= step * (a[:, 0] @ p)
-    _subtract_at(m["col_b"], r, np.multiply(q, 8 * step * b, out=room[1][:n]))
-    dh *= 8 * step  # few words share an embedding
+    p, q, (a, b) = x[:, :ROWS], x[:, ROWS:], 1 / total[:, :, None]  # the logits' gradients: p * a and q * b
+    dh = (p @ m["row"].T) * a + (q @ m["col"].T) * b
+    d_col_b = np.zeros_like(m["col_b"])
+    _subtract_at(d_col_b, r, np.multiply(q, -b, out=room[1][:n]))
+    return h, dh, p.T @ (a * h), q.T @ (b * h), a.T @ p, d_col_b
+
+
+_NONE = np.zeros((ROWS, SIDE), np.float32)
+
+
+def _graph_step(m: dict, ids: np.ndarray, near: np.ndarray, room: tuple) -> tuple[np.ndarray, ...]:
+    one = np.ones((1, len(ids)), np.float32)
+    return _step_graph().run(list(_STEP), _feed(m, ids, near, room[1]) | {"less": -one.T, "ones": one, "zeros": _NONE})
+
+
+def gradient_step(m: dict, ids: np.ndarray, near: np.ndarray, rate: float, room: tuple | None = None) -> None:
+    """One step of gradient descent on a batch."""
+    h, dh, d_row, d_col, d_row_b, d_col_b = (_graph_step if G.onnxruntime else _plain_step)(m, ids, near, room or _room(len(ids)))
+    step = np.float32(rate / len(ids))
+    fast = 8 * step  # few words share an embedding
+    m["row"] -= step * d_row.T
+    m["col"] -= step * d_col.T
+    m["row_b"] -= step * d_row_b[0]
+    d_col_b *= fast
+    m["col_b"] -= d_col_b
+    dh *= (1 - h * h) * fast
     places = near + np.arange(len(near))[:, None] * (IDS + 1)
     _subtract_at(m["emb"], places.ravel(), np.broadcast_to(dh, (len(near), *dh.shape)))
-    return float(-log_p.mean())
 
 
 def run_shard(m: dict, texts: list[np.ndarray], rate: float, seed: int) -> tuple[dict, int]:

@@ -171,3 +171,29 @@ def test_every_shard_has_its_own_task(spark, monkeypatch):
     M.train(spark.createDataFrame([(i, f"w{i} " * 10) for i in range(160)], "doc_id long, text string"))
     shards = [b for b in tasks.value.to_bytes(64, "little") if b]
     assert len(shards) > 4 and max(shards) == 1
+
+
+def test_graphs_compute_what_numpy_computes(monkeypatch):
+    rng = np.random.default_rng(8)
+    for size in (0.3, 60):
+        m = M.new_model()
+        for k in ("row", "col", "row_b", "col_b"):
+            m[k] += rng.normal(0, size, m[k].shape).astype(np.float32)
+        ids, near = rng.integers(0, M.IDS, 1300).astype(np.int32), rng.integers(0, M.IDS + 1, (4, 1300))
+        ids[::3] = 5  # a word that occurs often
+
+        def result():
+            new = {k: v.copy() for k, v in m.items()}
+            for a in range(0, 1300, 500):
+                M.gradient_step(new, ids[a:a + 500], near[:, a:a + 500], 0.5)
+            return new | {"score": M.log_probabilities(m, ids, near)}
+
+        with monkeypatch.context() as with_graphs:
+            with_graphs.setattr(M, "_predict", None)  # neither a step nor a score goes by numpy's exponentials
+            got = result()
+        with monkeypatch.context() as without:
+            without.setattr(M.G, "onnxruntime", None)
+            want = result()
+        for k in want:
+            assert np.allclose(got[k], want[k], rtol=1e-3, atol=2e-5 * max(size, 1)), (size, k)
+    assert M.log_probabilities(m, ids[:0], near[:, :0]).shape == (0,)

@@ -103,3 +103,43 @@ def test_quoted_line_ends(spark, tmp_path):
     schema = T.StructType([T.StructField(c, T.StringType()) for c in ("code", "description")])
     got = {r["code"]: r["description"] for r in read_raw_csv(spark, str(tmp_path), schema, multiline=True).collect()}
     assert got == {"1": "two\nlines", "2": "one"}
+
+
+def test_deliveries_are_made_from_one_pass_over_the_raw_table(spark, monkeypatch):
+    import cardlake.queries as Q
+    from conftest import SF_SMALL
+    read, write = [], Q.csv_io.write_raw_csv
+
+    def watched(df, *args, **options):
+        read.append(df.inputFiles())
+        write(df, *args, **options)
+
+    monkeypatch.setattr(Q.csv_io, "write_raw_csv", watched)
+    got = Q._arrival_order(spark, SF_SMALL)
+    assert [any("lineitem" in f for f in files) for files in read].count(True) == 1
+    assert all(f.endswith(".csv.gz") for f in got.inputFiles())
+    first = got.where(Q.FIRST_FILE)
+    assert 0 < first.count() < got.count() == got.select("id").distinct().count()
+    assert {tuple(r) for r in first.select("amount", "errors").distinct().collect()} == {("$1.00", "first\nline")}
+    assert got.where(f"NOT ({Q.FIRST_FILE}) AND errors = 'first\nline'").count() == 0
+
+
+def test_odd_texts_survive_two_compressed_deliveries(spark, tmp_path):
+    from cardlake.sources.csv_io import read_raw_csv, write_raw_csv
+    texts = ["", None, " a ", 'say "x", y', "one\ntwo", "cr\r\nlf", "\\N", "\\", '"', ",", "é "]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "code string, description string").coalesce(1)
+    for k in range(2):
+        write_raw_csv(df, str(tmp_path / f"{k}"), compression="gzip")
+        df = read_raw_csv(spark, str(tmp_path / f"{k}"), df.schema, with_arrival_seq=False, multiline=True)
+    assert [r["description"] for r in df.orderBy(df.code.cast("int")).collect()] == texts
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    from cardlake.session import shuffles_removed
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+    before, old = files(), spark.conf.get(key)
+    with shuffles_removed(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "a"))
+    assert files() <= before and spark.conf.get(key) == old
